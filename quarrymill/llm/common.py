@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +43,41 @@ def tasks_for(spark: SparkSession, least: int = 1) -> int:
 def fold(doc_id: str, of: int):
     """crc32 of the id as text, modulo `of`; a null id counts as the empty string."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % of
+
+
+#: Bytes of text that are worked on at once in Python.
+CHUNK_BYTES = 2_000_000
+#: Words whose hashes a task keeps.
+KEPT_WORDS = 300_000
+
+
+class WordHashes(dict):
+    """XXH64 of words, kept for those met lately."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word)
+        return found
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def chunks(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """Deals a batch's texts (null: empty) out in lists of about CHUNK_BYTES; with the place of each list's first."""
+    got: list[bytes] = []
+    begin = size = 0
+    for k, text in enumerate(texts):
+        got.append(text.as_py() or b"")
+        size += len(got[-1])
+        if size >= CHUNK_BYTES:
+            yield begin, got
+            got, begin, size = [], k + 1, 0
+    if got:
+        yield begin, got
+
+
+def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Only the id (long, as doc_id) and the text as UTF-8 bytes."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))

@@ -5,9 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarrymill.llm import simhash
-from quarrymill.llm.common import table
+from quarrymill.llm import langid, packing, quality, simhash
+from quarrymill.llm.common import fold, table
+
+
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(fold("doc_id", 4) != 2))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +32,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_langid": op5_langid,
+        "op7_packing": op7_packing,
+        "op9_quality": op9_quality,
         "op10_simhash": op10_simhash,
     }
 
