@@ -40,6 +40,11 @@ def tasks_for(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def let(value, body):
+    """An expression over a value that is computed once: body is a function of it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def fold(doc_id: str, of: int):
     """crc32 of the id as text, modulo `of`; a null id counts as the empty string."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % of

@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm import langid, packing, quality, simhash
+from quarrymill.llm import decontaminate, html, langid, packing, pii, quality, simhash, substrings
 from quarrymill.llm.common import fold, table
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.filter(fold("doc_id", 4) != 2))
@@ -18,6 +30,10 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -32,12 +48,52 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html": op1_html,
+        "op2_pii": op2_pii,
+        "op3_decontaminate": op3_decontaminate,
         "op5_langid": op5_langid,
+        "op6_substrings": op6_substrings,
         "op7_packing": op7_packing,
         "op9_quality": op9_quality,
         "op10_simhash": op10_simhash,
     }
 
 
+#: Repeated words of the same place in a text have places of their own; a repeated row is a row of its own.
+OP3_SQL = r"""
+with d as (
+  select row_number() over () as rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+b as (
+  select item_id::varchar as item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark where item_id is not null),
+w as (
+  select distinct item_id, least(10, len(ws)) as n, array_to_string(ws[i : i + least(10, len(ws)) - 1], ' ') as s
+  from b, unnest(range(1, greatest(len(ws) - 10, 0) + 2)) as t(i) where len(ws) > 0),
+lengths as (select distinct n from w),
+p as (
+  select rid, i, n, array_to_string(ws[i : i + n - 1], ' ') as s
+  from (select rid, ws, n, unnest(range(1, len(ws) - n + 2)) as i from d, lengths where len(ws) >= n)),
+hit as (select rid, i, p.n, item_id from p join w on p.n = w.n and p.s = w.s),
+covered as (select rid, count(distinct i + k) as n_hit from hit, unnest(range(0, n)) as t(k) group by rid),
+found as (select rid, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids from (select distinct rid, item_id from hit) group by rid)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join covered using (rid) left join found using (rid)
+"""
+
+OP6_SQL = r"""
+with d as (select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+w as (
+  select rid, doc_id, i, array_to_string(ws[i : i + 49], ' ') as s
+  from (select rid, doc_id, ws, unnest(range(1, len(ws) - 48)) as i from d where len(ws) >= 50 and doc_id is not null)),
+first as (select s, min(doc_id) as least from w group by s),
+gone as (select distinct rid, i + k as p from w join first using (s), unnest(range(0, 50)) as t(k) where doc_id > least),
+kept as (
+  select rid, string_agg(word, ' ' order by p) as text, count(*) as n
+  from (select rid, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as p from d) anti join gone using (rid, p) group by rid)
+select doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from d left join kept using (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_decontaminate": OP3_SQL.replace("\\\\", "\\"), "op6_substrings": OP6_SQL.replace("\\\\", "\\")}
