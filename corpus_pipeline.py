@@ -5,22 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm import simhash
+from quarrymill.llm import decontaminate, langid, packing, pii, simhash
 from quarrymill.llm.common import stored, table
 
-#: Not expressible in SQL: two stages learn a model or search for a packing.
+#: Not expressible in SQL: stages learn a model, hash by XXH64 and search for a packing.
 ORACLE_SQL = None
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents in which a language is found; those without a letter go. The model learns from documents' lang."""
+    return langid.accepted(docs, langid.fit(docs))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near copies the document with the least doc_id; rows that repeat it go, too."""
+    """Keeps of each group of near copies the document with the least doc_id, and one row of it. Rows without an id stay."""
     found = simhash.near_duplicates(docs)
-    kept = found.filter("doc_id = component_id or component_id is null").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    kept = stored(found.filter("doc_id = component_id").groupBy("doc_id").count(), "kept")
+    repeated = kept.filter("count > 1").select("doc_id")
+    out = docs.join(kept.filter("count = 1"), "doc_id", "left_semi").union(docs.filter("doc_id is null"))
+    if not repeated.isEmpty():
+        out = out.union(docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return out
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that share no window with a benchmark item."""
+    hit = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated").select(F.col("doc_id").alias("hit")).distinct()
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit"]), "left_anti")
+
+
+def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Puts a mark in the place of personal data; n_chars follows the text."""
+    return pii.mask(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents that are left, in sequences."""
+    return packing.pack(docs)
 
 
 STAGES = [
+    ("language", language),
     ("near_duplicates", near_duplicates),
+    ("decontaminated", decontaminated),
+    ("without_pii", without_pii),
+    ("packed", packed),
 ]
 
 

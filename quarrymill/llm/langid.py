@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quarrymill.llm.common import chunks, id_and_text
 
@@ -131,6 +132,20 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", per_lan
     return Model([r.lang for r in rows], x)
 
 
+def accepted(docs: DataFrame, model: Model, text_col: str = "text", langs: set[str] | None = None) -> DataFrame:
+    """The rows of docs, whole, whose text is in one of the languages (None: in any); `und` is none. All columns stay."""
+    if not isinstance(docs.schema[text_col].dataType, StringType):
+        raise ValueError(f"{text_col} is no string")
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [model.predict(t.as_py() or "")[0] for t in batch.column(at)]
+            yield batch.filter(pa.array([lang != "und" and (langs is None or lang in langs) for lang in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id, lang_pred, score (0 to 1), from the whole text alone.
 

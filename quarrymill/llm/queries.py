@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm import decontaminate, html, langid, packing, pii, quality, simhash, substrings
+from quarrymill.llm import decontaminate, html, hpylm, langid, packing, pii, quality, simhash, substrings, toxicity
 from quarrymill.llm.common import fold, table
 
 
@@ -23,6 +23,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpylm.score_folds(table(spark, sf_dir, "documents"))
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.filter(fold("doc_id", 4) != 2))
@@ -38,6 +42,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(fold("doc_id", 3) != 1))
+    return toxicity.score(docs, model).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,9 +61,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_html": op1_html,
         "op2_pii": op2_pii,
         "op3_decontaminate": op3_decontaminate,
+        "op4_hpylm": op4_hpylm,
         "op5_langid": op5_langid,
         "op6_substrings": op6_substrings,
         "op7_packing": op7_packing,
+        "op8_toxicity": op8_toxicity,
         "op9_quality": op9_quality,
         "op10_simhash": op10_simhash,
     }
