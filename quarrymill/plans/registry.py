@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarrymill.plans import listings, texts
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return listings.QUERIES | texts.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return listings.SQL | texts.SQL
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return listings.cohort_cascade(spark, sf_dir)
