@@ -58,28 +58,42 @@ def _whole(hashes: Column, length: int) -> Column:
     return F.when(F.size(hashes) >= length, F.transform(F.sequence(F.lit(0), F.size(hashes) - length), run))
 
 
-def _joined(left: DataFrame, right: DataFrame) -> DataFrame:
+def _joined(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     few = right.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
-    return left.join(F.broadcast(right) if few else right, "key")
+    return left.join(F.broadcast(right) if few else right, "key", how)
 
 
 def hits(docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
-    """docs: doc_id, mark, text; items: item_id, text. Returns doc_id, mark, item_id, pos, len: every place where a
-    window of an item occurs in a document (one row for each place, window and item)."""
+    """docs: doc_id, mark, text; items: item_id, text. Returns doc_id, mark, n_words, item_id, pos, len.
+
+    One row for each row of docs, with n_words alone; and, without it, one for each place where a window of an item
+    occurs in a document. So the texts are read and cut into words once.
+    """
     doc = docs.select("doc_id", "mark", _hashed(words(F.col("text"))).alias("h"))
     item = items.select("item_id", _hashed(words(F.col("text"))).alias("h")).withColumn("n", F.size("h"))
-    left = doc.select("doc_id", "mark", F.explode(let(F.col("h"), lambda h: _kept(h, 0, width, gram))).alias("x")).select("doc_id", "mark", "x.*")
+    none = F.lit(None).cast("long")
+
+    def rows(h: Column) -> Column:
+        own = F.struct(F.size(h).alias("pos"), none.alias("key"), F.lit(None).cast("array<bigint>").alias("around"))
+        return F.concat(F.coalesce(_kept(h, 0, width, gram), F.array()), F.array(own))
+
+    left = doc.select("doc_id", "mark", F.explode(let(F.col("h"), rows)).alias("x")).select("doc_id", "mark", "x.*")
     long = item.filter(F.col("n") >= width)
     right = long.select("item_id", F.explode(let(F.col("h"), lambda h: _kept(h, 1, width, gram))).alias("x")).select("item_id", "x.key", F.col("x.around").alias("other")).distinct()
     same = F.filter(F.sequence(F.lit(0), F.lit(width - gram)), lambda s: F.slice("around", s + 1, F.lit(width)) == F.slice("other", s + 1, F.lit(width)))
-    found = _joined(left, right).select("doc_id", "mark", "item_id", "pos", F.explode(same).alias("s"))
-    out = found.select("doc_id", "mark", "item_id", (F.col("pos") + F.col("s") - (width - gram)).alias("pos"), F.lit(width).alias("len"))
+    own = F.col("around").isNull()
+    joined = _joined(left, right, "left").filter(own | F.col("item_id").isNotNull())
+    found = joined.select("doc_id", "mark", "item_id", "pos", own.alias("own"), F.explode(F.when(own, F.array(F.lit(0))).otherwise(same)).alias("s"))
+    out = found.select(
+        "doc_id", "mark", F.when(F.col("own"), F.col("pos")).alias("n_words"), "item_id",
+        F.when(~F.col("own"), F.col("pos") + F.col("s") - (width - gram)).alias("pos"), F.lit(width).alias("len"),
+    )
     # Items of fewer words are one window each; there are at most width - 1 lengths.
     for length in sorted(r.n for r in item.filter((F.col("n") > 0) & (F.col("n") < width)).select("n").distinct().collect()):
         left = doc.select("doc_id", "mark", F.explode(_whole(F.col("h"), length)).alias("x")).select("doc_id", "mark", "x.*")
         right = item.filter(F.col("n") == length).select("item_id", F.get("h", F.lit(0)).alias("key"), F.col("h").alias("other")).distinct()
         found = _joined(left, right).filter("around = other")
-        out = out.union(found.select("doc_id", "mark", "item_id", "pos", F.lit(length).alias("len")))
+        out = out.union(found.select("doc_id", "mark", F.lit(None).cast("int"), "item_id", "pos", F.lit(length)))
     return out
 
 
@@ -104,16 +118,15 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: i
     """
     only = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("mark", F.xxhash64("text"))
     known = items.filter(F.col(item_col).isNotNull()).select(F.col(item_col).cast("string").alias("item_id"), F.col(item_text_col).alias("text"))
-    at = hits(only, known, width, gram)
-    by_doc = at.groupBy("doc_id", "mark").agg(
-        F.array_sort(F.collect_set(F.struct("pos", "len"))).alias("at"),
+    by_doc = hits(only, known, width, gram).groupBy("doc_id", "mark").agg(
+        F.max("n_words").alias("n_words"),
+        F.count("n_words").alias("times"),
+        F.array_sort(F.collect_set(F.when(F.col("pos").isNotNull(), F.struct("pos", "len")))).alias("at"),
         F.array_sort(F.collect_set("item_id")).alias("items"),
     )
-    by_doc = by_doc.select(F.col("doc_id").alias("id"), F.col("mark").alias("m"), _covered(F.col("at")).cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
-    counted = only.select("doc_id", "mark", F.size(words(F.col("text"))).cast("long").alias("n_words"))
-    joined = counted.join(by_doc, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("m")), "left")
-    none = F.sha2(F.lit(""), 256)
-    return joined.select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
-        F.coalesce("items_sha256", none).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated"),
+    told = by_doc.select(
+        "doc_id", F.col("n_words").cast("long").alias("n_words"), _covered(F.col("at")).cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("at") > 0).alias("contaminated"), "times",
     )
+    # equal rows were counted together
+    return told.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).drop("times", "again")
