@@ -23,6 +23,8 @@ HIDDEN, ATTENTION, RANDOM = 8, 8, 4
 #: Labelled texts of each class from which the network learns, at most, and the longest of them in bytes.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 1500, 3000, 60_000
 PREDICT_AT = 0.7
+#: What is worked on at once, for memory's sake.
+WORDS_AT_ONCE, WINDOWS_AT_ONCE, TEXTS_AT_ONCE = 50_000, 5_000, 64
 
 _INPUTS = 4 + RANDOM
 _STRIP = bytes(range(33)) + b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -61,6 +63,24 @@ def _hashes(words: list[bytes], known: WordHashes) -> tuple[np.ndarray, np.ndarr
     return word, np.concatenate(runs) if runs else np.zeros(0, np.int64), np.concatenate(owner) if owner else np.zeros(0, np.int64)
 
 
+def _text_counts(texts: list[bytes], group: np.ndarray, known: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """For each of four groups of texts, the texts that have each bucket: of words, and of runs. A few texts at a time."""
+    out = np.zeros((4, 1 << WORD_BITS), np.int64), np.zeros((4, 1 << RUN_BITS), np.int64)
+    for k in range(0, len(texts), TEXTS_AT_ONCE):
+        words, at, n = _unique(texts[k : k + TEXTS_AT_ONCE])
+        word, run, owner = _hashes(words, known)
+        order = np.argsort(owner, kind="stable")
+        first = np.searchsorted(owner[order], np.arange(len(words) + 1))
+        once = np.unique(np.repeat(np.arange(len(n)), n) << np.int64(32) | at)
+        doc, w = once >> 32, once & 0xFFFFFFFF
+        size = first[w + 1] - first[w]
+        take = np.repeat(first[w] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        for total, owners, buckets in ((out[0], doc, word[w]), (out[1], np.repeat(doc, size), run[order[take]])):
+            pair = np.unique(owners << np.int64(32) | buckets)
+            np.add.at(total, (group[k + (pair >> 32)], pair & 0xFFFFFFFF), 1)
+    return out
+
+
 def _odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
     """Log odds of buckets by the texts of each class that have them, drawn to 0 where they are few."""
     seen = toxic + clean
@@ -76,17 +96,21 @@ class Inputs:
         self.random = np.random.default_rng(7).normal(0, 1, (1 << RUN_BITS, RANDOM)).astype(np.float32)
 
     def of(self, words: list[bytes], known: WordHashes) -> np.ndarray:
-        word, run, owner = _hashes(words, known)
         out = np.zeros((len(words), _INPUTS), np.float32)
+        for k in range(0, len(words), WORDS_AT_ONCE):
+            self._fill(words[k : k + WORDS_AT_ONCE], known, out[k : k + WORDS_AT_ONCE])
+        return out
+
+    def _fill(self, words: list[bytes], known: WordHashes, out: np.ndarray) -> None:
+        word, run, owner = _hashes(words, known)
         out[:, 0] = self.word[word]
         odds = self.run[run]
         np.maximum.at(out[:, 1], owner, odds)
         n = np.maximum(np.bincount(owner, minlength=len(words)), 1)
         out[:, 2] = np.bincount(owner, weights=odds, minlength=len(words)) / n
-        out[:, 3] = np.minimum([len(w) / 20 for w in words], 2) if words else 0
+        out[:, 3] = np.minimum([len(w) / 20 for w in words], 2)
         for k in range(RANDOM):
             out[:, 4 + k] = np.bincount(owner, weights=self.random[run, k], minlength=len(words)) / n
-        return out
 
 
 def windows(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -135,8 +159,9 @@ class Network:
         three, both = mask[:, :, None], []
         for way in "fb":
             keep = [] if memory is not None else None
-            gates = table @ self.p[f"x{way}"] + self.p[f"c{way}"]
-            both.append(self._read(way, gates[index], three, keep))
+            few = index.size < len(table)
+            gates = (table[index] if few else table) @ self.p[f"x{way}"] + self.p[f"c{way}"]
+            both.append(self._read(way, gates if few else gates[index], three, keep))
             if memory is not None:
                 memory[way] = keep
         h = np.concatenate(both, 2)
@@ -227,9 +252,9 @@ class Model:
         logits = np.zeros(len(doc), np.float32)
         if len(doc):
             table = self.inputs.of(words, known)
-            for k in range(0, len(doc), 20_000):
-                index, mask = _steps(begin[k : k + 20_000], size[k : k + 20_000], at)
-                logits[k : k + 20_000] = self.network.logits(table, index, mask)
+            for k in range(0, len(doc), WINDOWS_AT_ONCE):
+                index, mask = _steps(begin[k : k + WINDOWS_AT_ONCE], size[k : k + WINDOWS_AT_ONCE], at)
+                logits[k : k + WINDOWS_AT_ONCE] = self.network.logits(table, index, mask)
         x = (_summary(logits, doc, len(texts)) - self.middle) / self.scale
         return _sigmoid(x @ self.final[:-1] + self.final[-1])
 
@@ -238,33 +263,18 @@ def fit_texts(texts: list[bytes], toxic: np.ndarray) -> Model:
     """From whole texts and their labels. A text's words count for the log odds that other texts see, not for its own:
     two halves of the texts give each other's while the network learns."""
     known = WordHashes()
+    half = np.arange(len(texts)) % 2
+    counts = _text_counts(texts, 2 * half + toxic, known)
     words, at, n = _unique(texts)
     doc = np.repeat(np.arange(len(n)), n)
-    word, run, owner = _hashes(words, known)
-    half = np.arange(len(texts)) % 2
-
-    def pairs(bucket: np.ndarray, of_word: np.ndarray, bits: int) -> np.ndarray:
-        """Different pairs of text and bucket."""
-        order = np.argsort(of_word, kind="stable")
-        first = np.searchsorted(of_word[order], np.arange(len(words) + 1))
-        once = np.unique(doc << np.int64(32) | at)
-        d, w = once >> 32, once & 0xFFFFFFFF
-        size = first[w + 1] - first[w]
-        take = np.repeat(first[w] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        return np.unique(np.repeat(d, size) << np.int64(bits) | bucket[order[take]])
-
-    word_pairs, run_pairs = pairs(word, np.arange(len(words)), WORD_BITS), pairs(run, owner, RUN_BITS)
 
-    def inputs(use: np.ndarray) -> Inputs:
-        tables = []
-        for found, bits in ((word_pairs, WORD_BITS), (run_pairs, RUN_BITS)):
-            d, b = found >> bits, found & ((1 << bits) - 1)
-            count = lambda which, d=d, b=b, bits=bits: np.bincount(b[use[d] & (toxic[d] == which)], minlength=1 << bits)
-            tables.append(_odds(count(1), count(0), int((use & (toxic == 1)).sum()), int((use & (toxic == 0)).sum())))
-        return Inputs(*tables)
+    def inputs(halves: list[int]) -> Inputs:
+        total = lambda c, which: sum(c[2 * h + which] for h in halves)
+        size = [int((np.isin(half, halves) & (toxic == c)).sum()) for c in (0, 1)]
+        return Inputs(*[_odds(total(c, 1), total(c, 0), size[1], size[0]) for c in counts])
 
     # rows of one table: all words as the first half's odds have them, then as the second half's
-    other = [inputs(half == 1), inputs(half == 0)]
+    other = [inputs([1]), inputs([0])]
     table = np.concatenate([x.of(words, known) for x in other]) if words else np.zeros((1, _INPUTS), np.float32)
     at = at + half[doc] * len(words)
     begin, size, window_doc = windows(n)
@@ -282,7 +292,7 @@ def fit_texts(texts: list[bytes], toxic: np.ndarray) -> Model:
         index, mask = _steps(begin[chosen], size[chosen], at)
         weight = np.where(y[chosen] > 0, 0.5 / max(y[chosen].sum(), 1), 0.5 / max((1 - y[chosen]).sum(), 1)).astype(np.float32)
         network.train(table, index, mask, y[chosen], weight, 6, 0.01 if turn < 2 else 0.003, turn)
-        rank = np.concatenate([network.logits(table, *_steps(begin[k : k + 20_000], size[k : k + 20_000], at)) for k in range(0, len(begin), 20_000)])
+        rank = np.concatenate([network.logits(table, *_steps(begin[k : k + WINDOWS_AT_ONCE], size[k : k + WINDOWS_AT_ONCE], at)) for k in range(0, len(begin), WINDOWS_AT_ONCE)])
     x = _summary(rank, window_doc, len(texts))
     middle, scale = (x.mean(0), x.std(0) + 1e-3) if len(x) else (np.zeros(4), np.ones(4))
     x1 = np.concatenate([(x - middle) / scale, np.ones((len(x), 1))], 1)
@@ -290,7 +300,7 @@ def fit_texts(texts: list[bytes], toxic: np.ndarray) -> Model:
     for _ in range(300):  # Newton's method would do as well; the problem has five numbers
         p = _sigmoid(x1 @ final)
         final -= np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 + 0.5 * np.eye(5), x1.T @ (p - toxic) + 0.5 * final) * 0.5
-    return Model(inputs(np.ones(len(texts), bool)), network, final, middle, scale)
+    return Model(inputs([0, 1]), network, final, middle, scale)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
