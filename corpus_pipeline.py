@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.llm import decontaminate, langid, packing, pii, simhash
-from quarrymill.llm.common import stored, table
+from quarrymill.llm.common import counted, stored, table
 
 #: Not expressible in SQL: stages learn a model, hash by XXH64 and search for a packing.
 ORACLE_SQL = None
@@ -19,18 +19,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of near copies the document with the least doc_id, and one row of it. Rows without an id stay."""
-    found = simhash.near_duplicates(docs)
-    kept = stored(found.filter("doc_id = component_id").groupBy("doc_id").count(), "kept")
-    repeated = kept.filter("count > 1").select("doc_id")
-    out = docs.join(kept.filter("count = 1"), "doc_id", "left_semi").union(docs.filter("doc_id is null"))
+    found = stored(simhash.near_duplicates(docs), "groups")
+    repeated = stored(found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    gone = counted(found.filter("doc_id <> component_id").select("doc_id").union(repeated), "gone")
+    out = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     if not repeated.isEmpty():
-        out = out.union(docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+        out = out.union(docs.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
     return out
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that share no window with a benchmark item."""
-    hit = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated").select(F.col("doc_id").alias("hit")).distinct()
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
+    hit = counted(found.select(F.col("doc_id").alias("hit")).distinct(), "hit")
     return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit"]), "left_anti")
 
 

@@ -35,6 +35,17 @@ def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Ids that are broadcast at most; as hashed longs they take about 24 bytes each.
+MOST_IDS = 2_000_000
+
+
+def counted(ids: DataFrame, label: str, most: int = MOST_IDS) -> DataFrame:
+    """Writes and counts ids that are to be joined with a table: marked for broadcast if there are no more than `most`,
+    else left for a shuffle."""
+    at = stored(ids, label)
+    return F.broadcast(at) if at.limit(most + 1).count() <= most else at
+
+
 def tasks_for(spark: SparkSession, least: int = 1) -> int:
     """Number of partitions for a shuffle that deals by a computed key."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
