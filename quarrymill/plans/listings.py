@@ -143,9 +143,9 @@ def segment_stats(spark, d):
     return s.agg(F.count("*").alias("total"), F.count_if(F.col("n") >= 2).alias("eligible"), F.round(F.avg("n"), 1).alias("avg_n"))
 
 
-@query(LISTING + "select mk, mo, count(*) as n, round(avg(px), 2) as avg_px, min(px) as min_px, max(px) as max_px from listing where flag = 'R' group by mk, mo having count(*) >= 3")
+@query(LISTING + "select mk, mo, count(*) as n, round_even(round(sum(px), 2) / count(*), 0)::bigint as avg_px, min(px) as min_px, max(px) as max_px from listing where flag = 'R' group by mk, mo having count(*) >= 3")
 def realised_proxy(spark, d):
-    return listing(spark, d).filter("flag = 'R'").groupBy("mk", "mo").agg(F.count("*").alias("n"), F.round(F.avg("px"), 2).alias("avg_px"), F.min("px").alias("min_px"), F.max("px").alias("max_px")).filter("n >= 3")
+    return listing(spark, d).filter("flag = 'R'").groupBy("mk", "mo").agg(F.count("*").alias("n"), F.rint(F.round(F.sum("px"), 2) / F.count("*")).cast("long").alias("avg_px"), F.min("px").alias("min_px"), F.max("px").alias("max_px")).filter("n >= 3")
 
 
 @query("with c as (select l_suppkey, l_quantity as px, count(*) as k from lineitem group by all), t as (select l_suppkey, sum(k)::bigint as n, max(k) as top, arg_min(px, (-k, px)) as px from c group by l_suppkey) select l_suppkey, px, top, n, round(top / n, 6) as ratio, case when top / n >= 0.05 then 'BROKEN' when top / n >= 0.04 then 'watch' else 'ok' end as class from t where n >= 5".replace("arg_min(px, (-k, px))", "arg_min(px, {'a': -k, 'b': px})"))
@@ -243,16 +243,16 @@ _LOTS = "select event_id, case when user_id % 2 = 0 then 'error' else 'signup' e
 _ASOF = f"with rates as ({_RATES}), lots as ({_LOTS}), f as (select lots.*, (select {{'a': day, 'b': rate}} from rates where rates.cur = lots.cur and day <= sold_on and day >= sold_on - 12 order by day desc limit 1) as x from lots) "
 
 
-@query(_ASOF + "select event_id, cur, sold_on, x.a as rate_day, round(value * x.b, 2) as amount from f")
+@query(_ASOF + "select event_id, cur, sold_on, x.a as rate_day, round(value * x.b, 4) as amount from f")
 def fx_asof(spark, d):
     out = M.as_of(_lots(spark, d), _rates(spark, d), "cur", "sold_on", "day", "rate", 12)
-    return out.select("event_id", "cur", "sold_on", "rate_day", F.round(F.col("value") * F.col("rate"), 2).alias("amount"))
+    return out.select("event_id", "cur", "sold_on", "rate_day", F.round(F.col("value") * F.col("rate"), 4).alias("amount"))
 
 
-@query(_ASOF + ", a as (select cur, value * x.b as amount, value from f) select cur, count(amount) as n, round(min(amount), 2) as min_px, round(quantile_cont(amount, 0.5), 2) as median_px, round(max(amount), 2) as max_px, round(quantile_cont(amount - value, 0.5), 2) as median_gap from a group by cur")
+@query(_ASOF + ", a as (select cur, value * x.b as amount, value from f) select cur, count(amount) as n, round(min(amount), 4) as min_px, round(quantile_cont(amount, 0.5), 6) as median_px, round(max(amount), 4) as max_px, round(quantile_cont(amount - value, 0.5), 6) as median_gap from a group by cur")
 def hammer_comps(spark, d):
     out = M.as_of(_lots(spark, d), _rates(spark, d), "cur", "sold_on", "day", "rate", 12).withColumn("amount", F.col("value") * F.col("rate"))
-    return out.groupBy("cur").agg(F.count("amount").alias("n"), F.round(F.min("amount"), 2).alias("min_px"), F.round(F.percentile("amount", 0.5), 2).alias("median_px"), F.round(F.max("amount"), 2).alias("max_px"), F.round(F.percentile(F.col("amount") - F.col("value"), 0.5), 2).alias("median_gap"))
+    return out.groupBy("cur").agg(F.count("amount").alias("n"), F.round(F.min("amount"), 4).alias("min_px"), F.round(F.percentile("amount", 0.5), 6).alias("median_px"), F.round(F.max("amount"), 4).alias("max_px"), F.round(F.percentile(F.col("amount") - F.col("value"), 0.5), 6).alias("median_gap"))
 
 
 @query("with b as (select l_quantity > 40 as a0, l_quantity > 30 as a1, l_discount > 0.05 as b0, l_discount > 0.05 or l_tax > 0.04 as b1 from lineitem) select 'bulk0' as flag, count(*) filter (where a0) as before, count(*) filter (where not a0 and a1) as gain, count(*) filter (where a1) as after from b union all select 'cheap0', count(*) filter (where b0), count(*) filter (where not b0 and b1), count(*) filter (where b1) from b")
@@ -304,9 +304,9 @@ def first_token_match(spark, d):
     return M.by_first_token(part.select("p_partkey", "p_brand", "p_name"), ref, "p_partkey", "p_brand", "p_name", "ref_mk", "ref_mo").select("p_partkey", "matched")
 
 
-@query("""with s as (select list_distinct(string_split(lower(p_brand), '#')) as b, string_split(p_name, ' ') as m, count(*) as sales from part where p_size > 25 group by all),
-q as (select p_partkey, list_distinct(string_split(lower(p_brand), '#')) as b, string_split(p_name, ' ') as m from part where p_size <= 25),
-p as (select distinct q.p_partkey, array_to_string(s.b, ' ') as seg_brand, array_to_string(s.m, ' ') as seg_model, s.sales, len(list_intersect(s.m, q.m))::int as inter, len(list_distinct(s.m))::int as n_seg, case when list_has_all(q.m, s.m) then 'SEG_IN_Q' else 'Q_IN_SEG' end as direction
+@query("""with s as (select lower(p_brand) as b, string_split(p_name, ' ') as m, count(*) as sales from part where p_size > 25 group by all),
+q as (select p_partkey, lower(p_brand) as b, string_split(p_name, ' ') as m from part where p_size <= 25),
+p as (select distinct q.p_partkey, s.b as seg_brand, array_to_string(s.m, ' ') as seg_model, s.sales, len(list_intersect(s.m, q.m))::int as inter, len(list_distinct(s.m))::int as n_seg, case when list_has_all(q.m, s.m) then 'SEG_IN_Q' else 'Q_IN_SEG' end as direction
   from q join s on q.b = s.b and (list_has_all(q.m, s.m) or list_has_all(s.m, q.m)))
 select * from (select *, row_number() over (partition by p_partkey order by inter desc, sales desc, n_seg desc, seg_brand, seg_model)::int as rank from p) where rank <= 3""")
 def token_subset_top3(spark, d):
@@ -319,7 +319,7 @@ def token_subset_top3(spark, d):
 def interval_generation(spark, d):
     dim = table(spark, d, "part").groupBy(F.col("p_brand").alias("b"), F.array_distinct(F.split("p_type", " ")).alias("words")).agg(F.concat(F.lit("g"), F.min("p_size")).alias("code"), (1995 + F.min("p_size") % 3).alias("y0"), (1998 + F.max("p_size") % 4).alias("y1"))
     rows = listing(spark, d).filter("id % 10 = 1").select("id", "mk", F.split("typ", " ").alias("w"), "yr")
-    return M.interval(rows, dim, "id", "mk", "w", "yr", "b", "words", "code", "y0", "y1").select("id", "code")
+    return M.interval(rows, dim, "id", "mk", "w", "yr", "b", "words", "code", "y0", "y1").select("id", "code").distinct()
 
 
 @query("with k as (select key, min(s_suppkey) as s_suppkey from (select s_suppkey, s_name as key from supplier union all select s_suppkey, 'n' || s_nationkey::varchar from supplier) group by key) select c_custkey, s_suppkey from customer left join k on key = 'n' || c_nationkey::varchar")
@@ -518,27 +518,27 @@ def archive_split(spark, d):
     return gone.select(F.lit("archive").alias("part")).union(kept.select(F.lit("keep"))).groupBy("part").agg(F.count("*").alias("n"))
 
 
-_OLD, _NEW = "select c_custkey as k, c_acctbal as v, 0::bigint as at from customer where c_custkey % 3 <> 0", "select o_custkey as k, o_totalprice as v, o_orderkey as at from orders"
+_OLD, _NEW = "select c_custkey as k, c_acctbal as v, 0::bigint as stamp from customer where c_custkey % 3 <> 0", "select o_custkey as k, o_totalprice as v, o_orderkey as stamp from orders"
 
 
 def _old_new(spark, d):
-    old = table(spark, d, "customer").filter("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("v"), F.lit(0).cast("long").alias("at"))
-    return old, table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.col("o_totalprice").alias("v"), F.col("o_orderkey").alias("at"))
+    old = table(spark, d, "customer").filter("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("v"), F.lit(0).cast("long").alias("stamp"))
+    return old, table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.col("o_totalprice").alias("v"), F.col("o_orderkey").alias("stamp"))
 
 
-@query(f"with o as ({_OLD}), n as (select k, v, at from (select *, row_number() over (partition by k order by at desc) as r from ({_NEW})) where r = 1) select * from n union all select * from o where k not in (select k from n)")
+@query(f"with o as ({_OLD}), n as (select k, v, stamp from (select *, row_number() over (partition by k order by stamp desc) as r from ({_NEW})) where r = 1) select * from n union all select * from o where k not in (select k from n)")
 def upsert_merge(spark, d):
     old, new = _old_new(spark, d)
-    return C.upsert(old, new, ["k"], "at")
+    return C.upsert(old, new, ["k"], "stamp")
 
 
-@query(f"with o as ({_OLD}), n as (select k, max(v) as v, max(at) as at from ({_NEW}) group by k) select o.k, o.v, o.at from o union all select k, v, at from n where k not in (select k from o)")
+@query(f"with o as ({_OLD}), n as (select k, max(v) as v, max(stamp) as stamp from ({_NEW}) group by k) select o.k, o.v, o.stamp from o union all select k, v, stamp from n where k not in (select k from o)")
 def upsert_ignore(spark, d):
     old, new = _old_new(spark, d)
-    return C.insert_new(old, new.groupBy("k").agg(F.max("v").alias("v"), F.max("at").alias("at")), ["k"])
+    return C.insert_new(old, new.groupBy("k").agg(F.max("v").alias("v"), F.max("stamp").alias("stamp")), ["k"])
 
 
-@query(f"with o as ({_OLD}), n as (select k, max(v) as v from ({_NEW}) group by k) select k, coalesce(n.v, o.v) as v, at from o left join n using (k)")
+@query(f"with o as ({_OLD}), n as (select k, max(v) as v from ({_NEW}) group by k) select k, coalesce(n.v, o.v) as v, stamp from o left join n using (k)")
 def update_from(spark, d):
     old, new = _old_new(spark, d)
     return C.update_from(old, new.groupBy("k").agg(F.max("v").alias("v")), ["k"], ["v"])
