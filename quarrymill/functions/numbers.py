@@ -181,4 +181,4 @@ def haversine_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colum
 def parse_date_fr(text: Column) -> Column:
     """dd/mm/yyyy or mm/yyyy, null if no such day."""
     t = F.replace(text, F.lit("-"), F.lit("/"))
-    return F.coalesce(F.try_to_date(t, F.lit("d/M/yyyy")), F.try_to_date(F.concat(F.lit("1/"), F.when(t.rlike(r"^\d{1,2}/\d{4}$"), t)), F.lit("d/M/yyyy")))
+    return F.coalesce(F.try_to_date(t, "d/M/yyyy"), F.try_to_date(F.concat(F.lit("1/"), F.when(t.rlike(r"^\d{1,2}/\d{4}$"), t)), "d/M/yyyy"))
