@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: A subtree belongs to the template if it is on at least so many pages of its host, and on this share of them.
-LEAST_PAGES, LEAST_SHARE = 8, 0.3
+LEAST_PAGES, LEAST_SHARE = 8, 0.5
 #: So many pairs of host and template hash are broadcast at most (16 bytes each); more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 
@@ -34,6 +34,9 @@ _MARKS = frozenset(
     "nav navbar navigation menu menus submenu breadcrumb breadcrumbs sidebar sidebars masthead topbar toolbar header footer colophon comment comments commentlist disqus reply replies respond "
     "newsletter subscribe subscription signup login share sharing social related recommended recommendations widget widgets pagination pager skip form search".split()
 )
+#: Those among them that say what an element holds, not how it is laid out; the others may also stand on a frame around
+#: the article (`with-sidebar`).
+_FIRM = frozenset("comment comments commentlist disqus reply replies respond related recommended recommendations newsletter cookie cookies consent gdpr modal popup".split())
 #: What ends an open element of the same list, up to the nearest of the second names.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select", "datalist"})}
 
@@ -46,25 +49,31 @@ _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 class _Element:
     __slots__ = ("kind", "parts", "skip", "tag")
 
-    def __init__(self, tag: str, kind: str, skip: bool):
+    def __init__(self, tag: str, kind: str, skip: int):
+        # skip: 0 for none, 1 by words of layout, 2 for good
         self.tag, self.kind, self.skip, self.parts = tag, kind, skip, [tag.encode()]
 
 
-def _role(tag: str, attrs: str) -> tuple[str, bool]:
-    """What an element is (article, main or nothing), and whether its own words rule it out."""
-    kind, skip = {"article": "article", "main": "main"}.get(tag, ""), tag in _SKIP
+def _role(tag: str, attrs: str, inside: bool) -> tuple[str, int]:
+    """What an element is (article, main or nothing), and whether its own words rule it out: 1 if only by words of layout.
+    A header is no reason inside an article: it has the article's own title."""
+    kind, skip = {"article": "article", "main": "main"}.get(tag, ""), 2 * (tag in _SKIP or tag == "header" and not inside)
     if attrs and "=" in attrs or "hidden" in attrs:
         for m in _ATTR.finditer(attrs):
             name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if name == "role":
-                skip |= value in _ROLES
+                skip = 2 if value in _ROLES else skip
                 kind = kind or ("main" if value == "main" else "")
             elif name == "itemprop" and value == "articlebody":
                 kind = "article"
             elif name == "hidden" or name == "aria-hidden" and value == "true":
-                skip |= tag not in ("html", "body")
+                skip = 2 if tag not in ("html", "body") else skip
             elif name in ("class", "id") and tag not in ("html", "body", "main", "article"):
-                skip |= not _MARKS.isdisjoint(_SPLIT.split(value))
+                found = _MARKS.intersection(_SPLIT.split(value))
+                if inside:
+                    found -= {"header"}
+                if found:
+                    skip = max(skip, 2 if found & _FIRM or inside else 1)
     return kind, skip
 
 
@@ -99,9 +108,10 @@ def subtrees(page: str) -> tuple[list[tuple[str, bool, tuple[int, ...]]], list[t
         done[number] = (sign, bool(inside) and element.tag in _FLOW or element.kind != "" or element.tag in ("html", "body"))
         if stack:
             stack[-1].parts.append(sign.to_bytes(8, "little"))
-        skipping -= element.skip
-        inside -= element.kind == "article" and not skipping
-        mains -= element.kind == "main" and not skipping
+        skipping -= element.skip > 0
+        counted = not skipping and not element.skip
+        inside -= counted and element.kind == "article"
+        mains -= counted and element.kind == "main"
 
     at = 0
     while at < len(page):
@@ -150,15 +160,19 @@ def subtrees(page: str) -> tuple[list[tuple[str, bool, tuple[int, ...]]], list[t
                     while len(stack) > k:
                         close()
                     break
-        kind, skip = _role(tag, m[3])
-        if tag == "header" and not inside:
-            skip = True
+        kind, skip = _role(tag, m[3], inside > 0)
+        if kind and skipping and not has_article and not skip and all(e.skip < 2 for e in stack):
+            # a frame around the first article is no part to leave out, whatever its words say
+            for e in stack:
+                e.skip = 0
+            skipping = 0
+            text.clear()
         if skip:
             flush()
         inside += kind == "article" and not skipping and not skip
         mains += kind == "main" and not skipping and not skip
         has_article |= kind == "article" and not skipping and not skip
-        skipping += skip
+        skipping += skip > 0
         stack.append(_Element(tag, kind, skip))
         ids.append(len(done))
         done.append((0, False))
