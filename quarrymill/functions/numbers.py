@@ -11,6 +11,28 @@ COLLECTOR_AGE = 25
 PRICE_BANDS = [(25_000, "lt25k"), (100_000, "25_100k"), (500_000, "100_500k")]
 UPCOMING_HOURS = 72
 
+# Makes that may cost so much, each list besides the one before; models that may although their make does
+# not; makes and titles that no whole car has.
+HYPERCAR_MAKES = (
+    "bugatti|pagani|koenigsegg|pininfarina|rimac|hennessey|ssc|gumpert|apollo|devel|arrinera|isdera|vector|isotta fraschini|ferrari|lamborghini|mclaren|aston martin|aston-martin|"
+    "mercedes-benz|mercedes|amg|porsche|rolls-royce|rolls royce|rollsroyce|bentley|maybach|duesenberg|cord|iso|bizzarrini|delahaye|delage"
+).split("|")
+SUPERCAR_MAKES = HYPERCAR_MAKES + (
+    "maserati|lotus|shelby|cobra|lancia|alfa romeo|alfa-romeo|alfaromeo|spyker|noble|morgan|tvr|wiesmann|italdesign|zagato|touring|facel vega|panhard|dallara|alpine|donkervoort|radical|ktm|bac|ariel|caterham"
+).split("|")
+LUXURY_MAKES = SUPERCAR_MAKES + (
+    "bmw|audi|jaguar|land rover|land-rover|range rover|range-rover|lexus|volvo|tesla|cadillac|lincoln|chevrolet|corvette|mini|brabus|alpina|mansory|ruf|techart"
+).split("|")
+SUPERCAR_MODELS = [("ford", "gt"), ("lexus", "lfa"), ("acura", "nsx"), ("honda", "nsx")]
+NO_MAKES = (
+    "inconnu|voiture|vend|véhicule|vehicule|auto|automobiles|compteur|serrure|lot|portfolio|kit|piece|piéce|pièce|jante|phare|cache|porte|marketplace|back|breadcrumb|la|le|les|t-roc|porte-pièces"
+).split("|")
+NO_CAR = (
+    r"\bcompteur\b|\bserrure\b|\bporte[\s-]?pi[èe]ces?\b|\bdistributeur\b|\ballumage\b|\bjante\s+seule\b|\bpneu\s+seul\b|\bvolant\s+seul\b|\bphare\s+seul\b|\bsi[èe]ge\s+seul\b|\brétroviseur\s+seul\b|"
+    r"\bpot\s+d.?[ée]chappement\b|\bbougie\b|\bcourroie\b|\bbatterie\s+\d|\bplaquette\s+de\s+frein\b|\bportfolio\b|\bposter\b|\bmaquette\b|\bminiature\b|\b1[/:](?:12|18|24|32|43|64|87)\b|\blivre\b|\bmagazine\b|"
+    r"\brevue\b|\bmanuel\b|\bautocollant\b|\bsticker\b|\bport[\s-]cl[ée]s?\b|\blot\s+de\b|\bensemble\s+de\b|\bmarketplace\s+sidebar\b|\bback\s+to\s+previous\b|\bla\s+page\s+s.?ouvre\b|\bbreadcrumb\b|\br[ée]plique\b"
+)
+
 
 def parse_price(text: Column) -> Column:
     """Of `.` and `,` the last is the decimal mark; alone, one before three digits marks thousands. Null if not positive."""
@@ -110,9 +132,17 @@ def validate_reason(title: Column, make: Column, model: Column, price: Column, y
     asked = on_request(F.concat_ws(" ", full, mo, none(text)))
     age = as_of_year - year
     unknown = F.lit(False) if brands is None else ~mk.isin(brands)
+    low = F.lower(mk)
+    excepted = F.lit(False)
+    for part, name in SUPERCAR_MODELS:
+        excepted = excepted | (low.contains(part) & F.lower(mo).contains(name))
+    dear = (age < COLLECTOR_AGE) & price.isNotNull()
+    fits = F.when(price >= HYPERCAR, low.isin(HYPERCAR_MAKES)).when(price >= SUPERCAR, low.isin(SUPERCAR_MAKES) | excepted).when(price >= LUXURY, low.isin(LUXURY_MAKES)).otherwise(F.lit(True))
     return (
         F.when(F.length(full) < 5, "title_short")
         .when(F.length(mk) < 2, "make_missing")
+        .when(full.rlike("(?iu)" + NO_CAR), "title_no_car")
+        .when(low.isin(NO_MAKES), "make_none")
         .when(mk.rlike(r"^\d{2,4}$"), "make_numeric")
         .when(unknown, "make_unknown")
         .when(price.isNull() & ~asked, "price_invalid")
@@ -121,6 +151,7 @@ def validate_reason(title: Column, make: Column, model: Column, price: Column, y
         .when(year.isNull(), "year_invalid")
         .when(year < 1900, "year_old")
         .when(year > as_of_year + 1, "year_future")
+        .when(dear & ~fits, "price_make")
         .when(km < 0, "km_negative")
         .when(km > 1_000_000, "km_absurd")
         .when((age < 3) & (price < 3000), "recent_cheap")

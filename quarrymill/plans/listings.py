@@ -434,7 +434,7 @@ def tiers(spark, d):
     return rows.select("id", "tier", N.km_tier(F.col("km"), F.col("tier")).alias("km_tier"))
 
 
-@query(LISTING + ", v as (select id, mk, mo, case when sz = 7 then null else px - 1000 end as p, yr + sz % 8 as y, km - 3000 as k from listing) select id, case when p is null then 'price_invalid' when p < 500 then 'price_low' when y > 2003 then 'year_future' when k < 0 then 'km_negative' when 2002 - y < 3 and p < 3000 then 'recent_cheap' end as reason from v")
+@query(LISTING + ", v as (select id, mk, mo, case when sz = 7 then null else px - 1000 end as p, yr + sz % 8 as y, km - 3000 as k from listing) select id, case when p is null then 'price_invalid' when p < 500 then 'price_low' when y > 2003 then 'year_future' when p >= 100000 then 'price_make' when k < 0 then 'km_negative' when 2002 - y < 3 and p < 3000 then 'recent_cheap' end as reason from v")
 def validate_reason(spark, d):
     rows = listing(spark, d).select("id", "mk", "mo", F.when(F.col("sz") != 7, F.col("px") - 1000).alias("p"), (F.col("yr") + F.col("sz") % 8).alias("y"), (F.col("km") - 3000).alias("k"))
     return rows.select("id", N.validate_reason(F.lit(None).cast("string"), F.col("mk"), F.col("mo"), F.col("p"), F.col("y"), F.col("k"), F.lit(""), None, 2002).alias("reason"))

@@ -207,7 +207,7 @@ def sink_tsv(spark, d):
 
 _WORDS = ["full service history, première main", "sans carnet, garage chauffé, 3 owners", "carnet d'entretien, matching numbers, modified", "série limitée 1 of 500, centre agréé", "plain"]
 _FLAG_SQL = {
-    "carnet_present": "k in (0, 2)", "carnet_complet": "k = 0", "first_owner": "k = 0", "garage_chauffe": "k = 1", "matching_numbers": "k = 2", "etat_origine": "false", "serie_limitee": "k = 3", "suivi_constructeur": "k = 3",
+    "service_book": "k in (0, 2)", "full_book": "k = 0", "first_owner": "k = 0", "garage_chauffe": "k = 1", "matching_numbers": "k = 2", "etat_origine": "false", "serie_limitee": "k = 3", "suivi_constructeur": "k = 3",
 }
 
 
@@ -222,7 +222,7 @@ def features_v1(spark, d):
     return _described(spark, d).select("p_partkey", *[flag[n].alias(n) for n in _FLAG_SQL], X.owners(F.col("de")).alias("owners"))
 
 
-@query("with p as (select p_partkey, p_partkey % 5 as k from part) select p_partkey, case k when 0 then 8 + 10 + 7 + 12 when 1 then 8 + 7 + 7 + 2 when 2 then 8 + 12 + 7 + 5 when 3 then 8 + 7 + 7 + 7 + 10 else 8 + 7 + 7 end::int as score, case k when 0 then 'carnet complet|première main|faible km' when 1 then '3 propriétaires|faible km' when 2 then 'carnet présent|matching numbers|faible km' when 3 then 'suivi constructeur|faible km|série limitée' else 'faible km' end as chips from p")
+@query("with p as (select p_partkey, p_partkey % 5 as k from part) select p_partkey, case k when 0 then 8 + 10 + 7 + 12 when 1 then 8 + 7 + 7 + 2 when 2 then 8 + 12 + 7 + 5 when 3 then 8 + 7 + 7 + 7 + 10 else 8 + 7 + 7 end::int as score, case k when 0 then 'full service book|première main|faible km' when 1 then '3 propriétaires|faible km' when 2 then 'service book|matching numbers|faible km' when 3 then 'suivi constructeur|faible km|série limitée' else 'faible km' end as chips from p")
 def feature_score(spark, d):
     flag, n, tier, km = X.flags(F.col("de")), X.owners(F.col("de")), F.lit("luxury"), F.lit("low_km")
     return _described(spark, d).select("p_partkey", X.feature_score(flag, n, tier, km).alias("score"), F.array_join(X.chips(flag, n, km), "|").alias("chips"))
