@@ -26,12 +26,23 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+_WRITTEN: list[str] = []
+
+
+def clear_stored(spark: SparkSession) -> None:
+    """Deletes what this driver has stored so far. For when all results are written: those that are not read from it."""
+    for path in _WRITTEN:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _WRITTEN.clear()
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back: cuts lineage, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quarrymill/{label}-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(by) if by else writer).parquet(path)
+    _WRITTEN.append(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
