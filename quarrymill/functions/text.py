@@ -80,6 +80,11 @@ def _any(words: list[str]) -> str:
     return "|".join("".join("\\" + c if c in special else c for c in w) for w in words)
 
 
+def _let(value: Column, body) -> Column:
+    """body of a value that is computed once for each row, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 # ---- normal forms ----
 
 
@@ -190,13 +195,11 @@ def sold_verdict(page: Column) -> Column:
     their order. Phrases that only look like marks are taken out first.
     """
     quiet = lambda text: F.regexp_replace(text, "(?i)" + SOLD_NOISE, " ")
-    clean = quiet(F.lower(page))
+    soft = lambda text: F.when(text.rlike(rf"(?U)\b(?:{'|'.join(SOLD_SOFT)})\b"), F.coalesce(*[F.when(text.rlike(rf"(?U)\b{m}\b"), F.lit(m)) for m in SOLD_SOFT]))
+    hard = lambda text: F.coalesce(*[F.when(F.contains(text, F.lit(m)), F.lit(m)) for m in SOLD_HARD])
     head = quiet(F.concat(element_text(page, "title"), F.lit(" ¦ "), element_text(page, "h1")))
-    visible = visible_text(page)
-    short = F.when(F.length(visible) < SHORT_PAGE, quiet(F.lower(visible)))
-    first = lambda text, marks, how: F.coalesce(*[F.when(how(text, m), F.lit(m)) for m in marks])
-    word = lambda text, m: text.rlike(rf"(?U)\b{m}\b")
-    return F.coalesce(first(clean, SOLD_HARD, lambda t, m: F.contains(t, F.lit(m))), first(head, SOLD_SOFT, word), first(short, SOLD_SOFT, word))
+    short = _let(visible_text(page), lambda v: F.when(F.length(v) < SHORT_PAGE, quiet(F.lower(v))))
+    return F.coalesce(_let(quiet(F.lower(page)), hard), _let(head, soft), _let(short, soft))
 
 
 def redirected_away(asked: Column, final: Column) -> Column:
@@ -243,12 +246,19 @@ def platform_scores(page: Column) -> dict[str, Column]:
 
 def language_by_stop_words(text: Column, default: str = "fr") -> Column:
     """The language with the most stop words; of equal ones the first in the list; without any, the default."""
-    counts = {lang: F.size(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(?iU)\b(?:" + "|".join(words.split()) + r")\b"), F.lit(0))) for lang, words in STOP_WORDS.items()}
-    best = F.greatest(*counts.values())
-    out = F.when(best <= 0, F.lit(default))
-    for lang, n in counts.items():
-        out = out.when(n == best, F.lit(lang))
-    return out
+    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(?U)\w+"), F.lit(0))
+
+    def count(words: Column) -> Column:
+        among = lambda names: F.size(F.filter(words, lambda w: w.isin(names.split())))
+        return F.array(*[among(names) for names in STOP_WORDS.values()])
+
+    def choose(counts: Column) -> Column:
+        most, out = F.array_max(counts), None
+        for k, lang in enumerate(STOP_WORDS):
+            out = (F if out is None else out).when(F.get(counts, F.lit(k)) == most, F.lit(lang))
+        return F.when(most <= 0, F.lit(default)).otherwise(out)
+
+    return _let(_let(found, count), choose)
 
 
 def mapped(text: Column, names: dict[str, str]) -> Column:
