@@ -22,8 +22,15 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words(text: Column) -> Column:
-    """The words of a text, not lower-cased. Null: none."""
-    return F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), F.lit(0))
+    """The words of a text, not lower-cased. Null: none. Splitting is cheaper than matching: Java copies a match's state."""
+
+    def inner(parts: Column) -> Column:
+        # a text that begins or ends with a separator has an empty part there
+        begin = (F.get(parts, F.lit(0)) == "").cast("int")
+        end = ((F.size(parts) > 1) & (F.element_at(parts, -1) == "")).cast("int")
+        return F.slice(parts, begin + 1, F.size(parts) - begin - end)
+
+    return let(F.split(F.coalesce(text.cast("string"), F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", -1), inner)
 
 
 def _hashed(found: Column) -> Column:
