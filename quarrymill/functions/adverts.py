@@ -9,7 +9,7 @@ from quarrymill.functions.text import norm_words
 
 # Currency marks, words of dealers, bounds of a price and of a description.
 CURRENCY = r"(?:€|EUR|CHF|\$|USD|£|GBP)"
-GAP = r"[\s.  ’‘']"
+GAP = r"[\s.\u00a0\u202f’‘']"
 PRICE_PATTERNS = [
     rf"(\d{{1,3}}(?:{GAP}\d{{3}}){{1,2}})\s*{CURRENCY}",
     rf"{CURRENCY}\s*(\d{{1,3}}(?:{GAP}\d{{3}}){{1,2}})",
@@ -19,6 +19,15 @@ PRICE_PATTERNS = [
 LEAST_PRICE, MOST_PRICE = 500, 5_000_000
 SHORTEST, LONGEST = 50, 8000
 RECENT_MONTHS = 18
+JOINING = "en de du des la le les sur sous aux au lès et d' l'".split()
+#: What tells a photo from others in its address, by the way a site builds it.
+PHOTO_KEYS = {
+    "uuid": r"/prod-ads/images/[0-9a-f]{2}/([0-9a-f-]{36})",
+    "car_number": r"/uploads/cars/\d+/(\d+)/",
+    "hash": r"(?i)/image/(i[0-9a-f]+)/",
+    "media": r"(?i)/media/([^/]+)",
+    "pair": r"/photo/(\d+/\d+/[^/?]+)",
+}
 
 
 def extract_price(text: Column) -> Column:
@@ -100,3 +109,18 @@ def call_cost(tokens: dict[str, Column], per_million: dict[str, float], rate: fl
 
 def run_state(failed: Column, cards: Column, extracted: Column, new: Column) -> Column:
     return F.when(failed, "red").when(new > 0, "green").when((cards > 0) & (extracted == 0), "yellow").when(cards == 0, "orange").when(extracted > 0, "yellow").otherwise("white")
+
+
+def clean_city(text: Column) -> Column:
+    """Without a postal code before it; words in title case, also after a hyphen; joining words small but for the first."""
+    tidy = F.regexp_replace(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " ")), r"^\d{4,6}\s+", "")
+    parts = F.split(F.lower(tidy), r"(?<=[\s'-])")
+    small = lambda w: F.regexp_replace(w, r"[\s-]+$", "").isin(JOINING) & w.rlike(r"[\s'-]$")
+    return F.array_join(F.transform(parts, lambda w, i: F.when((i > 0) & small(w), w).otherwise(F.initcap(w))), "")
+
+
+def photo_key(url: Column, mode: str) -> Column:
+    """What photos of one address have in common; the file's name in mode `name` or where the mode's mark is missing."""
+    bare = F.split_part(url, F.lit("?"), F.lit(1))
+    name = F.regexp_extract(bare, "([^/]*)$", 1)
+    return name if mode == "name" else F.coalesce(F.nullif(F.regexp_extract(bare, PHOTO_KEYS[mode], 1), F.lit("")), bare)

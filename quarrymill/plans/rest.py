@@ -87,7 +87,7 @@ def stale_count(spark, d):
 def city_quality(spark, d):
     said = F.when(F.col("s_acctbal") < 0, "").when(F.col("s_suppkey") % 3 == 0, "n/a").otherwise(F.col("s_name"))
     kind = F.when(said == "", "empty").when(T.is_city(said), "city").otherwise("junk")
-    return table(spark, d, "supplier").withColumn("kind", kind).groupBy("s_nationkey").pivot("kind", ["city", "junk", "empty"]).agg(F.count("*")).fillna(0)
+    return table(spark, d, "supplier").withColumn("kind", kind).groupBy("s_nationkey").pivot("kind", ["city", "junk", "empty"]).agg(F.count(F.lit(1))).fillna(0)
 
 
 @query("select p_partkey, p_brand, p_size from part where list_has_any(string_split(p_type, ' '), ['ECONOMY', 'SMALL', 'economy', 'small']) is distinct from true")
@@ -248,3 +248,20 @@ def mode_size(spark, d):
 @query("select user_id, min(ts) as first_seen, max(ts) as last_seen, count(*) as times_seen from events where event_type = 'view' group by user_id having count(*) > 3")
 def seen_often(spark, d):
     return C.lifespan(table(spark, d, "events").filter("event_type = 'view'"), "user_id", "ts").filter("times_seen > 3")
+
+
+@query("select c_custkey, case c_custkey % 3 when 0 then 'Aix-en-Provence' when 1 then 'Saint-Denis' else 'L''Haÿ les Roses' end as city from customer")
+def clean_city(spark, d):
+    k = F.col("c_custkey") % 3
+    said = F.when(k == 0, " 13100  AIX-EN-PROVENCE").when(k == 1, "saint-denis").otherwise("L'HAŸ LES ROSES")
+    return table(spark, d, "customer").select("c_custkey", V.clean_city(said).alias("city"))
+
+
+@query("select p_partkey, case p_partkey % 4 when 0 then p_size::varchar when 1 then 'i0ab' when 2 then 'm_1.jpg' else 'x.jpg' end as key from part")
+def photo_keys(spark, d):
+    k, n = F.col("p_partkey") % 4, F.col("p_size").cast("string")
+    by = {0: ("car_number", F.concat(F.lit("https://a/uploads/cars/77/"), n, F.lit("/b.jpg?w=1"))), 1: ("hash", F.lit("https://a/image/i0ab/v/1.jpg")), 2: ("media", F.lit("https://a/media/m_1.jpg/v1/fit")), 3: ("name", F.lit("https://a/800x600/x.jpg?y"))}
+    out = None
+    for at, (mode, url) in by.items():
+        out = (F if out is None else out).when(k == at, V.photo_key(url, mode))
+    return table(spark, d, "part").select("p_partkey", out.alias("key"))
