@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.llm import decontaminate, langid, packing, pii, simhash
-from quarrymill.llm.common import counted, stored, table
+from quarrymill.llm.common import MOST_IDS, counted, stored, table
 
 #: Not expressible in SQL: stages learn a model, hash by XXH64 and search for a packing.
 ORACLE_SQL = None
+#: Pairs of id and mark that are broadcast at most; hashed, they take about three times the room of ids alone.
+MOST_KEYS = MOST_IDS // 3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,22 +19,32 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.accepted(docs, langid.fit(docs))
 
 
+def _with(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """The rows of docs whose id and text are (left_semi) or are not (left_anti) among keys: id and mark, of rows judged."""
+    return docs.join(keys, docs["doc_id"].eqNullSafe(keys["id"]) & (F.xxhash64(docs["text"]) == keys["mark"]), how)
+
+
+def _keys(found: DataFrame) -> DataFrame:
+    return found.select(F.col("doc_id").alias("id"), "mark")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near copies the document with the least doc_id, and one row of it. Rows without an id stay."""
-    found = stored(simhash.near_duplicates(docs), "groups")
-    repeated = stored(found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
-    gone = counted(found.filter("doc_id <> component_id").select("doc_id").union(repeated), "gone")
-    out = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Keeps of each group of near copies one row: that of the least doc_id, then of the least hash of its text. Rows
+    without an id are compared like others, and stay only where no row of their group has an id."""
+    found = stored(simhash.copies(docs), "groups")
+    repeated = stored(_keys(found.filter("not copy")).groupBy("id", "mark").count().filter("count > 1").select("id", "mark"), "repeated")
+    out = _with(docs, counted(_keys(found.filter("copy")).union(repeated), "gone", MOST_KEYS), "left_anti")
     if not repeated.isEmpty():
-        out = out.union(docs.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+        again = _with(docs, repeated, "left_semi").withColumn("_mark", F.xxhash64("text"))
+        out = out.union(again.dropDuplicates(["doc_id", "_mark"]).drop("_mark"))
     return out
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that share no window with a benchmark item."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
-    hit = counted(found.select(F.col("doc_id").alias("hit")).distinct(), "hit")
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit"]), "left_anti")
+    """Keeps documents that share no window with a benchmark item. Rows are judged each by its own text, whatever others
+    have its id."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), marks=True).filter("contaminated")
+    return _with(docs, counted(_keys(found).distinct(), "hit", MOST_KEYS), "left_anti")
 
 
 def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

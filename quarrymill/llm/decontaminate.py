@@ -115,8 +115,9 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(spans, start, add, lambda a: a["total"])
 
 
-def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", marks: bool = False) -> DataFrame:
+    """One row for each row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated; with marks, also mark,
+    the text's xxhash64, which tells rows of one id or of none apart.
 
     A window is `width` consecutive words of an item, or all words of an item of fewer; a document's word is hit inside
     any occurrence of one. Null and empty texts have no words and no hits, as have items without words; items without
@@ -133,7 +134,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: i
     )
     told = by_doc.select(
         "doc_id", F.col("n_words").cast("long").alias("n_words"), _covered(F.col("at")).cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("at") > 0).alias("contaminated"), "times",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("at") > 0).alias("contaminated"), *(["mark"] if marks else []), "times",
     )
     # equal rows were counted together
     return told.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).drop("times", "again")

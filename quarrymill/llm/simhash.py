@@ -44,16 +44,19 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """Columns doc_id and fp (signed long): one row for each row of docs. Null and empty texts have fingerprint 0."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, marks: bool = False) -> DataFrame:
+    """Columns doc_id and fp (signed long), with marks also the text's xxhash64: one row for each row of docs. Null and
+    empty texts have fingerprint 0."""
+    more = ["mark"] if marks else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), *batch.columns[2:]], ["doc_id", "fp", *more])
 
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    return ids.mapInArrow(run, "doc_id long, fp long")
+    text = F.col(text_col).cast("string")
+    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.cast("binary").alias("text"), *[F.xxhash64(text).alias(m) for m in more])
+    return ids.mapInArrow(run, ", ".join(f"{c} long" for c in ["doc_id", "fp", *more]))
 
 
 def trie_pairs(values: np.ndarray, pairs: list[np.ndarray], top: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -198,3 +201,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of = at.select("fp", "root").join(least, "root").select("fp", "component_id")
     joined = prints.join(of, "fp", "left")
     return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, budget: int = 2) -> DataFrame:
+    """Columns doc_id, mark (xxhash64 of the text) and copy: one row for each row of docs.
+
+    Groups are those of near_duplicates(). Of a group the row with the least doc_id, then the least mark, is no copy; a
+    row without an id is one if any row of its group has an id. Rows equal in both are alike: all copies or none.
+    """
+    prints = stored(fingerprints(docs, id_col, text_col, shingle, marks=True), "fingerprints")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    distinct = stored(prints.groupBy("fp").agg(F.min(key).alias("least")), "distinct")
+    roots = components(linked_fingerprints(distinct.select("fp"), budget)).withColumnRenamed("u", "fp")
+    at = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    kept = at.groupBy("root").agg(F.min("least").alias("kept"))
+    of = at.select("fp", "root").join(kept, "root").select("fp", "kept")
+    return prints.join(of, "fp", "left").select("doc_id", "mark", (~key.eqNullSafe(F.col("kept"))).alias("copy"))
