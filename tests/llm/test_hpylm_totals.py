@@ -1,0 +1,27 @@
+"""Scores of the language model do not depend on how words are dealt out."""
+
+import random
+
+import numpy as np
+import pytest
+
+from quarrymill.llm import hpylm
+
+
+def test_scores_hold_for_any_number_of_buckets(spark, monkeypatch):
+    # seats without chance: what differs then is the totals alone
+    monkeypatch.setattr(hpylm, "seat", lambda customers, weight, discount, rng: np.minimum(customers, 1 + (customers * weight / (customers + weight)).astype(np.int64)))
+    rng = random.Random(4)
+    # one word is half of all; others get rarer
+    words = ["the"] * 60 + [f"w{k}{'abc'[k % 3]}" for k in range(40) for _ in range(1 + 40 // (k + 1))]
+    rows = [(k, " ".join(rng.choice(words) for _ in range(80))) for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before, mean = spark.conf.get("spark.sql.shuffle.partitions"), {}
+    try:
+        for n in (1, 24):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = hpylm.score_folds(docs).collect()
+            mean[n] = np.array([r.score / r.n_tokens for r in sorted(got, key=lambda r: r.doc_id)])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert mean[24] == pytest.approx(mean[1], abs=1e-5)
