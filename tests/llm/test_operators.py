@@ -151,10 +151,7 @@ def plain_removal(texts, width):
     return {k: " ".join(w for p, w in enumerate(words) if p not in gone[k]) for k, words in split.items()}
 
 
-@pytest.mark.parametrize("most", [20_000, 5])
-def test_substrings_against_all_windows(spark, monkeypatch, most):
-    monkeypatch.setattr(substrings, "MOST_ROWS", most)
-    rng = random.Random(9)
+def passages(rng):
     passage, texts = make_text(rng, 70), []
     for k in range(60):
         text = make_text(rng, rng.randint(0, 120))
@@ -165,12 +162,54 @@ def test_substrings_against_all_windows(spark, monkeypatch, most):
         texts.append((k, text if k != 11 else None))
     texts.append((60, "as " * 200))
     texts.append((61, "as " * 120 + passage))
+    # copies of texts with and without a window, also before and after what they are copies of
+    return texts + [(62, texts[1][1]), (63, texts[1][1]), (-1, texts[3][1]), (64, "few words"), (65, "few words"), (66, ""), (67, None)]
+
+
+@pytest.mark.parametrize("most", [20_000, 20, 3])
+def test_substrings_against_all_windows(spark, monkeypatch, most):
+    """Also with prefixes lengthened once and twice."""
+    monkeypatch.setattr(substrings, "MOST_LEAVES", most)
+    texts = passages(random.Random(9))
     want = plain_removal(texts, 50)
     got = {r.doc_id: r for r in substrings.deduplicate(spark.createDataFrame(texts, "doc_id long, text string"), with_text=True).collect()}
     for k, text in want.items():
         assert got[k].kept == text and got[k].kept_sha256 == brute.sha(text)
 
 
+def test_substrings_joined_by_shuffles(spark, monkeypatch):
+    docs = spark.createDataFrame(passages(random.Random(5)), "doc_id long, text string")
+    monkeypatch.setattr(substrings, "MOST_LEAVES", 20)
+    want = sorted(map(str, substrings.deduplicate(docs).collect()))
+    monkeypatch.setattr(substrings, "MOST_KEYS", 0)
+    assert sorted(map(str, substrings.deduplicate(docs).collect())) == want
+
+
+@pytest.mark.parametrize(("width", "prefix"), [(10, 3), (10, 5), (12, 4)])
+def test_subtrees_give_the_repeats(width, prefix):
+    """Runs of windows from common prefixes are those of comparing all windows."""
+    rng = random.Random(width * prefix)
+    words = [f"w{k}".encode() for k in range(60)]
+    for _ in range(40):
+        passage, docs = [rng.choice(words) for _ in range(25)], []
+        for k in range(8):
+            a = rng.randint(0, 10)
+            text = [rng.choice(words) for _ in range(rng.randint(0, 30))] + passage[a : rng.randint(a, 25)] + [rng.choice(words) for _ in range(rng.randint(0, 5))] + passage[5:20]
+            docs.append(text + [b"as"] * (rng.randint(0, 30) if k % 3 == 0 else 0))
+        first = {}
+        for k, text in enumerate(docs):
+            for p in range(len(text) - width + 1):
+                first.setdefault(tuple(text[p : p + width]), k)
+        want = {(k, p) for k, text in enumerate(docs) for p in range(len(text) - width + 1) if first[tuple(text[p : p + width])] < k}
+        _, hashes, doc = substrings._hashed([b" ".join(x) for x in docs], substrings.WordHashes())
+        begin, flat = np.cumsum([0, *map(len, docs)]), [w for x in docs for w in x]
+        start, n, place, _ = substrings.leaves(hashes, doc, width, prefix)
+        texts = [b" ".join(flat[s : s + k + width - 1]) for s, k in zip(start, n, strict=True)]
+        leaf, window, found = substrings.repeats(doc[start], n, place - start, texts, width)
+        got = [(int(doc[start[x]]), int(start[x] - begin[doc[start[x]]] + w + j)) for x, w, k in zip(leaf, window, found, strict=True) for j in range(k)]
+        assert set(got) == want and len(got) == len(want)
+
+
 def test_packing_is_a_round_trip(spark):
     tokenizers = pytest.importorskip("tokenizers")
     tokens = pytest.importorskip("public_tokenizers")
