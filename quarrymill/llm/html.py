@@ -1,7 +1,9 @@
-"""Main text of web pages: subtrees that recur across many pages of a host are deleted, as are parts that say what they are.
+"""Main text of web pages: subtrees that recur across many pages of a host are deleted.
 
-Elements' subtrees are hashed, the pages that have a hash are counted for each host in Spark, and what enough of the
-host's pages share is taken for the site's template.
+Elements' subtrees are hashed, the different pages that have a hash are counted for each host in Spark, and what enough
+of the host's pages share is taken for the site's template. What stands on one page only (a rotating advert, readers'
+comments, a menu with its own entry marked) cannot be counted: of what is left, elements that say what they are go by
+their names, but never running text by a class.
 """
 
 from __future__ import annotations
@@ -16,228 +18,296 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A subtree belongs to the template if it is on at least so many pages of its host, and on this share of them.
-LEAST_PAGES, LEAST_SHARE = 8, 0.5
+from quarrymill.llm.common import stored
+
+#: A subtree belongs to the template if it is on at least so many different pages of its host, and on this share of them.
+LEAST_PAGES, LEAST_SHARE = 4, 0.005
+#: Article elements are the main text if they have at least this share of the text that is left.
+ARTICLE_SHARE = 0.25
 #: So many pairs of host and template hash are broadcast at most (16 bytes each); more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 
 # Names of HTML elements by their role.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea noscript template iframe xmp noembed noframes title svg math object".split())
+_RAW = frozenset("script style textarea noscript template iframe xmp noembed noframes title".split())
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody tfoot thead tr ul".split())
 _FLOW = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre td th tr figcaption caption".split())
-_SKIP = frozenset("nav footer aside form button select menu dialog head datalist search".split())
+_SKIP = frozenset("nav footer aside form button select menu dialog head datalist search svg".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
-#: Words of class and id that mark a part as no article text.
-_MARKS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense adbox banner banners sponsor sponsored promo promotion cookie cookies consent gdpr privacy notice notices notification alert popup modal overlay "
-    "nav navbar navigation menu menus submenu breadcrumb breadcrumbs sidebar sidebars masthead topbar toolbar header footer colophon comment comments commentlist disqus reply replies respond "
-    "newsletter subscribe subscription signup login share sharing social related recommended recommendations widget widgets pagination pager skip form search".split()
+#: Elements beyond which an open paragraph is not closed by a block.
+_SCOPE = frozenset("html table caption td th button object".split())
+#: Words of class and id by which an element that is no running text holds no article text.
+_FIRM = frozenset("ad ads advert adverts advertisement comment comments commentlist disqus reply replies respond related recommended newsletter cookie cookies consent gdpr modal popup sponsored promo".split())
+#: Words of layout: they do so outside articles only, and not on a frame around an article or most of the page.
+_LAYOUT = frozenset(
+    "advertising adsense adbox banner banners sponsor promotion privacy notice notices notification alert overlay nav navbar navigation menu menus submenu breadcrumb breadcrumbs sidebar sidebars masthead topbar toolbar "
+    "header footer colophon subscribe subscription signup login share sharing social recommendations widget widgets pagination pager form search".split()
 )
-#: Those among them that say what an element holds, not how it is laid out; the others may also stand on a frame around
-#: the article (`with-sidebar`).
-_FIRM = frozenset("comment comments commentlist disqus reply replies respond related recommended recommendations newsletter cookie cookies consent gdpr modal popup".split())
 #: What ends an open element of the same list, up to the nearest of the second names.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select", "datalist"})}
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>", re.S)
-_ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
+_PLAIN = re.compile(r"[^\"'>]*")
+_ATTR = re.compile(r"(?<![^\s\"'/])(class|id|role|hidden|aria-hidden|itemprop)(?![^\s=>/])(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_END = {tag: re.compile(rf"</{tag}(?![^\s/>])", re.I) for tag in _RAW}
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
-class _Element:
-    __slots__ = ("kind", "parts", "skip", "tag")
+class Element:
+    """kind: article, main or nothing. named: 2 if its names rule it out, 1 if only words of layout do, else 0. running:
+    whether it carries running text of an article. chars: characters of text in it."""
+
+    __slots__ = ("chars", "kind", "named", "open_p", "parent", "parts", "running", "sign", "tag")
 
-    def __init__(self, tag: str, kind: str, skip: int):
-        # skip: 0 for none, 1 by words of layout, 2 for good
-        self.tag, self.kind, self.skip, self.parts = tag, kind, skip, [tag.encode()]
+    def __init__(self, tag: str, parent: int, kind: str, named: int, running: bool, open_p: int):
+        self.tag, self.parent, self.kind, self.named, self.running, self.open_p = tag, parent, kind, named, running, open_p
+        self.parts, self.chars, self.sign = [tag.encode("utf-8", "replace")], 0, 0
 
 
 def _role(tag: str, attrs: str, inside: bool) -> tuple[str, int]:
-    """What an element is (article, main or nothing), and whether its own words rule it out: 1 if only by words of layout.
-    A header is no reason inside an article: it has the article's own title."""
-    kind, skip = {"article": "article", "main": "main"}.get(tag, ""), 2 * (tag in _SKIP or tag == "header" and not inside)
-    if attrs and "=" in attrs or "hidden" in attrs:
+    """What an element is, and whether its own names rule it out. A header is no reason inside an article: it has the
+    article's own title. Class and id say nothing of running text."""
+    kind, named = {"article": "article", "main": "main"}.get(tag, ""), 2 * (tag in _SKIP or tag == "header" and not inside)
+    if "=" in attrs or "hidden" in attrs:
         for m in _ATTR.finditer(attrs):
             name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if name == "role":
-                skip = 2 if value in _ROLES else skip
+                named = 2 if value in _ROLES else named
                 kind = kind or ("main" if value == "main" else "")
             elif name == "itemprop" and value == "articlebody":
                 kind = "article"
             elif name == "hidden" or name == "aria-hidden" and value == "true":
-                skip = 2 if tag not in ("html", "body") else skip
-            elif name in ("class", "id") and tag not in ("html", "body", "main", "article"):
-                found = _MARKS.intersection(_SPLIT.split(value))
-                if inside:
-                    found -= {"header"}
-                if found:
-                    skip = max(skip, 2 if found & _FIRM or inside else 1)
-    return kind, skip
-
-
-def subtrees(page: str) -> tuple[list[tuple[str, bool, tuple[int, ...]]], list[tuple[int, bool]]]:
-    """Of a page, its blocks and its subtrees.
-
-    Blocks, in order: text (character references decoded, white space as one space), whether it is in an article or
-    main element, and the numbers of the elements around it. Parts ruled out by their own names or roles are left out.
-    Subtrees: a hash of each element's names and texts, and whether the element only carries running text of an article.
-    """
-    blocks: list[tuple[str, bool, tuple[int, ...]]] = []
-    done: list[tuple[int, bool]] = []
-    stack: list[_Element] = []
-    ids: list[int] = []
-    text: list[str] = []
-    has_article = False
-    skipping = inside = mains = 0
+                named = 2 if tag not in ("html", "body") else named
+            elif name in ("class", "id") and tag in _BLOCK and tag not in _FLOW and tag not in ("html", "body", "main"):
+                words = set(_SPLIT.split(value))
+                if words & _FIRM:
+                    named = 2
+                elif words & _LAYOUT and not inside and kind != "article":
+                    named = max(named, 1)
+    return kind, named
+
+
+class _Scanner:
+    """Tags of a page, one after another. Each character is looked at a bounded number of times, whatever the page."""
+
+    def __init__(self, page: str):
+        self.page, self.gone = page, set()
+
+    def _end(self, at: int) -> int:
+        """Where a tag whose name ends at `at` has its >; -1 if nowhere. A quote that is never closed is none."""
+        page = self.page
+        while True:
+            at = _PLAIN.match(page, at).end()
+            if at == len(page):
+                return -1
+            if page[at] == ">":
+                return at
+            quote = page[at]
+            close = -1 if quote in self.gone else page.find(quote, at + 1)
+            if close < 0:
+                self.gone.add(quote)
+                at += 1
+            else:
+                at = close + 1
+
+    def tags(self) -> Iterator[tuple[str, str, str]]:
+        """Pairs of the text before a tag and the tag: its name (with / if it ends an element) and its attributes."""
+        page, at, begin = self.page, 0, 0
+        while (at := page.find("<", at)) >= 0:
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                yield page[begin:at], "", ""
+                begin = at = end + 3 if end >= 0 else len(page)
+            elif page.startswith(("<!", "<?"), at):
+                end = page.find(">", at)
+                yield page[begin:at], "", ""
+                begin = at = end + 1 if end >= 0 else len(page)
+            elif m := _NAME.match(page, at + 1):
+                end = self._end(m.end())
+                if end < 0:
+                    end = len(page)
+                name = m[0].lower()
+                yield page[begin:at], name, page[m.end() : end]
+                begin = at = min(end + 1, len(page))
+                if name in _RAW:
+                    close = _END[name].search(page, at)
+                    begin = at = close.start() if close else len(page)
+            else:
+                at += 1
+        yield page[begin:], "", ""
+
+
+def parse(page: str) -> tuple[list[Element], list[list[tuple[int, str]]]]:
+    """Elements in the order in which they begin, and blocks of text: pieces, each with the number of its element. The
+    first element stands for the page."""
+    elements = [Element("", -1, "", 0, False, 0)]
+    blocks: list[list[tuple[int, str]]] = [[]]
+    stack, where, inside = [0], {}, 0
 
     def flush() -> None:
-        if text:
-            words = " ".join(html.unescape("".join(text)).split())
-            text.clear()
-            if words:
-                blocks.append((words, inside or mains and "main", tuple(ids)))
+        if blocks[-1]:
+            blocks.append([])
 
     def close() -> None:
-        nonlocal skipping, inside, mains
-        if stack[-1].tag in _BLOCK:
+        nonlocal inside
+        number = stack.pop()
+        element = elements[number]
+        where[element.tag].pop()
+        if element.tag in _BLOCK:
             flush()
-        element, number = stack.pop(), ids.pop()
-        sign = xxhash.xxh64_intdigest(b"\0".join(element.parts))
-        done[number] = (sign, bool(inside) and element.tag in _FLOW or element.kind != "" or element.tag in ("html", "body"))
-        if stack:
-            stack[-1].parts.append(sign.to_bytes(8, "little"))
-        skipping -= element.skip > 0
-        counted = not skipping and not element.skip
-        inside -= counted and element.kind == "article"
-        mains -= counted and element.kind == "main"
-
-    at = 0
-    while at < len(page):
-        m = _TAG.search(page, at)
-        piece = page[at : m.start()] if m else page[at:]
-        if piece:
-            if stack:
-                stack[-1].parts.append(" ".join(piece.split()).encode("utf-8", "replace"))
-            if not skipping:
-                text.append(piece)
-        if not m:
-            break
-        at = m.end()
-        if m[2] is None:
+        element.sign = xxhash.xxh64_intdigest(b"\0".join(element.parts))
+        element.parts = ()
+        above = elements[element.parent]
+        above.parts.append(element.sign.to_bytes(8, "little"))
+        above.chars += element.chars
+        inside -= element.kind != ""
+
+    for text, tag, attrs in _Scanner(page).tags():
+        if text:
+            plain = " ".join(text.split())
+            if plain:
+                top = elements[stack[-1]]
+                top.parts.append(plain.encode("utf-8", "replace"))
+                top.chars += len(plain)
+            blocks[-1].append((stack[-1], text))
+        if not tag:
             continue
-        tag = m[2].lower()
-        if m[1]:
-            if any(e.tag == tag for e in stack):
-                while True:
-                    last = stack[-1].tag
+        if tag[0] == "/":
+            at = where.get(tag[1:])
+            if at:
+                least = at[-1]
+                while len(stack) > least:
                     close()
-                    if last == tag:
-                        break
             continue
         if tag in _RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
-            at = end.end() if end else len(page)
-            if not skipping and tag in ("svg", "math", "object"):
-                text.append(" ")
             continue
         if tag in ("br", "td", "th"):
-            text.append(" ")
+            blocks[-1].append((stack[-1], " "))
         if tag in _BLOCK:
             flush()
-            if any(e.tag == "p" for e in stack[-8:]):
-                while any(e.tag == "p" for e in stack[-8:]):
-                    close()
+            while elements[stack[-1]].open_p:
+                close()
         if tag in _VOID:
             continue
         if tag in _ENDS:
             own, fence = _ENDS[tag]
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag in fence:
-                    break
-                if stack[k].tag in own:
-                    while len(stack) > k:
-                        close()
-                    break
-        kind, skip = _role(tag, m[3], inside > 0)
-        if kind and skipping and not has_article and not skip and all(e.skip < 2 for e in stack):
-            # a frame around the first article is no part to leave out, whatever its words say
-            for e in stack:
-                e.skip = 0
-            skipping = 0
-            text.clear()
-        if skip:
-            flush()
-        inside += kind == "article" and not skipping and not skip
-        mains += kind == "main" and not skipping and not skip
-        has_article |= kind == "article" and not skipping and not skip
-        skipping += skip > 0
-        stack.append(_Element(tag, kind, skip))
-        ids.append(len(done))
-        done.append((0, False))
-    while stack:
+            last = lambda names: max((where[x][-1] for x in names if where.get(x)), default=-1)
+            barrier = last(fence)
+            first = min((k for x in own for k in where.get(x, ())[-1:] if k > barrier), default=-1)
+            while 0 <= first < len(stack):
+                close()
+        kind, named = _role(tag, attrs, inside > 0)
+        above = elements[stack[-1]]
+        where.setdefault(tag, []).append(len(stack))
+        elements.append(Element(tag, stack[-1], kind, named, inside > 0 and (tag in _FLOW or tag not in _BLOCK), 0 if tag in _SCOPE else above.open_p + (tag == "p")))
+        stack.append(len(elements) - 1)
+        inside += kind != ""
+    while len(stack) > 1:
         close()
-    flush()
-    chosen = [(w, True, at) for w, where, at in blocks if where and where != "main"] if has_article else None
-    if chosen is None:
-        chosen = [(w, True, at) for w, where, at in blocks if where] or [(w, False, at) for w, where, at in blocks]
-    return chosen, done
-
-
-def signatures(page: str) -> list[int]:
-    """Hashes, as signed longs, of the subtrees that may belong to a template; each once."""
-    _, done = subtrees(page)
-    found = np.unique(np.array([s for s, running in done if not running], np.uint64))
-    return found.view(np.int64).tolist()
-
-
-def main_text(page: str, template: set[int]) -> str:
-    """The blocks of a page that lie in no subtree whose hash (a signed long) is in the template."""
-    blocks, done = subtrees(page)
-    gone = {k for k, (s, running) in enumerate(done) if not running and (s - (1 << 64) if s >> 63 else s) in template}
-    return "\n\n".join(w for w, _, at in blocks if gone.isdisjoint(at))
+    return elements, blocks
+
+
+def bulk(elements: list[Element]) -> int:
+    """The innermost element that has over half of the page's text: pages that have the same one are copies."""
+    found = 0
+    for k, e in enumerate(elements):
+        if e.parent == found and 2 * e.chars > elements[0].chars:
+            found = k
+    return found
+
+
+def candidates(elements: list[Element]) -> list[int]:
+    """Numbers of the elements that may belong to a template: blocks with text, but no running text of an article, and
+    nothing that has over half of the page's text."""
+    most = elements[0].chars
+    return [k for k, e in enumerate(elements) if e.tag in _BLOCK and e.chars and 2 * e.chars <= most and not e.running and not e.kind and e.tag not in ("html", "body")]
+
+
+def signatures(page: str) -> tuple[int, list[int]]:
+    """As signed longs, the hash of the page's bulk, and those of the subtrees that may belong to a template, each once."""
+    elements, _ = parse(page)
+    found = np.unique(np.array([elements[k].sign for k in candidates(elements)], np.uint64))
+    return int(np.array([elements[bulk(elements)].sign], np.uint64).view(np.int64)[0]), found.view(np.int64).tolist()
+
+
+def main_text(page: str, template: set[int]) -> tuple[str, int]:
+    """The main text, and the number of subtrees that were deleted because their hash (a signed long) is in the template."""
+    elements, blocks = parse(page)
+    n = len(elements)
+    counted = {k for k in candidates(elements) if (s := elements[k].sign) - (1 << 64 if s >> 63 else 0) in template} if template else set()
+    holds = [False] * n  # an article or main part
+    for k in range(n - 1, 0, -1):
+        holds[elements[k].parent] |= holds[k] or elements[k].kind != "" and elements[k].named < 2
+    gone, place, deleted = [False] * n, [0] * n, 0
+    for k in range(1, n):
+        e = elements[k]
+        if gone[e.parent]:
+            gone[k] = True
+        elif k in counted:
+            gone[k] = True
+            deleted += 1
+        else:
+            gone[k] = e.named == 2 or e.named == 1 and not holds[k] and 2 * e.chars <= elements[0].chars
+        place[k] = max(place[e.parent], {"article": 2, "main": 1}.get(e.kind, 0))
+    texts: list[list[str]] = [[], [], []]  # of the whole page, of main parts, of articles
+    for pieces in blocks:
+        kept = [(at, x) for at, x in pieces if not gone[at]]
+        words = " ".join(html.unescape("".join(x for _, x in kept)).split()) if kept else ""
+        if words:
+            for part in texts[: place[kept[0][0]] + 1]:
+                part.append(words)
+    size = [sum(map(len, x)) for x in texts]
+    wide = 1 if size[1] >= ARTICLE_SHARE * size[0] and size[1] else 0
+    chosen = 2 if size[2] and size[2] >= ARTICLE_SHARE * size[wide] else wide
+    return "\n\n".join(texts[chosen]), deleted
 
 
 def template_hashes(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """pages: host (a hash), html. Returns host and, as an array, its template's hashes.
 
-    Each page gives a row for each different subtree; they are counted with partial sums, so a large host costs no task
-    more than others. A host has at most 1 / least_share times as many hashes as its pages have subtrees on average.
+    Each page gives a row for each different subtree; copies of a page count once, and rows are counted with partial
+    sums, so a large host costs no task more than others. A host has at most 1 / least_share times as many hashes as its
+    pages have subtrees on average.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, found = [], []
+            hosts, of, found = [], [], []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if host is not None:
-                    own = signatures(page.as_py() or "")
-                    hosts += [host] * len(own)
-                    found += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.int64()), pa.array(found, pa.int64())], ["host", "sign"])
-
-    counted = pages.select("host", "html").mapInArrow(run, "host long, sign long").groupBy("host", "sign").count()
-    sizes = pages.groupBy("host").agg(F.count("*").alias("of"))
-    often = counted.filter(F.col("count") >= least_pages).join(sizes, "host").filter(F.col("count") >= F.col("of") * least_share)
+                    own, signs = signatures(page.as_py() or "")
+                    hosts += [host] * (len(signs) + 1)
+                    of += [own] * (len(signs) + 1)
+                    found += [None, *signs]
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.int64()), pa.array(of, pa.int64()), pa.array(found, pa.int64())], ["host", "page", "sign"])
+
+    # one row of each page has no sign: their number is the host's
+    counted = pages.select("host", "html").mapInArrow(run, "host long, page long, sign long").distinct().groupBy("host", "sign").count()
+    counted = stored(counted.filter((F.col("count") >= least_pages) | F.col("sign").isNull()), "subtrees")
+    sizes = counted.filter("sign is null").select("host", F.col("count").alias("of"))
+    often = counted.filter(F.col("sign").isNotNull() & (F.col("count") >= least_pages)).join(sizes, "host").filter(F.col("count") >= F.col("of") * least_share)
     return often.groupBy("host").agg(F.collect_set("sign").alias("template"))
 
 
 def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row for each row of pages: page_id, url, text, n_chars (code points).
+    """One row for each row of pages: page_id, url, text, n_chars (code points), n_template (subtrees deleted by counts).
 
     Blocks are joined by two line feeds. Null and empty pages have an empty text; pages without a host in their url have
-    no template. Null ids and repeated rows are kept; an empty table gives an empty result. Other columns are not looked at.
+    no template. Null ids and repeated rows are kept, and repeated pages count once; an empty table gives an empty
+    result. Other columns are not looked at. Time and memory for a page grow in proportion to its length.
     """
     host = F.regexp_extract(F.col(url_col), _HOST, 1)
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.when(host != "", F.xxhash64(F.lower(host))).alias("host"), F.col(html_col).cast("string").alias("html"))
-    templates = template_hashes(rows, least_pages, least_share)
+    templates = stored(template_hashes(rows, least_pages, least_share), "templates")
     small = templates.agg(F.coalesce(F.sum(F.size("template") + 1), F.lit(0))).first()[0]
     joined = rows.join(F.broadcast(templates) if small <= MOST_BROADCAST else templates, "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(page.as_py() or "", set(known.as_py() or ())) for page, known in zip(batch.column(2), batch.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
+            found = [main_text(page.as_py() or "", set(known.as_py() or ())) for page, known in zip(batch.column(2), batch.column(3), strict=True)]
+            texts, deleted = [x for x, _ in found], [n for _, n in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(deleted, pa.int64())], ["page_id", "url", "text", "n_chars", "n_template"])
 
     kind = dict(rows.dtypes)
-    return joined.select("page_id", "url", "html", "template").mapInArrow(run, f"page_id {kind['page_id']}, url {kind['url']}, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "template").mapInArrow(run, f"page_id {kind['page_id']}, url {kind['url']}, text string, n_chars long, n_template long")

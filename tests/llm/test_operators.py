@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from quarrymill.llm import components, decontaminate, html, hpylm, langid, packing, pii, quality, queries, simhash, substrings, toxicity
+from quarrymill.llm import components, decontaminate, hpylm, langid, packing, pii, quality, queries, simhash, substrings, toxicity
 
 WORDS = [f"w{k}" for k in range(400)]
 
@@ -285,23 +285,6 @@ def test_quality_base_counts(spark):
         assert not (r.base_failed and r.kept)
 
 
-def test_html_main_text(spark):
-    page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="has-sidebar">
-    <nav><a href="/">Home</a></nav><!-- ad --><div class="ad">Buy</div><article><h1>Head &amp; line</h1><p><b>One<br>two<p>Three &eacute;&#233;&nbsp;x</p>
-    <ul><li>a<li>b</ul><div class="newsletter">Sign</div><form>f</form></article><section id="comments"><p>C</p></section><footer>F</footer></body></html>"""
-    assert html.main_text(page, set()) == "Head & line\n\nOne two\n\nThree éé x\n\na\n\nb"
-    assert html.main_text("", set()) == "" and html.main_text("plain <b>text", set()) == "plain text"
-    frame = "<div class='page with-sidebar'><div class=menu>M</div><article><header class='article-header'><h1>H</h1></header><p>t</p></article><div class=comments><article>c</article></div></div>"
-    assert html.main_text(frame, set()) == "H\n\nt"
-    assert html.main_text("<section class=comments><article>c</article></section><p>t", set()) == "t"
-    assert html.main_text("<article hidden>x</article><article><p>y</article>", set()) == "y"
-    body = "".join(f"<div><p>same line here</p></div><div><p>own {{0}} {k}</p></div>" for k in range(2))
-    rows = [(k, f"http://h.example/{k}", f"<body>{body.format(k)}</body>") for k in range(12)] + [(12, None, None), (None, "x", "<p>y")]
-    got = {r.page_id: r for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit(1))).collect()}
-    assert got[3].text == "own 3 0\n\nown 3 1" and got[3].n_chars == len(got[3].text)
-    assert got[12].text == "" and got[None].text == "y"
-
-
 def test_language_model_is_a_distribution(spark):
     """Over all words at the root and in a context, seen or not, probabilities sum to one."""
     rng = np.random.default_rng(0)
