@@ -30,11 +30,11 @@ from quarrymill.llm.common import WordHashes, chunks, counted, id_and_text, stor
 WIDTH = 50
 #: Words of prefixes, in the order in which they are lengthened; the last is as long as a window.
 LENGTHS = (12, 25, WIDTH)
-#: A prefix with more leaves than this is lengthened.
-MOST_LEAVES = 4_000
+#: A prefix with more leaves than this is lengthened; so many take about 200 MB while their subtree is built.
+MOST_LEAVES = 20_000
 #: Leaves whose subtrees are built at once; whole subtrees, so there may be MOST_LEAVES more.
-LEAVES_AT_ONCE = 6_000
-#: Keys and runs that are broadcast at most, of about 40 bytes each; more are joined by a shuffle.
+LEAVES_AT_ONCE = 4_000
+#: Keys that are broadcast at most, of about 40 bytes each; more are joined by a shuffle.
 MOST_KEYS = 500_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -179,7 +179,7 @@ def repeats(doc: np.ndarray, n: np.ndarray, at: np.ndarray, texts: list[bytes],
     Returns runs of windows that a document with a smaller id has too: the leaf, the first window and their number.
     """
     numbers, size = _Numbers(), n + width - 1
-    flat = np.fromiter(map(numbers.__getitem__, b" ".join(texts).split(b" ")), np.int64, int(size.sum()))
+    flat = np.fromiter(map(numbers.__getitem__, b" ".join(texts).split(b" ")), np.int32, int(size.sum()))
     begin = np.cumsum(size) - size
     own = begin + at
     place = own[:, None] + np.arange(width)
@@ -232,18 +232,19 @@ def _trees(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordB
         yield from give(held)
 
 
-def repeated_windows(texts: DataFrame, width: int = WIDTH, lengths: tuple[int, ...] = LENGTHS) -> DataFrame:
-    """texts: doc_id (not null), mark, text as bytes. Returns doc_id, mark, pos, n: the windows from place pos on that also
-    start in a document with a smaller id."""
+def repeated_windows(texts: DataFrame, copies: DataFrame, width: int = WIDTH, lengths: tuple[int, ...] = LENGTHS) -> DataFrame:
+    """texts: doc_id (not null), mark, text as bytes; copies: doc_id, mark of those that take no part. Returns doc_id,
+    mark, pos, n: the windows from place pos on that also start in a document with a smaller id."""
     spark, tasks = texts.sparkSession, tasks_for(texts.sparkSession)
     last = len(lengths) - 1
     prefixes = stored(texts.select("doc_id", "mark", "text").mapInArrow(lambda b: _prefixes(b, width, lengths[0]), "key long, doc_id long, mark long, n int"), "prefixes")
+    prefixes = prefixes.join(copies, ["doc_id", "mark"], "left_anti")
     shared = prefixes.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.sum("n").alias("leaves"))
     shared = shared.filter("least < most").select("key", (F.col("leaves") > MOST_LEAVES).alias("long"))
     of_doc = prefixes.join(shared, "key").groupBy("doc_id", "mark").agg(F.collect_set(F.struct("key", "long")).alias("held")).select("doc_id", "mark", "held.key", "held.long")
     some = texts.join(of_doc, ["doc_id", "mark"]).select("doc_id", "mark", "text", "key", "long")
     rows = stored(some.mapInArrow(lambda b: _leaves(b, width, lengths), _LEAF), "leaves")
-    light, nodes, found = rows.filter("level = 0"), rows.filter(F.col("level") == last), None
+    light, nodes = rows.filter("level = 0"), rows.filter(F.col("level") == last)
     for level in range(1, last):
         # of longer prefixes, those that are still too common are fewer than a MOST_LEAVES-th of the leaves
         now = rows.filter(F.col("level") == level)
@@ -253,8 +254,12 @@ def repeated_windows(texts: DataFrame, width: int = WIDTH, lengths: tuple[int, .
         rows = more
         nodes = nodes.union(more.filter(F.col("level") == last))
     found = light.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(lambda b: _trees(b, width), "doc_id long, mark long, pos int, n int")
-    least = nodes.groupBy("words").agg(F.min("doc_id").alias("least"))
-    return found.union(nodes.join(least, "words").filter("doc_id > least").select("doc_id", "mark", "pos", "n"))
+    # the least document of each node; the leaves of common nodes stay where they are
+    least = stored(nodes.groupBy("words").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("leaves")).filter("least < most"), "nodes")
+    common = counted(least.filter(F.col("leaves") > MOST_LEAVES).select("words", "least"), "common", MOST_KEYS)
+    others = nodes.join(common, "words", "left_anti").join(least.select("words", "least"), "words")
+    deep = nodes.join(common, "words").select(*others.columns).union(others).filter("doc_id > least")
+    return found.union(deep.select("doc_id", "mark", "pos", "n"))
 
 
 def deduplicate(docs: DataFrame, width: int = WIDTH, lengths: tuple[int, ...] = LENGTHS, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
@@ -273,12 +278,10 @@ def deduplicate(docs: DataFrame, width: int = WIDTH, lengths: tuple[int, ...] =
     own = stored(texts.filter("doc_id is not null and octet_length(text) > 0").select("doc_id", "mark", F.unhex(F.md5("text")).alias("digest")), "digests")
     first = own.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("times")).filter("times > 1").drop("times")
     copies = counted(own.join(first, "digest").filter("doc_id > least").select("doc_id", "mark").distinct(), "copies", MOST_KEYS)
-    strings = texts.filter("doc_id is not null").join(copies, ["doc_id", "mark"], "left_anti")
-    runs = repeated_windows(strings, width, lengths).groupBy("doc_id", "mark").agg(F.collect_set(F.struct("pos", "n")).alias("gone"))
+    runs = repeated_windows(texts.filter("doc_id is not null"), copies, width, lengths).groupBy("doc_id", "mark").agg(F.collect_set(F.struct("pos", "n")).alias("gone"))
     none = F.array().cast("array<struct<pos:int,n:int>>")
-    found = stored(runs.select("doc_id", "mark", "gone", F.lit(False).alias("whole")).union(copies.select("doc_id", "mark", none, F.lit(True))), "gone")
-    small = found.agg(F.coalesce(F.sum(F.size("gone") + 1), F.lit(0))).first()[0] <= MOST_KEYS
-    joined = texts.join(F.broadcast(found) if small else found, ["doc_id", "mark"], "left").select("doc_id", "text", F.col("gone.pos").alias("pos"), F.col("gone.n").alias("n"), "whole")
+    found = runs.select("doc_id", "mark", "gone", F.lit(False).alias("whole")).union(copies.select("doc_id", "mark", none, F.lit(True)))
+    joined = texts.join(found, ["doc_id", "mark"], "left").select("doc_id", "text", F.col("gone.pos").alias("pos"), F.col("gone.n").alias("n"), "whole")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
