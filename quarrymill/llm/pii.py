@@ -151,19 +151,61 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return found.select("doc_id", *counts, F.sha2(_joined(sure), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"), F.array_max(F.transform("spans", lambda x: x["score"])).alias("max_score"))
 
 
-def mask(docs: DataFrame, text_col: str = "text", kinds: list[Kind] = KINDS) -> DataFrame:
-    """docs with each span's text replaced by [KIND], one kind after another. Null texts stay null; all rows and columns stay."""
-    out = docs
-    for kind in kinds:
-        out = out.withColumn(text_col, _masked(kind, F.col(text_col)))
-    return out
+#: Texts are cut into parts of this many code points, and those into PART, so that a place is found without reading all
+#: that lies before it.
+LONG_PART, PART = 65_536, 1_024
+
+
+def _parts(text: Column) -> Column:
+    """The text in parts of PART code points."""
+    cut = lambda x, size: F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.length(x) - 1, F.lit(0)) / size).cast("int")), lambda k: F.substr(x, k * size + 1, F.lit(size)))
+    return F.flatten(F.transform(cut(text, LONG_PART), lambda x: cut(x, PART)))
+
+
+def _between(parts: Column, begin: Column, end: Column) -> Column:
+    """The text from code point `begin` up to `end`."""
+    at = lambda i: F.floor(i / PART).cast("int")
+    first, last = at(begin), at(end)
+    inner = F.substr(F.get(parts, first), begin - first * PART + 1, end - begin)
+    outer = F.concat(
+        F.substr(F.get(parts, first), begin - first * PART + 1, F.lit(PART)),
+        F.array_join(F.slice(parts, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+        F.coalesce(F.substr(F.get(parts, last), F.lit(1), end - last * PART), F.lit("")),
+    )
+    return F.when(begin >= end, "").when(first == last, inner).otherwise(outer)
+
+
+def _running_most(values: Column) -> Column:
+    """Of a non-empty array of numbers, the greatest up to and with each."""
+    at = lambda i: F.floor(i / F.lit(BLOCK)).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), at(F.size(values) - 1)), lambda b: F.array_max(F.slice(values, b * BLOCK + 1, F.lit(BLOCK))))
+    return let(
+        blocks,
+        lambda most: let(
+            F.transform(F.sequence(F.lit(0), F.size(most) - 1), lambda b: F.array_max(F.slice(most, F.lit(1), b))),
+            lambda ahead: F.transform(values, lambda _, i: F.greatest(F.get(ahead, at(i)), F.array_max(F.slice(values, at(i) * BLOCK + 1, i - at(i) * BLOCK + 1)))),
+        ),
+    )
 
 
-def _masked(kind: Kind, text: Column) -> Column:
-    def of(m: Column, g: Column) -> Column:
-        fine = lambda x, i: _confirmed(kind, x, F.get(g, i), F.get(g, i + 1)).isNotNull()
-        put = F.transform(m, lambda x, i: F.concat(F.get(g, i), F.when(fine(x, i), F.lit(f"[{kind.name.upper()}]")).otherwise(x)))
-        return F.concat(F.array_join(put, ""), F.element_at(g, -1))
+def _masked(text: Column, spans: Column) -> Column:
+    def of(parts: Column, ends: Column) -> Column:
+        before = lambda i: F.when(i > 0, F.get(ends, i - 1)).otherwise(0)
+        heads = F.filter(F.sequence(F.lit(0), F.size(ends) - 1), lambda i: F.get(spans, i)["start"] >= before(i))
+        put = F.transform(heads, lambda i: F.concat(_between(parts, before(i), F.get(spans, i)["start"]), F.lit("["), F.upper(F.get(spans, i)["kind"]), F.lit("]")))
+        return F.concat(F.array_join(put, ""), _between(parts, F.element_at(ends, -1), F.length(text)))
 
-    match, gap = _proposed(kind, text)
-    return F.coalesce(let(match, lambda m: F.when(F.size(m) > 0, let(gap, lambda g: of(m, g)))), text)
+    return let(_parts(text), lambda parts: let(_running_most(F.transform(spans, lambda x: x["end"])), lambda ends: of(parts, ends)))
+
+
+def mask(docs: DataFrame, text_col: str = "text", kinds: list[Kind] = KINDS, passes: int = 2) -> DataFrame:
+    """docs with [KIND] in the place of personal data. All spans of the text as it was are masked; those that overlap are
+    one, under the kind of the first. Another pass takes what could not be told before, such as a card number after the
+    last figure of an address. Null texts stay null, texts without spans as they are; all rows and columns stay.
+    """
+    name = next(c for c in (f"_spans{k}" for k in range(len(docs.columns) + 1)) if c.lower() not in {x.lower() for x in docs.columns})
+    out = docs
+    for _ in range(passes):
+        text = F.col(text_col).cast("string")
+        out = find(out, text_col, kinds, name).withColumn(text_col, F.when(F.size(name) > 0, _masked(text, F.col(name))).otherwise(text)).drop(name)
+    return out
