@@ -121,8 +121,8 @@ def km_tier(km: Column, tier: Column) -> Column:
     return out.otherwise("very_high_km")
 
 
-def validate_reason(title: Column, make: Column, model: Column, price: Column, year: Column, km: Column, text: Column, brands: list[str] | None, as_of_year: int) -> Column:
-    """The first rule that a listing breaks, null if it breaks none. A price may be missing if the text says `on request`."""
+def validate_reason(title: Column, make: Column, model: Column, price: Column, year: Column, km: Column, text: Column, brands: list[str] | None, as_of_year: int, source: Column | None = None) -> Column:
+    """The first of the rules that a listing breaks, null if it breaks none. A price may be missing if the text says `on request`."""
     from quarrymill.functions.text import on_request
 
     none = lambda c: F.coalesce(c, F.lit(""))
@@ -137,7 +137,9 @@ def validate_reason(title: Column, make: Column, model: Column, price: Column, y
     for part, name in SUPERCAR_MODELS:
         excepted = excepted | (low.contains(part) & F.lower(mo).contains(name))
     dear = (age < COLLECTOR_AGE) & price.isNotNull()
-    fits = F.when(price >= HYPERCAR, low.isin(HYPERCAR_MAKES)).when(price >= SUPERCAR, low.isin(SUPERCAR_MAKES) | excepted).when(price >= LUXURY, low.isin(LUXURY_MAKES)).otherwise(F.lit(True))
+    misfit = F.when(price >= HYPERCAR, F.when(~low.isin(HYPERCAR_MAKES), "price_hypercar")).when(price >= SUPERCAR, F.when(~low.isin(SUPERCAR_MAKES) & ~excepted, "price_supercar")).when(price >= LUXURY, F.when(~low.isin(LUXURY_MAKES), "price_luxury"))
+    misfit = F.when(dear, misfit)
+    by_default = F.lit(False) if source is None else F.lower(none(source)).contains("ebay") & (year == 2000) & ~full.rlike(r"\b(an\s+)?2000\b")
     return (
         F.when(F.length(full) < 5, "title_short")
         .when(F.length(mk) < 2, "make_missing")
@@ -151,7 +153,8 @@ def validate_reason(title: Column, make: Column, model: Column, price: Column, y
         .when(year.isNull(), "year_invalid")
         .when(year < 1900, "year_old")
         .when(year > as_of_year + 1, "year_future")
-        .when(dear & ~fits, "price_make")
+        .when(misfit.isNotNull(), misfit)
+        .when(by_default, "year_default")
         .when(km < 0, "km_negative")
         .when(km > 1_000_000, "km_absurd")
         .when((age < 3) & (price < 3000), "recent_cheap")

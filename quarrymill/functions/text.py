@@ -33,39 +33,41 @@ STOP_WORDS = {
 }
 
 COUNTRY_NAMES = {
-    "fr": "france|fr",
-    "gb": "uk|gb|united kingdom|great britain|royaume-uni|angleterre|england",
-    "it": "italie|it|italia|italy",
-    "de": "allemagne|de|germany|deutschland",
-    "ch": "suisse|ch|switzerland|schweiz|svizzera",
-    "mc": "monaco|mc",
-    "ad": "andorre|ad|andorra",
-    "nl": "pays-bas|nl|netherlands|nederland|holland|hollande",
-    "be": "belgique|be|belgium|belgie|belgië",
-    "at": "autriche|at|austria|österreich|oesterreich",
-    "dk": "danemark|dk|denmark|danmark",
-    "es": "espagne|es|spain|españa|espana",
-    "se": "suede|se|sweden|suède|sverige",
-    "ie": "irlande|ie|ireland",
-    "pt": "portugal|pt",
-    "lu": "luxembourg|lu|luxemburg",
+    "fr": ["france", "fr"],
+    "gb": ["uk", "gb", "united kingdom", "great britain", "royaume-uni", "angleterre", "england"],
+    "it": ["italie", "it", "italia", "italy"],
+    "de": ["allemagne", "de", "germany", "deutschland"],
+    "ch": ["suisse", "ch", "switzerland", "schweiz", "svizzera"],
+    "mc": ["monaco", "mc"],
+    "ad": ["andorre", "ad", "andorra"],
+    "nl": ["pays-bas", "nl", "netherlands", "nederland", "holland", "hollande"],
+    "be": ["belgique", "be", "belgium", "belgie", "belgië"],
+    "at": ["autriche", "at", "austria", "österreich", "oesterreich"],
+    "dk": ["danemark", "dk", "denmark", "danmark"],
+    "es": ["espagne", "es", "spain", "españa", "espana"],
+    "se": ["suede", "se", "sweden", "suède", "sverige"],
+    "ie": ["irlande", "ie", "ireland"],
+    "pt": ["portugal", "pt"],
+    "lu": ["luxembourg", "lu", "luxemburg"],
 }
 
-NOT_A_CITY = (
-    "france fr uk gb england italie it italia italy allemagne de germany deutschland suisse ch switzerland schweiz svizzera "
-    "espagne es spain portugal pt belgique be belgium autriche at austria usa us canada ca europe eu na n/a none null inconnu unknown other divers"
-).split() + ["united kingdom", "united states", "ouest france"]
-
+# What a field for a city holds that is none, by source: countries, then placeholders.
+NO_CITY_COUNTRIES = [
+    "france", "fr", "uk", "gb", "england", "italie", "it", "italia", "italy", "allemagne", "de", "germany", "deutschland", "suisse", "ch", "switzerland", "schweiz", "svizzera",
+    "espagne", "es", "spain", "portugal", "pt", "belgique", "be", "belgium", "autriche", "at", "austria", "usa", "us", "canada", "ca", "europe", "eu", "united kingdom", "united states",
+]
+NO_CITY_WORDS = ["na", "n/a", "none", "null", "inconnu", "unknown", "other", "divers", "ouest france"]
+# Words for fuels and gears.
 FUELS = {
-    "Essence": "gasoline|petrol|essence",
-    "Diesel": "diesel|gazole",
-    "Hybride": "hybrid|hybride",
-    "Électrique": "electric|électrique|electrique",
-    "GPL": "lpg|gpl",
+    "Essence": ["gasoline", "petrol", "essence"],
+    "Diesel": ["diesel", "gazole"],
+    "Hybride": ["hybrid", "hybride"],
+    "Électrique": ["electric", "électrique", "electrique"],
+    "GPL": ["lpg", "gpl"],
 }
 GEARS = {
-    "Automatique": "automatic|automatique|auto|semi-auto|tiptronic|dsg|pdk|f1",
-    "Manuelle": "manual|manuelle|manuel|mecanique|mécanique|meca",
+    "Automatique": ["automatic", "automatique", "auto", "semi-auto", "tiptronic", "dsg", "pdk", "f1"],
+    "Manuelle": ["manual", "manuelle", "manuel", "mecanique", "mécanique", "meca"],
 }
 MODEL_NOISE = "2dr 3dr 4dr 5dr dr petrol diesel manual automatic auto bhp hp ps kw cc co2 km gkm l litre liter mpg awd rwd fwd 4wd hatchback".split()
 ON_REQUEST = ["su richiesta", "poa", "price on application", "preis auf anfrage", "prix sur demande", "on request", "sur demande"]
@@ -229,18 +231,67 @@ def url_shape(url: Column) -> Column:
     return F.when(path.rlike(r"\.html?$") | path.rlike(r"(?:19|20)\d\d") | many, "car_page").otherwise("root")
 
 
-def platform_scores(page: Column) -> dict[str, Column]:
-    """For each way of building a site the confidence, 0 to 1, that a page shows it."""
+# What shows how a site is built.
+SYMFIO_CLASSES = ["car-list-item", "vehicle-card", "fahrzeug-item"]
+SYMFIO_PATHS = ["/cars-for-sale.html", "/fahrzeuge.html", "/vehicules.html"]
+RIVAMEDIA_CLASSES = ["rm-vehicle", "rivamedia-card"]
+CARD_WORDS = ["car", "vehicle", "auto", "fahrzeug", "voiture", "card", "item"]
+CARDS_LEAST = 5
+NO_DETAIL = ["login", "contact", "about", "mentions", "datenschutz", "impressum", "cgu", "privacy"]
+DETAIL_PATTERNS = [
+    r"""href=["']([^"']*(?:/fahrzeug|/vehicle|/voiture|/car|/auto|/inventory|/stock)/[^"']+)["']""",
+    r"""href=["']([^"']*\.html)["']""",
+    r"""href=["']([^"']*/[^"']*\d{4,}[^"']*)["']""",
+]
+DETAIL_MOST = 50
+
+
+def platform_scores(page: Column, url: Column | None = None, powered_by: Column | None = None) -> dict[str, Column]:
+    """For each way of building a site the confidence, 0 to 1, that a page shows it; in the order in which ties are settled."""
     has = lambda pattern: page.rlike(pattern)
     part = lambda pattern, points: F.when(has(pattern), F.lit(points)).otherwise(F.lit(0.0))
+    some = lambda names: "class=[\"'](?:" + _any(names) + ")[\"']"
+    data = F.regexp_extract(page, r'(?s)<script id="__NEXT_DATA__"[^>]*>(.*?)</script>', 1)
+    props = F.get_json_object(data, "$.props.pageProps")
+    listed = F.coalesce(F.startswith(F.get_json_object(props, "$.cars"), F.lit("[")), F.lit(False)) | F.coalesce(F.startswith(F.get_json_object(props, "$.vehicles"), F.lit("[")), F.lit(False))
+    path = F.regexp_extract(F.coalesce(url, F.lit("")) if url is not None else F.lit(""), r"^[A-Za-z]+://[^/?#]*([^?#]*)", 1)
+    on_path = F.when(path.rlike(_any(SYMFIO_PATHS)), 0.2).otherwise(0.0)
+    header = F.lower(F.coalesce(powered_by, F.lit(""))) if powered_by is not None else F.lit("")
+    counts = F.regexp_extract_all(page, F.lit(r"""class=["']([^"']{3,80})["']"""), F.lit(1))
+    cards = F.filter(F.array_distinct(counts), lambda c: F.lower(c).rlike(_any(CARD_WORDS)))
+    most = _let(counts, lambda found: F.array_max(F.transform(cards, lambda c: F.size(F.filter(found, lambda x: x == c)))))
     return {
-        "next": F.when(has('(?s)id="__NEXT_DATA__"') & has('"(?:cars|vehicles)"\\s*:\\s*\\['), 0.95).when(has('(?s)id="__NEXT_DATA__"'), 0.3).otherwise(F.lit(0.0)),
-        "inertia": F.least(F.lit(1.0), F.when(has('<div[^>]*id="app"[^>]*data-page='), 0.85).otherwise(F.lit(0.0)) + part("(?i)<script[^>]*src=[^>]*inertia", 0.15)),
-        "drupal": F.least(F.lit(1.0), part('(?i)<meta[^>]*name="generator"[^>]*content="[^"]*drupal', 0.6) + part("/sites/default/files/", 0.2)),
-        "json_ld": part('(?s)<script[^>]*type="application/ld\\+json"[^>]*>.*?"@type"\\s*:\\s*"Vehicle"', 0.3),
+        "symfio_v2": F.when(~has('<script id="__NEXT_DATA__"'), F.lit(0.0)).when(listed, 0.95).when(F.get_json_object(data, "$").isNotNull(), 0.3).otherwise(0.2),
+        "symfio_v1": F.least(F.lit(1.0), part('(?i)<meta[^>]*name="generator"[^>]*content="[^"]*symfio[^"]*"', 0.5) + part(some(SYMFIO_CLASSES), 0.2) + part('(?s)<script[^>]*type="application/ld\\+json"[^>]*>.*?"@type"\\s*:\\s*"Vehicle"', 0.3) + on_path),
+        "rivamedia": F.least(F.lit(1.0), F.when(header.contains("rivamedia"), 0.7).otherwise(0.0) + part(some(RIVAMEDIA_CLASSES), 0.3)),
+        "drupal": F.least(F.lit(1.0), part('(?i)<meta[^>]*name="generator"[^>]*content="[^"]*drupal[^"]*"', 0.6) + part('<body[^>]*class="[^"]*(?:path-node|drupal-content)', 0.2) + part("/sites/default/files/", 0.2)),
+        "inertia": F.least(F.lit(1.0), F.when(has('<div[^>]*id="app"[^>]*data-page='), 0.85).when(has("data-page=['\"][^'\"]*\"version\""), 0.8).otherwise(F.lit(0.0)) + part("(?i)<script[^>]*src=[^>]*inertia", 0.15)),
+        "generic_cards": F.when(most >= CARDS_LEAST, F.least(F.lit(0.7), 0.3 + most / 50.0)).otherwise(F.lit(0.0)),
     }
 
 
+def platform(scores: dict[str, Column], least: float = 0.0) -> Column:
+    """The name of the highest score over `least`, of equal ones the first; else unknown."""
+    best = F.greatest(*scores.values())
+    found = F.coalesce(*[F.when(c == best, F.lit(k)) for k, c in scores.items()])
+    return F.when(best > least, found).otherwise("unknown")
+
+
+def challenged(status: Column, page: Column) -> Column:
+    """Whether a page is a check for browsers, not the page asked for."""
+    low = F.lower(page)
+    return status.isin(403, 503) & (low.contains("cloudflare") | low.contains("cf-browser-verification") | page.contains("__cf_chl_"))
+
+
+def detail_links(page: Column, base: Column, most: int = DETAIL_MOST) -> Column:
+    """Addresses of a page's host that look like those of single listings, sorted; at most `most`: that is its definition."""
+    origin, netloc = F.regexp_extract(base, r"^([A-Za-z]+://[^/?#]*)", 1), F.regexp_extract(base, r"^[A-Za-z]+://([^/?#]*)", 1)
+    found = F.flatten(F.array(*[F.regexp_extract_all(page, F.lit(p), F.lit(1)) for p in DETAIL_PATTERNS]))
+    whole = F.transform(found, lambda u: F.when(F.startswith(u, F.lit("http")), u).when(F.startswith(u, F.lit("/")), F.concat(origin, u)))
+    kept = F.filter(whole, lambda u: u.isNotNull() & F.contains(u, netloc) & ~F.lower(u).rlike(_any(NO_DETAIL)))
+    return F.slice(F.array_sort(F.array_distinct(kept)), 1, most)
+
+
 # ---- language, places, names ----
 
 
@@ -261,11 +312,61 @@ def language_by_stop_words(text: Column, default: str = "fr") -> Column:
     return _let(_let(found, count), choose)
 
 
-def mapped(text: Column, names: dict[str, str]) -> Column:
-    """The key whose names, parted by |, hold the trimmed lower-case text."""
+# Flags and their languages.
+FLAG_LANGUAGES = {"\U0001f1f3\U0001f1f1": "nl", "\U0001f1eb\U0001f1f7": "fr", "\U0001f1e9\U0001f1ea": "de", "\U0001f1e6\U0001f1f9": "de", "\U0001f1e6\U0001f1f9": "de", "\U0001f1ee\U0001f1f9": "it", "\U0001f1ec\U0001f1e7": "en", "\U0001f1fa\U0001f1f8": "en"}
+
+
+def language_segments(text: Column, default: str = "fr") -> Column:
+    """array<struct<lang, chunk>>: the parts after each flag, else the whole text in the language of its stop words. What
+    stands before the first flag is left out; a text without a part of its own after a flag is taken whole."""
+    flag = "(?:" + "|".join(FLAG_LANGUAGES) + ")"
+    names = F.create_map(*[F.lit(x) for kv in FLAG_LANGUAGES.items() for x in kv])
+    flags, parts = F.regexp_extract_all(text, F.lit(flag), F.lit(0)), F.split(text, flag, -1)
+    told = F.filter(F.transform(flags, lambda f, i: F.struct(F.element_at(names, f).alias("lang"), F.get(parts, i + 1).alias("chunk"))), lambda x: F.trim(F.regexp_replace(x["chunk"], r"\s+", " ")) != "")
+    whole = F.array(F.struct(language_by_stop_words(text, default).alias("lang"), text.alias("chunk")))
+    none = F.array().cast("array<struct<lang:string,chunk:string>>")
+    return F.when(F.coalesce(F.trim(F.regexp_replace(text, r"\s+", " ")), F.lit("")) == "", none).when(F.size(told) > 0, told).otherwise(whole)
+
+
+def language(text: Column, default: str = "fr") -> Column:
+    """The language of the first segment; without any, the default."""
+    return F.coalesce(F.get(language_segments(text, default), F.lit(0))["lang"], F.lit(default))
+
+
+# A designation of a model, not of its trim.
+AMG_MODEL = r"(?i)\bAMG\b(?!\s*-?\s*LINE)"
+UNKNOWN_MAKE = "Inconnue"
+
+
+def make_model(title: Column, aliases: dict[str, str]) -> Column:
+    """struct<mk, mo> of a title: aliases (lower case) of makes with their names. Aliases of several words come first, the
+    longest of them, and end at a space or a dash; then a first word; then a first word that begins with an alias; else the
+    first word in title case. A Mercedes whose model is an AMG is one."""
+    tidy = F.trim(F.regexp_replace(F.coalesce(title, F.lit("")), r"\s+", " "))
+    low = F.lower(tidy)
+    first = F.split_part(tidy, F.lit(" "), F.lit(1))
+    low_first, rest = F.lower(first), F.trim(F.substr(tidy, F.length(first) + 1))
+    pair = lambda mk, mo: F.struct(mk.alias("mk"), mo.alias("mo"))
+    found = F.when(tidy == "", pair(F.lit(UNKNOWN_MAKE), F.lit("")))
+    longest = sorted(aliases, key=lambda a: (-len(a), a))
+    for alias in (a for a in longest if " " in a or "-" in a):
+        after = F.substr(tidy, F.lit(len(alias) + 1))
+        found = found.when(F.startswith(low, F.lit(alias)) & after.rlike(r"^(?:$|[ -])"), pair(F.lit(aliases[alias]), F.regexp_replace(after, r"^[ -]+", "")))
+    simple = [a for a in longest if " " not in a and "-" not in a]
+    names = F.create_map(*[F.lit(x) for a in simple for x in (a, aliases[a])]) if simple else None
+    if simple:
+        found = found.when(low_first.isin(simple), pair(F.element_at(names, low_first), rest))
+    for alias in simple:
+        found = found.when(F.startswith(low_first, F.lit(alias)), pair(F.lit(aliases[alias]), F.trim(F.concat(F.substr(first, F.lit(len(alias) + 1)), F.lit(" "), rest))))
+    found = found.otherwise(pair(F.initcap(first), rest))
+    return _let(found, lambda x: pair(F.when((x["mk"] == "Mercedes-Benz") & x["mo"].rlike(AMG_MODEL), "Mercedes-AMG").otherwise(x["mk"]), x["mo"]))
+
+
+def mapped(text: Column, names: dict[str, list[str]]) -> Column:
+    """The key whose names hold the trimmed lower-case text."""
     low, out = F.lower(F.trim(F.coalesce(text, F.lit("")))), None
     for key, values in names.items():
-        out = (F if out is None else out).when(low.isin(values.split("|")), F.lit(key))
+        out = (F if out is None else out).when(low.isin(values), F.lit(key))
     return out
 
 
@@ -283,7 +384,7 @@ def gear(text: Column) -> Column:
 
 def is_city(text: Column) -> Column:
     s = F.trim(F.coalesce(text, F.lit("")))
-    return (F.length(s) > 2) & ~F.lower(s).isin(NOT_A_CITY) & ~s.rlike(r"^[\d\s\-./]+$")
+    return (F.length(s) > 2) & ~F.lower(s).isin(NO_CITY_COUNTRIES + NO_CITY_WORDS) & ~s.rlike(r"^[\d\s\-./]+$")
 
 
 def locality(text: Column) -> Column:

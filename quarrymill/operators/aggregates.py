@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrymill.functions.numbers import price_band
+from quarrymill.functions.numbers import decade, price_band
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], price: str, least: int = 1) -> DataFrame:
@@ -52,6 +53,31 @@ def cascade(df: DataFrame, price: str, tiers: Sequence[tuple[Sequence[str], Colu
     return out.drop("_ok", "_best", *[f"_n{k}" for k in range(1, len(tiers) + 1)], *[f"_q{k}" for k in range(1, len(tiers) + 1)])
 
 
+#: Keys of the fair price's cohorts, finest first: model and decade, model, by how the model is known.
+FAIR_PRICE_TIERS = [["canonical_id", "_dec"], ["canonical_id"], ["ref_model_id", "_dec"], ["ref_model_id"], ["_mk", "gen_family", "_dec"], ["_mk", "gen_family"], ["_mk", "_mo", "_dec"], ["_mk", "_mo"]]
+
+
+def fair_price(cars: DataFrame, least: int = 5) -> DataFrame:
+    """cascade() over active cars that are no auctions and have a price, by FAIR_PRICE_TIERS.
+
+    cars: canonical_id, ref_model_id, gen_family, mk, mo, mo_canon, yr, px, status, is_auction. Empty makes, families and
+    models are none; a cohort needs all its keys.
+    """
+    given = lambda c: F.nullif(F.col(c), F.lit(""))
+    rows = cars.withColumns({"_mk": F.lower(given("mk")), "_mo": F.lower(F.coalesce(given("mo_canon"), "mo")), "_dec": decade(F.col("yr")), "gen_family": given("gen_family")})
+    every = lambda keys: F.expr(" and ".join(f"{k} is not null" for k in keys))
+    eligible = (F.col("status") == "active") & ~F.col("is_auction") & (F.col("px") > 0)
+    return cascade(rows, "px", [(keys, every(keys)) for keys in FAIR_PRICE_TIERS], eligible, least).drop("_mk", "_mo", "_dec")
+
+
+def source_share(df: DataFrame, source: str, price: str) -> DataFrame:
+    """Of each source its rows, quartiles by rank of its prices and share of all rows, and the median of all prices."""
+    priced = df.filter(F.col(price) > 0)
+    total, median = df.count(), priced.agg(F.percentile(price, 0.5)).first()[0]
+    counts = df.groupBy(source).agg(F.count("*").alias("rows"))
+    return counts.join(nearest_rank(priced, [source], price), source, "left").withColumns({"share_pct": F.round(100.0 * F.col("rows") / max(total, 1), 4), "median_all": F.lit(median).cast("double")})
+
+
 def snapshot(df: DataFrame, price: str, fresh: Column, source: str, country: str, deal: Column) -> DataFrame:
     """One row of market figures, from one pass."""
     q = F.percentile(price, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
@@ -138,3 +164,21 @@ def trend(df: DataFrame, keys: Sequence[str], order: str, value: str, step: floa
     late = F.col("_r") > F.col("_n") - F.floor(F.col("_n") / 2)
     out = ranked.groupBy(*keys).agg(F.count("*").alias("n"), (F.avg(F.when(late, F.col(value))) - F.avg(F.when(~late, F.col(value)))).alias("delta"))
     return out.withColumn("trend", F.when(F.col("n") < 3, "insufficient_data").when(F.col("delta") > step, "improving").when(F.col("delta") < -step, "degrading").otherwise("stable"))
+
+
+def touched(old: DataFrame, new: DataFrame, key: str, watched: Sequence[str], at: str, now: Column) -> DataFrame:
+    """Rows of new with the time of their last change: `now` where one of the watched columns differs from old's or the
+    key is new, else old's."""
+    before = old.select(key, F.col(at).alias("_at"), *[F.col(c).alias(f"_{c}") for c in watched])
+    same = F.lit(True)
+    for c in watched:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    out = new.join(before, key, "left").withColumn(at, F.when(same & F.col("_at").isNotNull(), F.col("_at")).otherwise(now))
+    return out.drop("_at", *[f"_{c}" for c in watched])
+
+
+def call(spark, functions: dict, name: str, arguments: str) -> DataFrame:
+    """A registered function by name, with its arguments as a JSON object; an unknown name or argument is an error."""
+    if name not in functions:
+        raise ValueError(f"no function {name}; there are {', '.join(sorted(functions))}")
+    return functions[name](**json.loads(arguments))

@@ -37,13 +37,29 @@ def by_first_token(rows: DataFrame, ref: DataFrame, id_col: str, make: str, text
     return rows.join(best, (rows[make] == best["_mk"]) & (token(text) == best["_t"]) & (token(text) != ""), "left").drop("_mk", "_t")
 
 
+def _anchored(sets: DataFrame, key: str, words: str) -> DataFrame:
+    """sets with `_anchor`: of its words the one that fewest sets of its key have, of equal ones the first by name."""
+    marked = sets.withColumn("_set", F.array_sort(F.array_distinct(words)))
+    each = marked.select(key, F.col("_set"), F.explode("_set").alias("_word")).distinct()
+    often = each.groupBy(key, "_word").agg(F.count("*").alias("_n"))
+    rare = each.join(often, [key, "_word"]).groupBy(key, "_set").agg(F.min_by("_word", F.struct("_n", "_word")).alias("_anchor"))
+    return marked.join(rare, [key, "_set"]).drop("_set")
+
+
 def token_subset(queries: DataFrame, segments: DataFrame, q_id: str, q_brand: str, q_model: str, s_brand: str, s_model: str, sales: str, k: int = 3) -> DataFrame:
     """For each query the k segments of its brand whose model words hold all of the query's or the other way round: by
-    words in common, sales, words of the segment, name. Brand and model columns are arrays of words."""
-    q = queries.select(q_id, F.col(q_model).alias("_qm"), F.explode(F.array_distinct(q_brand)).alias("_b"))
+    words in common, sales, words of the segment, name. Brand and model columns are arrays of words.
+
+    A set within another shares its rarest word with it, so pairs are made by that word, not by the brand alone.
+    """
+    q = queries.select(q_id, F.col(q_model).alias("_qm"), F.explode(F.array_distinct(q_brand)).alias("_b")).filter(F.size("_qm") > 0)
     s = segments.select(F.array_join(s_brand, " ").alias("seg_brand"), F.col(s_model).alias("_sm"), F.col(sales).alias("sales"), F.explode(F.array_distinct(s_brand)).alias("_b")).filter(F.size("_sm") > 0)
-    pairs = q.join(s, "_b").withColumns({"_in": F.size(F.array_except("_sm", "_qm")) == 0, "_of": F.size(F.array_except("_qm", "_sm")) == 0})
-    pairs = pairs.filter((F.col("_in") | F.col("_of")) & (F.size("_qm") > 0))
+    spread = lambda df, words: df.withColumn("_anchor", F.explode(F.array_distinct(words)))
+    cols = [q_id, "seg_brand", "_qm", "_sm", "sales"]
+    within = spread(q, "_qm").join(_anchored(s, "_b", "_sm"), ["_b", "_anchor"]).select(*cols)
+    around = _anchored(q, "_b", "_qm").join(spread(s, "_sm"), ["_b", "_anchor"]).select(*cols)
+    pairs = within.union(around).withColumns({"_in": F.size(F.array_except("_sm", "_qm")) == 0, "_of": F.size(F.array_except("_qm", "_sm")) == 0})
+    pairs = pairs.filter(F.col("_in") | F.col("_of"))
     out = pairs.select(q_id, "seg_brand", F.array_join("_sm", " ").alias("seg_model"), F.coalesce("sales", F.lit(0)).alias("sales"), F.size(F.array_intersect("_sm", "_qm")).alias("inter"), F.size(F.array_distinct("_sm")).alias("n_seg"), F.when(F.col("_in"), "SEG_IN_Q").otherwise("Q_IN_SEG").alias("direction")).distinct()
     order = [F.desc("inter"), F.desc("sales"), F.desc("n_seg"), F.asc("seg_brand"), F.asc("seg_model")]
     ranked = out.withColumn("rank", F.row_number().over(Window.partitionBy(q_id).orderBy(*order)))
@@ -51,10 +67,12 @@ def token_subset(queries: DataFrame, segments: DataFrame, q_id: str, q_brand: st
 
 
 def interval(rows: DataFrame, dim: DataFrame, id_col: str, brand: str, words: str, year: str, d_brand: str, d_words: str, d_code: str, low: str, high: str) -> DataFrame:
-    """For each row the code of the family of most words that its words hold, in whose years its year lies."""
-    on = (rows[brand] == dim[d_brand]) & (F.size(F.array_except(dim[d_words], rows[words])) == 0) & rows[year].between(dim[low], dim[high])
-    pairs = rows.join(dim, on).select(rows[id_col], dim[d_code].alias("code"), F.size(dim[d_words]).alias("_n"))
-    best = pairs.groupBy(id_col).agg(F.min_by("code", F.struct(-F.col("_n"), F.col("code"))).alias("code"))
+    """For each row the code of the family of most words that its words hold, in whose years its year lies. Families
+    without words are none. Pairs are made by a family's rarest word, which the row has too."""
+    d = _anchored(dim.select(F.col(d_brand).alias("_b"), F.col(d_words).alias("_dw"), F.col(d_code).alias("code"), F.col(low).alias("_low"), F.col(high).alias("_high")), "_b", "_dw")
+    r = rows.select(id_col, F.col(brand).alias("_b"), F.col(words).alias("_rw"), F.col(year).alias("_y"), F.explode(F.array_distinct(words)).alias("_anchor"))
+    pairs = r.join(d, ["_b", "_anchor"]).filter((F.size(F.array_except("_dw", "_rw")) == 0) & F.col("_y").between(F.col("_low"), F.col("_high")))
+    best = pairs.groupBy(id_col).agg(F.min_by("code", F.struct(-F.size("_dw"), F.col("code"))).alias("code"))
     return rows.join(best, id_col, "left")
 
 

@@ -61,28 +61,31 @@ def segment_quantiles_nearest_rank(spark, d):
     return A.nearest_rank(listing(spark, d), ["src"], "px")
 
 
-_TIERS = [("mk, mo, typ, decade", "mk is not null"), ("mk, typ, decade", "sz > 5"), ("mk, decade", "sz > 2"), ("mk", "flag <> 'R'")]
+_COTE = ", base as (select listing.id, mk, mo, px, yr, case when status = 'O' then 'active' else 'sold' end as status, flag = 'N' as is_auction, case when sz > 30 then typ || mk end as canonical_id, case when sz > 20 then typ end as ref_model_id, case when sz > 10 then split_part(typ, ' ', 1) end as gen_family, case when sz % 2 = 0 then upper(mo) end as mo_canon from listing), " \
+    "b as (select *, lower(mk) as mkl, lower(coalesce(nullif(mo_canon, ''), mo)) as mol, (floor(yr / 10.0) * 10)::int as dec10, status = 'active' and not is_auction and px > 0 as ok from base)"
+_TIERS = ["canonical_id, dec10", "canonical_id", "ref_model_id, dec10", "ref_model_id", "mkl, gen_family, dec10", "mkl, gen_family", "mkl, mol, dec10", "mkl, mol"]
 
 
 def _cascade_sql() -> str:
-    out = LISTING + ", base as (select id, mk, mo, typ, sz, px, flag, (floor(yr / 10.0) * 10)::int as decade, status = 'O' and flag <> 'N' as ok from listing)"
-    for k, (keys, cond) in enumerate(_TIERS, 1):
-        out += f", c{k} as (select {keys}, quantile_cont(px, 0.25) as q1, quantile_cont(px, 0.5) as q2, quantile_cont(px, 0.75) as q3 from base where ok and {cond} group by all having count(*) >= 5)"
-    tier = "case " + " ".join(f"when ok and {cond} and c{k}.q2 > 0 then {k}" for k, (_, cond) in enumerate(_TIERS, 1)) + " end"
-    pick = lambda q: "case tier " + " ".join(f"when {k} then v{k}_{q}" for k in range(1, 5)) + " end"
-    out += ", t as (select id, px, " + tier.replace("and mk is", "and base.mk is") + " as tier, " + ", ".join(f"c{k}.q{q} as v{k}_{q}" for k in range(1, 5) for q in (1, 2, 3)) + " from base"
-    for k, (keys, _) in enumerate(_TIERS, 1):
-        out += f" left join c{k} on " + " and ".join(f"base.{c} = c{k}.{c}" for c in keys.split(", "))
-    out += ")"
-    return out + f" select id, tier::int as tier, round_even({pick(1)}, 0)::bigint as cote_low, round_even({pick(2)}, 0)::bigint as cote_mid, round_even({pick(3)}, 0)::bigint as cote_high, round_even((px - {pick(2)}) * 100.0 / {pick(2)}, 0)::bigint as deal_pct from t"
+    out = LISTING + _COTE
+    for k, keys in enumerate(_TIERS, 1):
+        out += f", c{k} as (select {keys}, quantile_cont(px, 0.25) as q1, quantile_cont(px, 0.5) as q2, quantile_cont(px, 0.75) as q3 from b where ok and " + " and ".join(f"{c} is not null" for c in keys.split(", ")) + " group by all having count(*) >= 5)"
+    every = range(1, len(_TIERS) + 1)
+    out += ", t as (select id, px, case " + " ".join(f"when ok and c{k}.q2 > 0 then {k}" for k in every) + " end as tier, " + ", ".join(f"c{k}.q{q} as v{k}_{q}" for k in every for q in (1, 2, 3)) + " from b"
+    for k, keys in enumerate(_TIERS, 1):
+        out += f" left join c{k} on " + " and ".join(f"b.{c} = c{k}.{c}" for c in keys.split(", "))
+    pick = lambda q: "case tier " + " ".join(f"when {k} then v{k}_{q}" for k in every) + " end"
+    return out + f") select id, tier::int as tier, round_even({pick(1)}, 0)::bigint as cote_low, round_even({pick(2)}, 0)::bigint as cote_mid, round_even({pick(3)}, 0)::bigint as cote_high, round_even((px - {pick(2)}) * 100.0 / {pick(2)}, 0)::bigint as deal_pct from t"
 
 
 @query(_cascade_sql())
 def cohort_cascade(spark, d):
-    base = listing(spark, d).withColumn("decade", N.decade(F.col("yr")))
-    tiers = [(keys.split(", "), F.expr(cond)) for keys, cond in _TIERS]
-    out = A.cascade(base, "px", tiers, (F.col("status") == "O") & (F.col("flag") != "N"))
-    return out.select("id", "tier", "cote_low", "cote_mid", "cote_high", "deal_pct")
+    part = lambda c, least: F.when(F.col("sz") > least, c)
+    cars = listing(spark, d).select(
+        "id", "mk", "mo", "px", "yr", F.when(F.col("status") == "O", "active").otherwise("sold").alias("status"), (F.col("flag") == "N").alias("is_auction"),
+        part(F.concat("typ", "mk"), 30).alias("canonical_id"), part(F.col("typ"), 20).alias("ref_model_id"), part(F.split_part("typ", F.lit(" "), F.lit(1)), 10).alias("gen_family"), F.when(F.col("sz") % 2 == 0, F.upper("mo")).alias("mo_canon"),
+    )
+    return A.fair_price(cars).select("id", "tier", "cote_low", "cote_mid", "cote_high", "deal_pct")
 
 
 @query(LISTING + ", c as (select mk, typ, count(*) as n, quantile_cont(px, 0.25) as p25, quantile_cont(px, 0.75) as p75 from listing where sz > 48 group by all) select id, case when coalesce(n, 0) < 5 then 'insufficient' when px < p25 then 'under' when px > p75 then 'over' else 'at' end as deal from listing left join c using (mk, typ)")
@@ -226,11 +229,11 @@ def coord_clusters(spark, d):
     return table(spark, d, "supplier").groupBy(F.floor(F.col("s_acctbal") / 1000).cast("long").alias("cell_y"), (F.col("s_nationkey") % 5).alias("cell_x")).agg(F.count("*").alias("n")).filter("n >= 2")
 
 
-_RATES = "select event_type as cur, ts::date as day, max(value) as rate from events where event_type in ('error', 'signup') and event_id % 7 = 0 and value is not null group by all"
+_RATES = "select event_type as cur, ts::date as day, max(value) as rate from events where event_type in ('error', 'signup') and value between 20 and 35 group by all"
 
 
 def _rates(spark, d):
-    rows = table(spark, d, "events").filter("event_type in ('error', 'signup') and event_id % 7 = 0 and value is not null")
+    rows = table(spark, d, "events").filter("event_type in ('error', 'signup') and value between 20 and 35")
     return rows.groupBy(F.col("event_type").alias("cur"), F.col("ts").cast("date").alias("day")).agg(F.max("value").alias("rate"))
 
 
@@ -315,10 +318,10 @@ def token_subset_top3(spark, d):
     return M.token_subset(part.filter("p_size <= 25"), s, "p_partkey", "b", "m", "sb", "sm", "sales")
 
 
-@query(LISTING + ", dim as (select p_brand as b, list_distinct(string_split(p_type, ' ')) as words, 'g' || min(p_size)::varchar as code, 1995 + min(p_size) % 3 as y0, 1998 + max(p_size) % 4 as y1 from part group by all) select id, arg_min(code, {'a': -len(words), 'b': code}) as code from listing left join dim on mk = b and list_has_all(string_split(typ, ' '), words) and yr between y0 and y1 where id % 10 = 1 group by id".replace("group by all)", "group by p_brand, p_type)"))
+@query(LISTING + ", dim as (select p_brand as b, list_distinct(string_split(p_type, ' ')) as words, 'g' || min(p_size)::varchar as code, 1995 + min(p_size) % 3 as y0, 1998 + max(p_size) % 4 as y1 from part group by all) select id, arg_min(code, {'a': -len(words), 'b': code}) as code from listing left join dim on mk = b and list_has_all(string_split(typ, ' '), words) and yr between y0 and y1 group by id".replace("group by all)", "group by p_brand, p_type)"))
 def interval_generation(spark, d):
     dim = table(spark, d, "part").groupBy(F.col("p_brand").alias("b"), F.array_distinct(F.split("p_type", " ")).alias("words")).agg(F.concat(F.lit("g"), F.min("p_size")).alias("code"), (1995 + F.min("p_size") % 3).alias("y0"), (1998 + F.max("p_size") % 4).alias("y1"))
-    rows = listing(spark, d).filter("id % 10 = 1").select("id", "mk", F.split("typ", " ").alias("w"), "yr")
+    rows = listing(spark, d).select("id", "mk", F.split("typ", " ").alias("w"), "yr")
     return M.interval(rows, dim, "id", "mk", "w", "yr", "b", "words", "code", "y0", "y1").select("id", "code").distinct()
 
 
@@ -434,7 +437,7 @@ def tiers(spark, d):
     return rows.select("id", "tier", N.km_tier(F.col("km"), F.col("tier")).alias("km_tier"))
 
 
-@query(LISTING + ", v as (select id, mk, mo, case when sz = 7 then null else px - 1000 end as p, yr + sz % 8 as y, km - 3000 as k from listing) select id, case when p is null then 'price_invalid' when p < 500 then 'price_low' when y > 2003 then 'year_future' when p >= 100000 then 'price_make' when k < 0 then 'km_negative' when 2002 - y < 3 and p < 3000 then 'recent_cheap' end as reason from v")
+@query(LISTING + ", v as (select id, mk, mo, case when sz = 7 then null else px - 1000 end as p, yr + sz % 8 as y, km - 3000 as k from listing) select id, case when p is null then 'price_invalid' when p < 500 then 'price_low' when y > 2003 then 'year_future' when p >= 100000 then 'price_luxury' when k < 0 then 'km_negative' when 2002 - y < 3 and p < 3000 then 'recent_cheap' end as reason from v")
 def validate_reason(spark, d):
     rows = listing(spark, d).select("id", "mk", "mo", F.when(F.col("sz") != 7, F.col("px") - 1000).alias("p"), (F.col("yr") + F.col("sz") % 8).alias("y"), (F.col("km") - 3000).alias("k"))
     return rows.select("id", N.validate_reason(F.lit(None).cast("string"), F.col("mk"), F.col("mo"), F.col("p"), F.col("y"), F.col("k"), F.lit(""), None, 2002).alias("reason"))

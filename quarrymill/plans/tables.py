@@ -51,9 +51,9 @@ def scan_table(spark, d):
     return table(spark, d, "lineitem").agg(F.count("*").alias("n"), F.countDistinct("l_orderkey").alias("n_orders"), F.max("l_shipdate").alias("last"))
 
 
-@query("select o_orderkey from orders where o_orderkey > 500 order by o_orderkey limit 1000")
+@query("select (row_number() over (order by o_orderkey) - 1) // 1000 as page, o_orderkey from orders where o_orderkey > 500")
 def scan_keyset(spark, d):
-    return table(spark, d, "orders").filter("o_orderkey > 500").orderBy("o_orderkey").limit(1000).select("o_orderkey")
+    return files.keyset_pages(table(spark, d, "orders").filter("o_orderkey > 500").select("o_orderkey"), "o_orderkey", 1000)
 
 
 @query(NATIONS)
@@ -207,7 +207,7 @@ def sink_tsv(spark, d):
 
 _WORDS = ["full service history, première main", "sans carnet, garage chauffé, 3 owners", "carnet d'entretien, matching numbers, modified", "série limitée 1 of 500, centre agréé", "plain"]
 _FLAG_SQL = {
-    "service_book": "k in (0, 2)", "full_book": "k = 0", "first_owner": "k = 0", "garage_chauffe": "k = 1", "matching_numbers": "k = 2", "etat_origine": "false", "serie_limitee": "k = 3", "suivi_constructeur": "k = 3",
+    "carnet_present": "k in (0, 2)", "carnet_complet": "k = 0", "first_owner": "k = 0", "garage_chauffe": "k = 1", "matching_numbers": "k = 2", "etat_origine": "false", "serie_limitee": "k = 3", "suivi_constructeur": "k = 3",
 }
 
 
@@ -222,7 +222,7 @@ def features_v1(spark, d):
     return _described(spark, d).select("p_partkey", *[flag[n].alias(n) for n in _FLAG_SQL], X.owners(F.col("de")).alias("owners"))
 
 
-@query("with p as (select p_partkey, p_partkey % 5 as k from part) select p_partkey, case k when 0 then 8 + 10 + 7 + 12 when 1 then 8 + 7 + 7 + 2 when 2 then 8 + 12 + 7 + 5 when 3 then 8 + 7 + 7 + 7 + 10 else 8 + 7 + 7 end::int as score, case k when 0 then 'full service book|première main|faible km' when 1 then '3 propriétaires|faible km' when 2 then 'service book|matching numbers|faible km' when 3 then 'suivi constructeur|faible km|série limitée' else 'faible km' end as chips from p")
+@query("with p as (select p_partkey, p_partkey % 5 as k from part) select p_partkey, case k when 0 then 8 + 10 + 7 + 12 when 1 then 8 + 7 + 7 + 2 when 2 then 8 + 12 + 7 + 5 when 3 then 8 + 7 + 7 + 7 + 10 else 8 + 7 + 7 end::int as score, case k when 0 then 'Carnet complet|Première main|Faible km' when 1 then '3 propriétaires|Faible km|Garage chauffé' when 2 then 'Carnet présent|Matching numbers|Faible km' when 3 then 'Suivi constructeur|Faible km|Série limitée' else 'Faible km' end as chips from p")
 def feature_score(spark, d):
     flag, n, tier, km = X.flags(F.col("de")), X.owners(F.col("de")), F.lit("luxury"), F.lit("low_km")
     return _described(spark, d).select("p_partkey", X.feature_score(flag, n, tier, km).alias("score"), F.array_join(X.chips(flag, n, km), "|").alias("chips"))
@@ -257,9 +257,9 @@ def json_bridge(spark, d):
     return rows.select("event_id", bridged.alias("a")).select("event_id", "a.source", "a.lot", "a.h_offset", "a.sold_price")
 
 
-@query(LISTING + "select id, yr < 1998 or px >= 25000 or regexp_matches(mk || ' ' || mo, '(?i)red|\\bgreen') as keep from listing where id % 3 = 0")
+@query(LISTING + "select id, yr < 1998 or px >= 25000 or regexp_matches(mk || ' ' || mo, '(?i)red|\\bgreen') as keep from listing")
 def persona(spark, d):
-    rows = listing(spark, d).filter("id % 3 = 0")
+    rows = listing(spark, d)
     return rows.select("id", ((F.col("yr") < 1998) | (F.col("px") >= 25_000) | F.concat_ws(" ", "mk", "mo").rlike(r"(?i)red|\bgreen")).alias("keep"))
 
 
@@ -271,15 +271,11 @@ def rule_tags(spark, d):
 
 @query("select p_partkey, p_brand as mk, trim(p_name) as mo from part")
 def make_model(spark, d):
-    """The longest brand that a title begins with, after a year; what is left is the model."""
-    from quarrymill.operators.matching import by_first_token
-
+    """The makes are those of the table, at most a few dozen."""
     part = table(spark, d, "part")
-    title = F.regexp_replace(F.concat(F.lit("1999 "), "p_brand", F.lit(" "), "p_name"), r"^\s*(?:18|19|20)\d{2}\s+", "")
-    rows = part.select("p_partkey", F.lit(1).alias("any"), F.lower(title).alias("low"), title.alias("title"))
-    brands = part.select(F.lit(1).alias("any1"), F.lower("p_brand").alias("brand")).distinct()
-    found = by_first_token(rows, brands, "p_partkey", "any", "low", "any1", "brand")
-    return found.select("p_partkey", F.left("title", F.length("matched")).alias("mk"), F.trim(F.substr("title", F.length("matched") + 1)).alias("mo"))
+    brands = {r[0].lower(): r[0] for r in part.select("p_brand").distinct().limit(1000).collect()}
+    found = T.make_model(F.concat("p_brand", F.when(F.col("p_partkey") % 2 == 0, F.lit(" ")).otherwise(F.lit("")), "p_name"), brands)
+    return part.select("p_partkey", found.alias("x")).select("p_partkey", "x.mk", "x.mo")
 
 
 @query("select page_id, link from (select page_id, link, row_number() over (partition by page_id, regexp_replace(link, '.*/', '') order by pos) as r from (select page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) as link, unnest(range(len(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)))) as pos from pages)) where r = 1")

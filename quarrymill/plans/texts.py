@@ -53,11 +53,11 @@ def parse_price(spark, d):
     return table(spark, d, "part").select("p_partkey", s.alias("s"), N.parse_price(s).alias("price"))
 
 
-@query("select l_orderkey, l_linenumber, (l_quantity * 1000)::bigint as km, year(l_shipdate)::int as yr from lineitem where l_linenumber <= 2")
+@query("select l_orderkey, l_linenumber, (l_quantity * 1000)::bigint as km, year(l_shipdate)::int as yr from lineitem")
 def extract_year_km(spark, d):
     km = (F.col("l_quantity") * 1000).cast("long").cast("string")
     text = F.concat(F.lit("Bj. "), F.year("l_shipdate").cast("string"), F.lit(", "), F.regexp_replace(km, r"(\d)(\d{3})$", "$1 $2"), F.lit(" km"))
-    return table(spark, d, "lineitem").filter("l_linenumber <= 2").select("l_orderkey", "l_linenumber", N.extract_km(text).alias("km"), N.parse_year(text).alias("yr"))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", N.extract_km(text).alias("km"), N.parse_year(text).alias("yr"))
 
 
 _SPACED = "trim(regexp_replace({0}, '\\s+', ' ', 'g'))"
@@ -129,9 +129,12 @@ def limited_of(spark, d):
     return table(spark, d, "part").select("p_partkey", T.limited_edition(text).alias("n"))
 
 
-@query("select page_id, case when regexp_matches(html, 'id=\"__NEXT_DATA__\"') then 0.3 else 0.0 end::double as next, 0.0::double as inertia, case when contains(html, '/sites/default/files/') then 0.2 else 0.0 end::double as drupal, case when regexp_matches(html, '(?s)<script[^>]*type=\"application/ld\\+json\"[^>]*>.*?\"@type\"\\s*:\\s*\"Vehicle\"') then 0.3 else 0.0 end::double as json_ld from pages")
+_PLATFORMS = {"symfio_v2": "case when regexp_matches(html, '<script id=\"__NEXT_DATA__\"') then 0.3 else 0.0 end", "symfio_v1": "case when regexp_matches(html, '(?s)<script[^>]*type=\"application/ld\\+json\"[^>]*>.*?\"@type\"\\s*:\\s*\"Vehicle\"') then 0.3 else 0.0 end", "rivamedia": "0.0", "drupal": "case when contains(html, '/sites/default/files/') then 0.2 else 0.0 end", "inertia": "0.0", "generic_cards": "0.0"}
+
+
+@query("select page_id, " + ", ".join(f"({v})::double as {k}" for k, v in _PLATFORMS.items()) + " from pages")
 def platform_sniff(spark, d):
-    return table(spark, d, "pages").select("page_id", *[c.alias(k) for k, c in T.platform_scores(F.col("html")).items()])
+    return table(spark, d, "pages").select("page_id", *[c.cast("double").alias(k) for k, c in T.platform_scores(F.col("html"), F.col("url")).items()])
 
 
 @query("with u as (select page_id, lower(regexp_replace(regexp_extract(lower(url), '^[a-z]+://([^/?#:]*)', 1), '^www\\.', '')) as host, regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) as path from pages) select page_id, host, regexp_replace(split_part(host, '.', 1), '[^a-z0-9-]', '-', 'g') as slug, case when regexp_matches(trim(path, '/'), '\\.html?$') or regexp_matches(path, '(19|20)\\d\\d') or len(list_filter(string_split(path, '/'), lambda s: s <> '')) >= 2 then 'car_page' else 'root' end as shape, nullif(list_extract(regexp_extract_all(path, '\\d{5,}'), -1), '') as listing from u")
@@ -151,10 +154,10 @@ def remove_parens(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", F.lower("role").alias("role"), T.remove_parens(F.col("text")).alias("text"))
 
 
-@query("select event_id, (props->>'k')::int as k from events where (props->>'k')::int >= 50 order by k desc, event_id limit 100")
+@query("select event_id, (props->>'k')::int as k from events where (props->>'k')::int >= 50")
 def json_path(spark, d):
     k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, d, "events").select("event_id", k.alias("k")).filter("k >= 50").orderBy(F.desc("k"), "event_id").limit(100)
+    return table(spark, d, "events").select("event_id", k.alias("k")).filter("k >= 50").orderBy(F.desc("k"), "event_id")
 
 
 @query("select event_type, string_agg(k, ',' order by k) as keys from (select distinct event_type, props->>'k' as k from events where value > 95) group by event_type")
@@ -164,11 +167,11 @@ def map_agg(spark, d):
     return counted.select("event_type", F.array_join(F.array_sort(F.map_keys("m")), ",").alias("keys"))
 
 
-@query()
+@query("select distinct user_id, event_type from events")
 def dedup_stream(spark, d):
     return jobs.dedup_once(spark, d, table(spark, d, "events").schema)
 
 
-@query()
+@query("select * exclude (r) from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as r from events) where r = 1")
 def lifecycle_stream(spark, d):
     return jobs.lifecycle_once(spark, d, table(spark, d, "events").schema)

@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quarrymill.sources.shared import shared_folder
+
 
 def json_array(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """A file that is one JSON array, or one object."""
@@ -59,6 +61,47 @@ def reports(spark: SparkSession, folder: str, schema: StructType | str, latest:
     return found.orderBy(F.desc("file")).limit(latest) if latest else found
 
 
+def keyset_pages(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """All rows in pages of `size` by a key without ties: page and the columns of rows.
+
+    Rows are dealt out by ranges of the key, so a page follows from a row's place in its range and the rows of the ranges
+    before: as many numbers as there are ranges.
+    """
+    spark = rows.sparkSession
+    ranges = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), key).withColumn("_range", F.spark_partition_id())
+    path = shared_folder(spark, "pages")
+    ranges.write.parquet(path)
+    kept = spark.read.schema(ranges.schema).parquet(path)
+    ahead, total = {}, 0
+    for part, n in sorted(kept.groupBy("_range").count().collect()):
+        ahead[part], total = total, total + n
+    before = F.create_map(*[F.lit(x) for kv in ahead.items() for x in kv]) if ahead else F.create_map(F.lit(0), F.lit(0))
+    place = F.element_at(before, F.col("_range")) + F.row_number().over(Window.partitionBy("_range").orderBy(key)) - 1
+    return kept.select(F.floor(place / size).cast("long").alias("page"), *rows.columns)
+
+
+def deep_rows(document: Column, keys: list[str], depth: int = 5) -> Column:
+    """The first array in a JSON document, going into objects up to `depth` deep, whose first element is an object with one
+    of the keys; as the text of its elements."""
+    listed = lambda x: F.from_json(x, "array<string>")
+    fits = lambda x: F.startswith(F.trim(x), F.lit("[")) & F.exists(F.coalesce(F.json_object_keys(F.get(listed(x), F.lit(0))), F.array()), lambda k: k.isin(keys))
+    level, found = F.array(document), F.lit(None).cast("string")
+    for _ in range(depth + 1):
+        found = F.coalesce(found, F.get(F.filter(level, fits), F.lit(0)))
+        level = F.flatten(F.transform(F.filter(level, lambda x: F.startswith(F.trim(x), F.lit("{"))), lambda x: F.coalesce(F.map_values(F.from_json(x, "map<string,string>")), F.array())))
+    return listed(found)
+
+
+def sitemap_pages(maps: DataFrame, url_col: str = "url", xml_col: str = "xml", most: int = 20) -> DataFrame:
+    """Addresses of pages: those of sitemaps, and of the first `most` sitemaps that an index names, where they are there."""
+    told = maps.select(F.col(url_col).alias("_url"), F.col(xml_col).contains("<sitemapindex").alias("_index"), F.transform(sitemap_urls(F.col(xml_col)), lambda u: F.trim(u)).alias("_locs"))
+    named = told.filter("_index").select(F.col("_url").alias("root"), F.explode(F.slice("_locs", 1, most)).alias("_sub"))
+    plain = told.filter("not _index")
+    below = named.join(plain, F.col("_sub") == F.col("_url")).select("root", F.explode("_locs").alias("url"))
+    alone = plain.join(named.select("_sub").distinct(), F.col("_sub") == F.col("_url"), "left_anti").select(F.col("_url").alias("root"), F.explode("_locs").alias("url"))
+    return below.union(alone)
+
+
 # ---- parts of pages ----
 
 
@@ -119,3 +162,12 @@ def write_report(df: DataFrame, folder: str, name: str, at_most: int = 10_000) -
     for stem in (name, "latest"):
         (out / f"{stem}.json").write_text(json.dumps(rows, default=str, indent=1))
         (out / f"{stem}.md").write_text("\n".join(table) + "\n")
+
+
+def report(df: DataFrame, folder: str) -> None:
+    """df as JSON lines and as a Markdown table, in the folders json and md below; any size, any file system."""
+    df.write.mode("overwrite").json(f"{folder}/json")
+    cells = [F.coalesce(F.replace(F.col(c).cast("string"), F.lit("|"), F.lit("\\|")), F.lit("")) for c in df.columns]
+    head = ["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
+    lines = df.select(F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("value"))
+    df.sparkSession.createDataFrame([(x,) for x in head], "value string").coalesce(1).union(lines).write.mode("overwrite").text(f"{folder}/md")

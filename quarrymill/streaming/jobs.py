@@ -2,20 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quarrymill.operators.lifecycle import upsert
-
-
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder under spark.checkpoint.dir; in a local one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="quarrymill-")
-    return f"{base.rstrip('/')}/quarrymill-{label}-{uuid.uuid4().hex}"
+from quarrymill.sources.shared import shared_folder
 
 
 def read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

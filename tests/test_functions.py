@@ -55,7 +55,7 @@ def test_validation(spark):
             (1, None, "Ferrari", "Testarossa", None, 1991, "su richiesta", None), (2, None, "Ferrari", "Testarossa", None, 1991, "", "price_invalid"), (3, None, "A", "x", 900, 2000, "", "title_short"), (4, None, "911", "Porsche", 900, 2000, "", "make_numeric"),
             (5, None, "Ferrari", "F40", 499, 1991, "", "price_low"), (6, None, "Ferrari", "F40", 15_000_001, 1991, "", "price_cap"), (7, None, "Ferrari", "F40", 900, 1899, "", "year_old"), (8, None, "Ferrari", "F40", 900, 2026, "", "year_future"),
             (9, None, "Ferrari", "F40", 2999, 2022, "", "recent_cheap"), (10, None, "Ferrari", "F40", 2999, 2021, "", None), (11, None, "Nobody", "F40", 2999, 2001, "", "make_unknown"),
-            (12, None, "Ford", "Focus", 600_000, 2015, "", "price_make"), (13, None, "Ford", "GT", 600_000, 2015, "", None), (14, None, "Ford", "Focus", 600_000, 1999, "", None), (15, None, "Audi", "R8", 100_000, 2015, "", None),
+            (12, None, "Ford", "Focus", 600_000, 2015, "", "price_supercar"), (13, None, "Ford", "GT", 600_000, 2015, "", None), (14, None, "Ford", "Focus", 600_000, 1999, "", None), (15, None, "Audi", "R8", 100_000, 2015, "", None),
             (16, "Volant seul Ferrari", "Ferrari", "x", 600, 2001, "", "title_no_car"), (17, "Lot divers", "Lot", "x", 600, 2001, "", "make_none"), (18, "Ferrari 1/750", "Ferrari", "x", 600, 2001, "", None),
         ],
         "id int, title string, mk string, mo string, px int, yr int, de string, want string",
