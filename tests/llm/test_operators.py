@@ -285,30 +285,6 @@ def test_quality_base_counts(spark):
         assert not (r.base_failed and r.kept)
 
 
-def test_language_model_is_a_distribution(spark):
-    """Over all words at the root and in a context, seen or not, probabilities sum to one."""
-    rng = np.random.default_rng(0)
-    word = np.sort(rng.integers(0, 30, 400).astype(np.uint64))
-    context = (rng.integers(97, 100, 400) << 8 | rng.integers(97, 100, 400)).astype(np.uint16)
-    order = np.lexsort((context, word))
-    keys = np.unique(np.stack([word[order], context[order].astype(np.uint64)]), axis=1)
-    every = np.unique(keys[1])
-    words = np.unique(keys[0])
-    grid = np.array([(w, u) for w in words for u in every], np.uint64).T
-    count = np.array([((word == w) & (context == u)).sum() for w, u in grid.T])
-    bucket = hpylm.Bucket(grid[0], grid[1].astype(np.uint16), count, 1, 5)
-    base = 1 / (len(words) + 1)
-    for c, t in bucket.chain():
-        totals = bucket.totals(c, t)
-        assert (t[2] <= c[2]).all() and (t[2][c[2] > 0] >= 1).all()
-        p0, _, p2 = bucket.probabilities(c, t, totals, base)
-        rest = lambda k, at, below, totals=totals: (hpylm.STRENGTHS[k] + hpylm.DISCOUNTS[k] * totals[k][1][at]) * below / (hpylm.STRENGTHS[k] + totals[k][0][at])
-        unknown0 = rest(0, 0, base)
-        assert p0.sum() + unknown0 == pytest.approx(1)
-        for u in every.astype(int):
-            assert p2[bucket.context == u].sum() + rest(2, u, rest(1, u >> 8, unknown0)) == pytest.approx(1)
-
-
 def test_language_model_base_and_gain(spark):
     rng = random.Random(6)
     nouns, verbs = [f"n{k}a" for k in range(40)], [f"v{k}b" for k in range(40)]
@@ -326,13 +302,6 @@ def test_language_model_base_and_gain(spark):
     assert sum(r.score for r in out) > sum(r.base_score for r in out) + 50
 
 
-def test_seating_keeps_its_bounds():
-    rng = np.random.default_rng(1)
-    customers = np.array([0, 1, 2, 5, 100, 5000])
-    tables = sum(hpylm.seat(customers, np.full(6, 0.5), 0.5, rng) for _ in range(200)) / 200
-    assert tables[0] == 0 and tables[1] == 1 and (np.diff(tables) > 0).all() and (tables <= customers).all()
-
-
 def test_gradients_of_the_network():
     rng = np.random.default_rng(2)
     net = toxicity.Network()
