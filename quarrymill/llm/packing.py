@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 from quarrymill.llm.common import chunks, id_and_text, stored
 
 CAPACITY = 2048
-#: Fillings of one gap that are looked at, and fillings that the whole search tries.
-LOOKS, TRIES = 2_000, 20_000
-#: Other fillings that are kept for a turn back.
-BRANCHES = 3
+#: Nodes of the search. When they are used up the best packing so far holds: it is whole, and `bound` tells how far it can
+#: be from the best.
+TRIES = 6_000
+#: Nodes of a descent between two tries to complete it by best fit.
+STEPS = 64
 
 
 def vocabulary(name: str = "byte_bpe_50k") -> str:
@@ -51,49 +52,77 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] * (first > 0) + [(k, capacity) for k in range(first, n, capacity)]
 
 
-def fillings(counts: np.ndarray, gap: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of a gap with the lengths at hand, those with the least waste first.
+def bound(counts: np.ndarray, capacity: int) -> int:
+    """A number of sequences under which no packing can be.
 
-    A filling is dominated if another, made by putting one longer length in place of one or more of its own, wastes no
-    more. One length that fits exactly dominates all others; else the search tries longer lengths first and prunes
-    what can't waste less than the worst filling kept.
+    Lengths are rounded by dual feasible functions: numbers that add up to at most 1 for whatever fits into a sequence. The
+    first is the share of the capacity itself; the k-th takes (k + 1) times that share, rounded down, over k, but leaves a
+    share alone that it makes whole.
     """
-    if gap <= 0 or not counts[1 : gap + 1].any():
-        return [()]
-    if counts[gap]:
-        return [(gap,)]
-    lengths = np.flatnonzero(counts[: gap + 1])[::-1]
-    long = lengths[2 * lengths >= gap]
-    rest = gap - long
-    exact = long[(counts[rest] > 0) & ((rest != long) | (counts[long] > 1))]
-    if len(exact):
-        return [(int(a), int(gap - a)) for a in exact[:BRANCHES]]
-    best: list[tuple[int, tuple[int, ...]]] = []
-    left = {int(a): int(counts[a]) for a in lengths}
-    order = list(left)
-    seen = 0
-
-    def search(at: int, room: int, held: tuple[int, ...]) -> None:
-        nonlocal seen
-        fitted = False
-        for k in range(int(np.searchsorted(-lengths, -room)) if room < order[at] else at, len(order)):
-            a = order[k]
-            if seen >= LOOKS or len(best) >= BRANCHES and best[0][0] == 0 == best[-1][0]:
-                break
-            if left[a] <= 0:
-                continue
-            fitted = True
-            seen += 1
-            left[a] -= 1
-            search(k, room - a, (*held, a))
-            left[a] += 1
-        if not fitted and held:
-            best.append((room, held))
-            best.sort(key=lambda x: (x[0], [-a for a in x[1]]))
-            del best[BRANCHES:]
-
-    search(0, gap, ())
-    return [x for _, x in best] or [()]
+    lengths = np.flatnonzero(counts)
+    if not len(lengths):
+        return 0
+    n, best = counts[lengths], -(-int((counts * np.arange(len(counts))).sum()) // capacity)
+    for k in range(1, 101):
+        whole, rest = divmod((k + 1) * lengths, capacity)
+        value = np.where(rest == 0, lengths * k, whole * capacity)  # in parts of k x capacity
+        best = max(best, -(-int((n * value).sum()) // (k * capacity)))
+    return best
+
+
+def dominated(filling: tuple[int, ...], left: np.ndarray, gap: int) -> bool:
+    """Whether a filling does no better than one that has a longer length in the place of some of its own, or one of the
+    same length in the place of several. left: lengths that are not used by it."""
+    slack = gap - sum(filling)
+    any_sum, of_two = 1, 0  # bit s: a part of the filling adds up to s; and one of two or more
+    for a in filling:
+        of_two |= (of_two << a) | ((any_sum & ~1) << a)
+        any_sum |= any_sum << a
+    more = np.concatenate([[0], np.cumsum(left > 0)])  # lengths under each
+    top = len(left) - 1
+    for s in range(1, sum(filling) + 1):
+        if any_sum >> s & 1 and (more[min(s + slack, top) + 1] - more[min(s, top) + 1] > 0 or of_two >> s & 1 and s <= top and left[s] > 0):
+            return True
+    return False
+
+
+def fillings(counts: np.ndarray, gap: int, most_waste: int) -> Iterator[tuple[int, ...]]:
+    """Undominated fillings of a gap with the lengths at hand that waste no more than most_waste; those that waste least
+    first, of these such of long lengths first. All of them, one at a time; for what no length fits into, the empty one."""
+    lengths = np.flatnonzero(counts[: gap + 1])[::-1].tolist() if gap > 0 else []
+    if not lengths:
+        if gap <= most_waste:
+            yield ()
+        return
+    mask = (1 << gap + 1) - 1
+    reach = [1] * (len(lengths) + 1)  # bit s of the k-th: lengths from the k-th on can add up to s
+    for k in range(len(lengths) - 1, -1, -1):
+        found, n, step = reach[k + 1], min(int(counts[lengths[k]]), gap // lengths[k]), 1
+        while n:
+            some = min(step, n)
+            found |= found << some * lengths[k] & mask
+            n, step = n - some, step * 2
+        reach[k] = found
+
+    def search(k: int, room: int, held: tuple[int, ...]) -> Iterator[tuple[int, ...]]:
+        if not room:
+            yield held
+            return
+        while k < len(lengths):
+            if not reach[k] >> room & 1:
+                return
+            a = lengths[k]
+            for n in range(min(int(counts[a]), room // a), 0, -1):
+                if reach[k + 1] >> room - n * a & 1:
+                    yield from search(k + 1, room - n * a, held + (a,) * n)
+            k += 1
+
+    for waste in range(min(most_waste, gap) + 1):
+        for filling in search(0, gap - waste, ()) if reach[0] >> gap - waste & 1 else ():
+            left = counts.copy()
+            np.subtract.at(left, list(filling), 1)
+            if not left[1 : waste + 1].any() and not dominated(filling, left[: gap + 1], gap):
+                yield filling
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -129,43 +158,56 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], i
 def plan(counts: np.ndarray, capacity: int = CAPACITY, tries: int = TRIES) -> list[tuple[tuple[int, ...], int]]:
     """Fillings, each with the number of sequences that have it, holding exactly the lengths in the histogram.
 
-    Branch and bound: the longest length at hand opens a sequence, its undominated fillings are tried in order of
-    waste, each for as many sequences at once as the histogram allows, and a branch ends once its waste is no less than
-    that of the best packing so far, which at first is the best-fit one. `tries` bounds the search, not the packing:
-    when it ends, the best packing so far holds.
+    Bin completion: the longest length at hand opens a sequence, its undominated fillings are tried in the order of waste,
+    each for as many sequences at once as the histogram allows and then for one. A branch ends where its waste and what
+    bound() says of the rest leave no packing that is better than the best so far, which at first is the best-fit one; a
+    descent is also completed by best fit now and then. `tries` bounds the search, not the packing.
     """
     counts = np.asarray(counts, np.int64).copy()
-    total = int((counts * np.arange(len(counts))).sum())
-    bound = -(-total // capacity)
+    sizes = np.arange(len(counts))
+    total = int((counts * sizes).sum())
+    least = bound(counts, capacity)
     found = best_fit(counts, capacity)
     bins = sum(k for _, k in found)
     path: list[tuple[tuple[int, ...], int]] = []
-    stack: list[tuple[int, np.ndarray, int, tuple[int, ...] | None]] = [(0, counts, 0, None)]
-    while stack and bins > bound and tries > 0:
-        depth, left, used, fill = stack.pop()
-        del path[depth:]
-        if fill is not None:
-            tries -= 1
-            need = Counter(fill)
-            times = min(int(left[a]) // k for a, k in need.items())
-            left = left.copy()
-            for a, k in need.items():
-                left[a] -= k * times
-            path.append((fill, times))
-            used += times
-            depth += 1
-        remain = int((left * np.arange(len(left))).sum())
-        if used + -(-remain // capacity) >= bins:
+
+    def options(left: np.ndarray, wasted: int) -> Iterator[tuple[tuple[int, ...], int]]:
+        longest = int(np.flatnonzero(left)[-1])
+        rest = left.copy()
+        rest[longest] -= 1
+        for filling in fillings(rest, capacity - longest, (bins - 1) * capacity - total - wasted):
+            whole = (longest, *filling)
+            times = min(int(left[a]) // k for a, k in Counter(whole).items())
+            for n in (times, 1) if times > 1 else (1,):
+                yield whole, n
+
+    # each level of the descent: its histogram, sequences and waste so far, and what is left to try there
+    stack = [(counts, 0, 0, options(counts, 0))] if bins > least and total else []
+    while stack and bins > least and tries > 0:
+        left, used, wasted, more = stack[-1]
+        choice = next(more, None)
+        if choice is None or wasted > (bins - 1) * capacity - total:
+            stack.pop()
+            del path[-1:]
             continue
-        if not remain:
-            found, bins = list(path), used
+        tries -= 1
+        whole, times = choice
+        rest = left.copy()
+        for a, k in Counter(whole).items():
+            rest[a] -= k * times
+        now, waste = used + times, wasted + times * (capacity - sum(whole))
+        if now + bound(rest, capacity) >= bins:
             continue
-        longest = int(np.flatnonzero(left)[-1])
-        left[longest] -= 1
-        options = [(longest, *x) for x in fillings(left, capacity - longest)]
-        left[longest] += 1
-        # beyond the first descent, turns back start with the latest choices
-        stack += [(depth, left, used, x) for x in reversed(options)]
+        if not rest.any():
+            found, bins = [*path, choice], now
+            continue
+        if len(stack) % STEPS == 1:
+            completed = best_fit(rest, capacity)
+            n = now + sum(k for _, k in completed)
+            if n < bins:
+                found, bins = [*path, choice, *completed], n
+        path.append(choice)
+        stack.append((rest, now, waste, options(rest, waste)))
     return found
 
 
