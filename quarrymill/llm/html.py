@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 
 import numpy as np
 import pyarrow as pa
@@ -231,7 +231,7 @@ def signatures(page: str) -> tuple[int, list[int]]:
     return int(np.array([elements[bulk(elements)].sign], np.uint64).view(np.int64)[0]), found.view(np.int64).tolist()
 
 
-def main_text(page: str, template: set[int]) -> tuple[str, int]:
+def main_text(page: str, template: Set[int]) -> tuple[str, int]:
     """The main text, and the number of subtrees that were deleted because their hash (a signed long) is in the template."""
     elements, blocks = parse(page)
     n = len(elements)
@@ -304,10 +304,17 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float
     joined = rows.join(F.broadcast(templates) if small <= MOST_BROADCAST else templates, "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: dict = {}  # templates of hosts met lately
         for batch in batches:
-            found = [main_text(page.as_py() or "", set(known.as_py() or ())) for page, known in zip(batch.column(2), batch.column(3), strict=True)]
+            found = []
+            for k, (page, host) in enumerate(zip(batch.column(2), batch.column(4).to_pylist(), strict=True)):
+                if host not in met:
+                    if len(met) >= 100:
+                        met.clear()
+                    met[host] = frozenset(batch.column(3)[k].as_py() or ())
+                found.append(main_text(page.as_py() or "", met[host]))
             texts, deleted = [x for x, _ in found], [n for _, n in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(deleted, pa.int64())], ["page_id", "url", "text", "n_chars", "n_template"])
 
     kind = dict(rows.dtypes)
-    return joined.select("page_id", "url", "html", "template").mapInArrow(run, f"page_id {kind['page_id']}, url {kind['url']}, text string, n_chars long, n_template long")
+    return joined.select("page_id", "url", "html", "template", "host").mapInArrow(run, f"page_id {kind['page_id']}, url {kind['url']}, text string, n_chars long, n_template long")
