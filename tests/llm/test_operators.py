@@ -302,28 +302,6 @@ def test_language_model_base_and_gain(spark):
     assert sum(r.score for r in out) > sum(r.base_score for r in out) + 50
 
 
-def test_gradients_of_the_network():
-    rng = np.random.default_rng(2)
-    net = toxicity.Network()
-    table, index = rng.normal(size=(20, toxicity._INPUTS)), rng.integers(0, 20, (6, 5))
-    net.p = {k: v.astype(np.float64) + rng.normal(0, 0.1, v.shape) for k, v in net.p.items()}
-    mask, y, weight = np.arange(6)[:, None] < np.array([6, 3, 1, 5, 6]), np.array([1.0, 0, 1, 0, 1]), np.ones(5)
-
-    def loss():
-        z = net.logits(table, index, mask).astype(np.float64)
-        return float((np.logaddexp(0, z) - y * z).mean())
-
-    grad = net.gradients(table, index, mask, y, weight)
-    for name, value in net.p.items():
-        for at in [tuple(rng.integers(0, s) for s in value.shape) for _ in range(3)]:
-            value[at] += 1e-3
-            high = loss()
-            value[at] -= 2e-3
-            low = loss()
-            value[at] += 1e-3
-            assert grad[name][at] == pytest.approx((high - low) / 2e-3, abs=2e-3)
-
-
 SMALL = "/root/testdata/sf0.01"
 
 
