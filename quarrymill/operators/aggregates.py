@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrymill.functions.numbers import decade, price_band
+from quarrymill.sources.shared import shared_folder
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], price: str, least: int = 1) -> DataFrame:
@@ -78,12 +80,76 @@ def source_share(df: DataFrame, source: str, price: str) -> DataFrame:
     return counts.join(nearest_rank(priced, [source], price), source, "left").withColumns({"share_pct": F.round(100.0 * F.col("rows") / max(total, 1), 4), "median_all": F.lit(median).cast("double")})
 
 
+#: Ranges of values into which exact_percentiles() cuts a column.
+RANGES = 64
+
+
+def exact_percentiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
+    """Exact percentiles, continuous between neighbours, of a whole column, however many different values it has.
+
+    Approximate percentiles cut the values into ranges, ranges are counted, and only those that hold a wanted rank are
+    ranked, each by itself. The driver gets a count for each range and two values for each share.
+    """
+    known = df.filter(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("_v"))
+    cuts = known.agg(F.percentile_approx("_v", F.array(*[F.lit(k / RANGES) for k in range(1, RANGES)]), F.lit(1000))).first()[0]
+    if not cuts:
+        return [None] * len(shares)
+    edges = F.array(*[F.lit(c) for c in sorted(set(cuts))])
+    ranged = known.withColumn("_range", F.size(F.filter(edges, lambda e: e < F.col("_v"))))
+    ahead, total = {}, 0
+    for part, n in sorted(ranged.groupBy("_range").count().collect()):
+        ahead[part], total = total, total + n
+    places = {place for s in shares for place in (math.floor(s * (total - 1)), math.ceil(s * (total - 1)))}
+    wanted = {max(p for p in ahead if ahead[p] <= place) for place in places}
+    values = ranged.filter(F.col("_range").isin(*wanted)).groupBy("_range", "_v").agg(F.count("*").alias("_n"))
+    last = F.sum("_n").over(Window.partitionBy("_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    before = F.element_at(F.create_map(*[F.lit(x) for p in sorted(wanted) for x in (p, ahead[p])]), F.col("_range"))
+    ranked = values.withColumn("_end", last + before)
+    found = ranked.select("_v", F.explode(F.filter(F.array(*[F.lit(p) for p in sorted(places)]), lambda p: (p < F.col("_end")) & (p >= F.col("_end") - F.col("_n")))).alias("place"))
+    at = {r.place: r["_v"] for r in found.collect()}
+    out = []
+    for s in shares:
+        low, high = math.floor(s * (total - 1)), math.ceil(s * (total - 1))
+        out.append(at[low] + (at[high] - at[low]) * (s * (total - 1) - low))
+    return out
+
+
 def snapshot(df: DataFrame, price: str, fresh: Column, source: str, country: str, deal: Column) -> DataFrame:
-    """One row of market figures, from one pass."""
-    q = F.percentile(price, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    one = df.agg(q.alias("q"), F.min(price).alias("lo"), F.max(price).alias("hi"), F.count("*").alias("n_total"), F.count_if(fresh).alias("n_fresh"), F.countDistinct(source).alias("n_sources"), F.countDistinct(country).alias("n_countries"), F.count_if(deal).alias("n_deals"))
+    """One row of market figures. Percentiles are exact; different sources and countries are counted by partial sums."""
+    p25, median, p75 = exact_percentiles(df, price, [0.25, 0.5, 0.75])
+    one = df.agg(F.min(price).alias("lo"), F.max(price).alias("hi"), F.count("*").alias("n_total"), F.count_if(fresh).alias("n_fresh"), F.countDistinct(source).alias("n_sources"), F.countDistinct(country).alias("n_countries"), F.count_if(deal).alias("n_deals"))
     at = lambda c: F.rint(c).cast("long")
-    return one.select(at(F.col("q")[1]).alias("median_px"), at(F.col("q")[0]).alias("p25"), at(F.col("q")[2]).alias("p75"), at(F.col("lo")).alias("min_px"), at(F.col("hi")).alias("max_px"), "n_total", "n_fresh", "n_sources", "n_countries", "n_deals")
+    told = lambda x: at(F.lit(x).cast("double"))
+    return one.select(told(median).alias("median_px"), told(p25).alias("p25"), told(p75).alias("p75"), at(F.col("lo")).alias("min_px"), at(F.col("hi")).alias("max_px"), "n_total", "n_fresh", "n_sources", "n_countries", "n_deals")
+
+
+def longest_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], bad: Column) -> DataFrame:
+    """Of each key the longest run of rows in a row for which `bad` holds; keys without any are left out.
+
+    Rows are dealt out by ranges of key and order, so a key with most rows is in many tasks. Each range gives for a key its
+    rows, its longest run and those at its begin and end; these few numbers are joined in the order of the ranges.
+    """
+    spark = df.sparkSession
+    marked = df.select(*keys, *order, F.coalesce(bad, F.lit(False)).alias("_bad"))
+    ranges = marked.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys, *order).withColumn("_range", F.spark_partition_id())
+    path = shared_folder(spark, "ranges")
+    ranges.write.parquet(path)
+    kept = spark.read.schema(ranges.schema).parquet(path)
+    w = Window.partitionBy(*keys, "_range").orderBy(*order)
+    placed = kept.withColumns({"_r": F.row_number().over(w), "_island": F.row_number().over(w) - F.row_number().over(Window.partitionBy(*keys, "_range", "_bad").orderBy(*order))})
+    runs = placed.groupBy(*keys, "_range", "_bad", "_island").agg(F.count("*").alias("_n"), F.min("_r").alias("_from"), F.max("_r").alias("_to"))
+    size = F.max("_to").alias("n")
+    worst = lambda c: F.coalesce(F.max(F.when(F.col("_bad") & c, F.col("_n"))), F.lit(0))
+    parts = runs.join(runs.groupBy(*keys, "_range").agg(size), [*keys, "_range"]).groupBy(*keys, "_range", "n").agg(worst(F.lit(True)).alias("most"), worst(F.col("_from") == 1).alias("head"), worst(F.col("_to") == F.col("n")).alias("tail"))
+    listed = parts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_range", "n", "most", "head", "tail"))).alias("_parts"))
+    start = F.struct(F.lit(0).cast("long").alias("best"), F.lit(0).cast("long").alias("open"))
+
+    def add(a: Column, x: Column) -> Column:
+        through = x["head"] == x["n"]
+        return F.struct(F.greatest(a["best"], x["most"], a["open"] + x["head"]).alias("best"), F.when(through, a["open"] + x["n"]).otherwise(x["tail"]).cast("long").alias("open"))
+
+    found = F.aggregate("_parts", start, add, lambda a: a["best"])
+    return listed.select(*keys, found.alias("longest")).filter("longest > 0")
 
 
 def price_bands(df: DataFrame, price: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarrymill.functions import features as X
 from quarrymill.functions import numbers as N
 from quarrymill.functions import text as T
+from quarrymill.operators import aggregates as A
 from quarrymill.operators import lifecycle as C
 from quarrymill.plans.listings import LISTING, listing, table
 from quarrymill.sources import files
@@ -349,7 +350,4 @@ def batch_summary(spark, d):
 
 @query("select event_type, max(len) as longest from (select event_type, count(*) as len from (select event_type, value > 50 as bad, row_number() over (partition by event_type order by ts, event_id) - row_number() over (partition by event_type, value > 50 order by ts, event_id) as island from events) where bad group by event_type, island) group by event_type")
 def longest_failures(spark, d):
-    rows = table(spark, d, "events").withColumn("bad", F.col("value") > 50)
-    order = ["ts", "event_id"]
-    island = F.row_number().over(Window.partitionBy("event_type").orderBy(*order)) - F.row_number().over(Window.partitionBy("event_type", "bad").orderBy(*order))
-    return rows.withColumn("island", island).filter("bad").groupBy("event_type", "island").agg(F.count("*").alias("len")).groupBy("event_type").agg(F.max("len").alias("longest"))
+    return A.longest_runs(table(spark, d, "events"), ["event_type"], ["ts", "event_id"], F.col("value") > 50)

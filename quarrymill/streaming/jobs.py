@@ -36,7 +36,8 @@ def finish(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append")
 
 def keep_table(stream: DataFrame, folder: str, keys: list[str], order: str) -> None:
     """Keeps a table of the last row of each key. Each batch writes a new version beside the old one and is named by its
-    number, so that a batch that is run again after a failure gives the same version."""
+    number, so that a batch that is run again after a failure gives the same version; versions before the last two go.
+    Batches should be large: each rewrites the table, as plain Parquet has no updates."""
     versions = f"{folder}/table"
 
     def put(batch: DataFrame, number: int) -> None:
@@ -49,6 +50,8 @@ def keep_table(stream: DataFrame, folder: str, keys: list[str], order: str) -> N
             old = batch.limit(0)
         upsert(old, batch, keys, order).write.mode("overwrite").parquet(f"{versions}/{number}")
         spark.createDataFrame([(number,)], "version long").coalesce(1).write.mode("overwrite").parquet(f"{folder}/latest")
+        gone = spark._jvm.org.apache.hadoop.fs.Path(f"{versions}/{number - 2}")
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
 
     stream.writeStream.foreachBatch(put).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
 

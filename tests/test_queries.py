@@ -146,3 +146,37 @@ def test_streams_agree_with_batch(spark):
     assert jobs.dedup_once(spark, DATA, events.schema).count() == events.select("user_id", "event_type").distinct().count()
     last = {r.user_id: r.e for r in events.groupBy("user_id").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("e")).collect()}
     assert {r.user_id: r.event_id for r in jobs.lifecycle_once(spark, DATA, events.schema).collect()} == last
+
+
+def test_exact_percentiles(spark):
+    import random
+
+    rng = random.Random(4)
+    for n, most in ((0, 1), (1, 9), (2, 9), (7, 3), (5000, 40), (5000, 10**9)):
+        xs = sorted(rng.randrange(most) for _ in range(n))
+        df = spark.createDataFrame([(float(x),) for x in xs] + [(None,)], "v double").repartition(4)
+        shares = [0.0, 0.25, 0.5, 0.9, 1.0]
+        want = []
+        for s in shares:
+            at = s * (n - 1)
+            low = math.floor(at)
+            want.append(None if not n else xs[low] + (xs[math.ceil(at)] - xs[low]) * (at - low))
+        assert A.exact_percentiles(df, "v", shares) == pytest.approx(want) if n else A.exact_percentiles(df, "v", shares) == want
+
+
+def test_longest_runs(spark):
+    import random
+
+    rng = random.Random(6)
+    rows = [(k, i, (i // 37) % 3 > 0 if k == 0 else rng.random() < 0.7) for k in range(3) for i in range(400 if k < 2 else 3)] + [(9, 0, False), (9, 1, None)]
+    want = {}
+    for key in (0, 1, 2):
+        best = run = 0
+        for _, _, bad in [r for r in rows if r[0] == key]:
+            run = run + 1 if bad else 0
+            best = max(best, run)
+        if best:
+            want[key] = best
+    rng.shuffle(rows)
+    got = {r.k: r.longest for r in A.longest_runs(spark.createDataFrame(rows, "k int, i int, bad boolean"), ["k"], ["i"], F.col("bad")).collect()}
+    assert got == want
