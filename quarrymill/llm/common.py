@@ -50,6 +50,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, label: str, column: str, values: tuple[str, ...]) -> dict[str, DataFrame]:
+    """As stored(), for rows with each of the values of a column, by value. Each can be deleted when it is used up."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/quarrymill/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    df.write.option("compression", "zstd").partitionBy(column).parquet(path)
+    rest = df.drop(column)
+    # an empty folder is there for values without rows, so that it can be read
+    for value in values:
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(at)
+    return {v: spark.read.schema(rest.schema).parquet(f"{path}/{column}={v}") for v in values}
+
+
+def used_up(df: DataFrame) -> None:
+    """Deletes the files that a stored table is read from, once what is made of it is stored as well."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+
+
 #: Ids that are broadcast at most; as hashed longs they take about 24 bytes each.
 MOST_IDS = 2_000_000
 
