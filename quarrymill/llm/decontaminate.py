@@ -39,7 +39,7 @@ def _hashed(found: Column) -> Column:
 
 
 def _kept(hashes: Column, fill: int, width: int, gram: int) -> Column:
-    """array<struct<pos, key, around>>: the kept grams of a text of at least `width` words, each with the hashes of the
+    """array<struct<pos, key, around, n>>: the kept grams of a text of at least `width` words, each with the hashes of the
     words from width - gram before it to width after its start; places outside the text have the hash `fill`."""
     span = width - gram + 1
     grams = F.transform(F.sequence(F.lit(0), F.size(hashes) - gram), lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(gram)]))
@@ -53,21 +53,24 @@ def _kept(hashes: Column, fill: int, width: int, gram: int) -> Column:
         grams,
         lambda g: let(
             F.concat(edge, hashes, edge),
-            lambda wide: F.transform(places(g), lambda p: F.struct(p.alias("pos"), F.get(g, p).alias("key"), F.slice(wide, p + 1, F.lit(width + span - 1)).alias("around"))),
+            lambda wide: F.transform(places(g), lambda p: F.struct(p.alias("pos"), F.get(g, p).alias("key"), F.slice(wide, p + 1, F.lit(width + span - 1)).alias("around"), F.lit(0).alias("n"))),
         ),
     )
     return F.when(F.size(hashes) >= width, rows)
 
 
 def _whole(hashes: Column, length: int) -> Column:
-    """array<struct<pos, key, around>>: all runs of `length` words."""
-    run = lambda i: let(F.slice(hashes, i + 1, F.lit(length)), lambda s: F.struct(i.alias("pos"), F.get(s, F.lit(0)).alias("key"), s.alias("around")))
+    """array<struct<pos, key, around, n>>: all runs of `length` words, keyed by all of them."""
+
+    def run(i: Column) -> Column:
+        return let(F.slice(hashes, i + 1, F.lit(length)), lambda s: F.struct(i.alias("pos"), F.xxhash64(s).alias("key"), s.alias("around"), F.lit(length).alias("n")))
+
     return F.when(F.size(hashes) >= length, F.transform(F.sequence(F.lit(0), F.size(hashes) - length), run))
 
 
 def _joined(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     few = right.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
-    return left.join(F.broadcast(right) if few else right, "key", how)
+    return left.join(F.broadcast(right) if few else right, ["key", "n"], how)
 
 
 def hits(docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
@@ -78,30 +81,25 @@ def hits(docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: int = GRAM
     """
     doc = docs.select("doc_id", "mark", _hashed(words(F.col("text"))).alias("h"))
     item = items.select("item_id", _hashed(words(F.col("text"))).alias("h")).withColumn("n", F.size("h"))
-    none = F.lit(None).cast("long")
+    # items of fewer words are one window each; there are at most width - 1 lengths
+    lengths = sorted(r.n for r in item.filter((F.col("n") > 0) & (F.col("n") < width)).select("n").distinct().collect())
 
     def rows(h: Column) -> Column:
-        own = F.struct(F.size(h).alias("pos"), none.alias("key"), F.lit(None).cast("array<bigint>").alias("around"))
-        return F.concat(F.coalesce(_kept(h, 0, width, gram), F.array()), F.array(own))
+        own = F.struct(F.size(h).alias("pos"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("array<bigint>").alias("around"), F.lit(None).cast("int").alias("n"))
+        return F.concat(*[F.coalesce(x, F.array()) for x in (_kept(h, 0, width, gram), *[_whole(h, n) for n in lengths])], F.array(own))
 
     left = doc.select("doc_id", "mark", F.explode(let(F.col("h"), rows)).alias("x")).select("doc_id", "mark", "x.*")
-    long = item.filter(F.col("n") >= width)
-    right = long.select("item_id", F.explode(let(F.col("h"), lambda h: _kept(h, 1, width, gram))).alias("x")).select("item_id", "x.key", F.col("x.around").alias("other")).distinct()
-    same = F.filter(F.sequence(F.lit(0), F.lit(width - gram)), lambda s: F.slice("around", s + 1, F.lit(width)) == F.slice("other", s + 1, F.lit(width)))
-    own = F.col("around").isNull()
-    joined = _joined(left, right, "left").filter(own | F.col("item_id").isNotNull())
-    found = joined.select("doc_id", "mark", "item_id", "pos", own.alias("own"), F.explode(F.when(own, F.array(F.lit(0))).otherwise(same)).alias("s"))
-    out = found.select(
-        "doc_id", "mark", F.when(F.col("own"), F.col("pos")).alias("n_words"), "item_id",
-        F.when(~F.col("own"), F.col("pos") + F.col("s") - (width - gram)).alias("pos"), F.lit(width).alias("len"),
+    long = item.filter(F.col("n") >= width).select("item_id", F.explode(let(F.col("h"), lambda h: _kept(h, 1, width, gram))).alias("x")).select("item_id", "x.key", "x.n", F.col("x.around").alias("other"))
+    short = item.filter((F.col("n") > 0) & (F.col("n") < width)).select("item_id", F.xxhash64("h").alias("key"), "n", F.col("h").alias("other"))
+    right = long.union(short).distinct()
+    windows = F.filter(F.sequence(F.lit(0), F.lit(width - gram)), lambda s: F.slice("around", s + 1, F.lit(width)) == F.slice("other", s + 1, F.lit(width)))
+    places = F.when(F.col("n").isNull(), F.array(F.lit(0))).when(F.col("n") == 0, windows).when(F.col("around") == F.col("other"), F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    joined = _joined(left, right, "left").filter(F.col("n").isNull() | F.col("item_id").isNotNull())
+    found = joined.select("doc_id", "mark", "item_id", "pos", "n", F.explode(places).alias("s"))
+    return found.select(
+        "doc_id", "mark", F.when(F.col("n").isNull(), F.col("pos")).alias("n_words"), "item_id",
+        F.when(F.col("n") == 0, F.col("pos") + F.col("s") - (width - gram)).when(F.col("n") > 0, F.col("pos")).alias("pos"), F.when(F.col("n") == 0, width).otherwise(F.col("n")).alias("len"),
     )
-    # Items of fewer words are one window each; there are at most width - 1 lengths.
-    for length in sorted(r.n for r in item.filter((F.col("n") > 0) & (F.col("n") < width)).select("n").distinct().collect()):
-        left = doc.select("doc_id", "mark", F.explode(_whole(F.col("h"), length)).alias("x")).select("doc_id", "mark", "x.*")
-        right = item.filter(F.col("n") == length).select("item_id", F.get("h", F.lit(0)).alias("key"), F.col("h").alias("other")).distinct()
-        found = _joined(left, right).filter("around = other")
-        out = out.union(found.select("doc_id", "mark", F.lit(None).cast("int"), "item_id", "pos", F.lit(length)))
-    return out
 
 
 def _covered(spans: Column) -> Column:
