@@ -56,6 +56,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op9_quality that SQL can express."""
+    return op9_quality(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html": op1_html,
@@ -68,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_quality": op9_quality,
         "op10_simhash": op10_simhash,
+        "quality_base": quality_base,
     }
 
 
@@ -107,5 +113,20 @@ from d left join kept using (rid)
 """
 
 
+QUALITY_SQL = r"""
+with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+w as (
+  select rid, i, array_to_string(ws[i : i + 7], ' ') as s
+  from (select rid, ws, unnest(range(1, len(ws) - 6)) as i from d where len(ws) >= 8)),
+twice as (select rid, s from w group by rid, s having count(*) > 1),
+rep as (select rid, count(distinct i + k) as n from w join twice using (rid, s), unnest(range(0, 8)) as t(k) group by rid),
+lines as (select rid, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from d)
+select doc_id, len(ws)::bigint as n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::bigint as word_chars,
+  len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols, (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines,
+  coalesce(rep.n, 0)::bigint as n_repeat_words, len(ws) < 20 or 100 * coalesce(rep.n, 0) > 30 * len(ws) as base_failed
+from d join lines using (rid) left join rep using (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3_SQL.replace("\\\\", "\\"), "op6_substrings": OP6_SQL.replace("\\\\", "\\")}
+    return {"op3_decontaminate": OP3_SQL.replace("\\\\", "\\"), "op6_substrings": OP6_SQL.replace("\\\\", "\\"), "quality_base": QUALITY_SQL.replace("\\\\", "\\")}
