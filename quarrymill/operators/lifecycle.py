@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarrymill.functions.numbers import price_moved
+
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """old with the rows of new in the place of those with the same keys; of new rows with equal keys the last by `order`
@@ -28,6 +30,29 @@ def update_from(old: DataFrame, changes: DataFrame, keys: Sequence[str], columns
     return out.withColumns({c: F.coalesce(F.col(f"_new_{c}"), F.col(c)) for c in columns}).drop(*[f"_new_{c}" for c in columns]).select(*old.columns)
 
 
+def sighted(old: DataFrame, seen: DataFrame, key: str, order: str, now: Column) -> DataFrame:
+    """The table of listings after a batch of sightings: old has key, price, status, exit_reason, times_seen, last_seen_at
+    and photos, seen has key, price, photos and what orders the sightings of a key, of which the last counts.
+
+    A sighting of a listing sets last_seen_at and status and counts; the price follows only where it has moved, the photos
+    where there are some. What was sold does not come back. A sighting of no listing is a new one.
+    """
+    last = seen.groupBy(key).agg(F.max_by(F.struct("price", "photos"), F.col(order)).alias("_s"), F.lit(True).alias("_seen"))
+    out = old.withColumn("_old", F.lit(True)).join(last, key, "full")
+    sold = F.coalesce((F.col("status") == "expired") & (F.col("exit_reason") == "sold"), F.lit(False))
+    again = F.coalesce(F.col("_seen"), F.lit(False)) & ~sold
+    new = F.col("_old").isNull()
+    moved = again & F.col("_s.price").isNotNull() & (new | price_moved(F.col("price"), F.col("_s.price")))
+    changes = {
+        "price": F.when(moved, F.col("_s.price")).otherwise(F.col("price")),
+        "photos": F.when(again & (F.size(F.coalesce("_s.photos", F.array())) > 0), F.col("_s.photos")).otherwise(F.col("photos")),
+        "times_seen": F.when(again, F.coalesce("times_seen", F.lit(0)) + 1).otherwise(F.col("times_seen")),
+        "last_seen_at": F.when(again, now).otherwise(F.col("last_seen_at")),
+        "status": F.when(again, "active").otherwise(F.col("status")),
+    }
+    return out.select(*[changes[c].alias(c) if c in changes else F.col(c) for c in old.columns])
+
+
 def move(df: DataFrame, gone: Column) -> tuple[DataFrame, DataFrame]:
     """Rows to archive and rows to keep; a condition that is unknown keeps."""
     sure = F.coalesce(gone, F.lit(False))

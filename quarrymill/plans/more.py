@@ -10,6 +10,7 @@ from quarrymill.functions import features as X
 from quarrymill.functions import numbers as N
 from quarrymill.functions import text as T
 from quarrymill.operators import aggregates as A
+from quarrymill.operators import lifecycle as C
 from quarrymill.plans.listings import LISTING, listing, table
 from quarrymill.sources import files
 from quarrymill.sources.shared import shared_folder
@@ -222,3 +223,24 @@ def updated_at(spark, d):
 def scan_rpc(spark, d):
     """A stored function with parameters, called by name with JSON arguments."""
     return A.call(spark, {"balances": lambda least: table(spark, d, "customer").filter(F.col("c_acctbal") >= least).groupBy(F.col("c_nationkey").alias("nation")).agg(F.count("*").alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance"))}, "balances", '{"least": 1000}')
+
+
+@query("""with o as (select o_orderkey as k, o_totalprice as price, case o_orderstatus when 'F' then 'expired' else 'active' end as status, case when o_orderstatus = 'F' and o_custkey % 2 = 0 then 'sold' end as exit_reason, o_custkey % 5 as times_seen, o_orderdate as seen_at from orders where o_orderkey % 4 <> 0),
+s as (select o_orderkey as k, case when o_custkey % 7 = 0 then null when o_custkey % 3 = 0 then o_totalprice * 1.1 when o_custkey % 3 = 1 then o_totalprice * 1.001 else o_totalprice end as price from orders where o_custkey % 4 <> 1)
+select coalesce(o.k, s.k) as k, round(case when o.k is null then s.price when s.k is null or exit_reason = 'sold' or s.price is null then o.price when abs(s.price - o.price) / o.price >= 0.02 then s.price else o.price end, 4) as price,
+  case when s.k is not null and coalesce(exit_reason, '') <> 'sold' then 'active' else status end as status, exit_reason,
+  (case when s.k is not null and coalesce(exit_reason, '') <> 'sold' then coalesce(times_seen, 0) + 1 else times_seen end)::bigint as times_seen,
+  case when s.k is not null and coalesce(exit_reason, '') <> 'sold' then timestamp '2030-01-01' else seen_at end as last_seen_at
+from o full join s on o.k = s.k""")
+def listing_sightings(spark, d):
+    """Sightings come twice, the first with another price."""
+    o = table(spark, d, "orders")
+    photos = F.array().cast("array<string>").alias("photos")
+    gone, sold = F.col("o_orderstatus") == "F", (F.col("o_orderstatus") == "F") & (F.col("o_custkey") % 2 == 0)
+    old = o.filter("o_orderkey % 4 <> 0").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"), F.when(gone, "expired").otherwise("active").alias("status"), F.when(sold, "sold").alias("exit_reason"), (F.col("o_custkey") % 5).alias("times_seen"), F.col("o_orderdate").alias("last_seen_at"), photos)
+    c, px = F.col("o_custkey"), F.col("o_totalprice")
+    price = F.when(c % 7 == 0, F.lit(None)).when(c % 3 == 0, px * 1.1).when(c % 3 == 1, px * 1.001).otherwise(px)
+    some = o.filter("o_custkey % 4 <> 1")
+    seen = some.select(F.col("o_orderkey").alias("k"), price.alias("price"), photos, F.lit(2).alias("at")).union(some.select("o_orderkey", px * 9, photos, F.lit(1)))
+    out = C.sighted(old, seen, "k", "at", F.expr("timestamp_ntz '2030-01-01'"))
+    return out.select("k", F.round("price", 4).alias("price"), "status", "exit_reason", F.col("times_seen").cast("long").alias("times_seen"), "last_seen_at")
