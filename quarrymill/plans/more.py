@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarrymill.functions import adverts as V
 from quarrymill.functions import features as X
+from quarrymill.functions import models
 from quarrymill.functions import numbers as N
 from quarrymill.functions import text as T
 from quarrymill.operators import aggregates as A
@@ -35,6 +36,10 @@ def _quoted(v) -> str:
     return "'" + str(v).replace("'", "''") + "'"
 
 
+def _make_and_model(said: Column) -> tuple[Column, Column]:
+    return F.split_part(said, F.lit("|"), F.lit(1)), F.split_part(said, F.lit("|"), F.lit(2))
+
+
 def answers(name: str, given: list, told: list[dict], find) -> None:
     """Registers a query over part: row k has the text given[k % n] as `said` and, by find, the columns of told[k % n]."""
     kinds = {c: next((type(t[c]) for t in told if t[c] is not None), str) for c in told[0]}
@@ -150,18 +155,27 @@ answers(
     lambda s: {c: X.pattern_flags(s)[c] for c in _V2},
 )
 
-# Some rules for models made for the track, by make.
-TRACK = {
-    "Porsche": [r"\bgt[234]\b", r"\bcup\b", r"\b911\s*r\b", r"clubsport", r"spyder\s*rs", r"\brs\s*spyder\b"],
-    "BMW": [r"\bcsl\b", r"\bm[234]\s*(cs|gts|csl)\b", r"\bgts\b"],
-    "Honda": [r"type\s*r\b"],
-    "Ferrari": [r"challenge", r"scuderia", r"speciale", r"\bpista\b", r"\bxx\b", r"fxx", r"\bcs\b", r"competizione", r"stradale"],
-}
 answers(
     "track_models",
     ["Porsche|911 GT3 RS", "Porsche|911 Carrera", "BMW|M3 CSL", "BMW|635 CSi", "Ferrari|488 Pista", "Audi|TT RS", "Honda|Civic Type R"],
-    [{"track": x} for x in (True, False, True, False, True, False, True)],
-    lambda s: {"track": V.first_rule(F.split_part(s, F.lit("|"), F.lit(1)), F.split_part(s, F.lit("|"), F.lit(2)), [("track", p, [mk]) for mk, ps in TRACK.items() for p in ps]).isNotNull()},
+    [{"track": x} for x in (True, False, True, False, True, True, True)],
+    lambda s: {"track": models.is_track(*_make_and_model(s))},
+)
+answers(
+    "tuners",
+    ["Alpina|B3", "Mercedes-Benz|C 63 AMG", "BMW|M3", "Audi|RS6", "Audi|S4", "Porsche|911 TechArt", "Ferrari|F430 Novitec", "Honda|Civic Mugen", "Fiat|Panda", "Fiat|500 Brabus", "Ford|amg", "Subaru|Impreza WRX STI"],
+    [{"tuner": x} for x in ("Alpina", "AMG", "M", "RS", "S", "TechArt", "Novitec", "Mugen", None, "Brabus", None, "STI")],
+    lambda s: {"tuner": V.tuner(*_make_and_model(s), F.lit(None).cast("string"), models.TUNER_MAKES, models.TUNERS)},
+)
+answers(
+    "model_families",
+    ["Porsche|911 (992) GT3|2021", "Porsche|cayenne S|2003", "Ferrari|812 Superfast|2018", "Ferrari|testarossa|1985", "Lamborghini|HURACAN evo|2020", "BMW|5 Series E39|1999", "Mercedes-Benz|C klasse W204|2008", "Mercedes-Benz|SLK 200|1998", "Fiat|Panda 4x4 x|1983", "Bugatti|Type 35|1926", "Fiat|-|0"],
+    [
+        {"family": "911", "generation": "992", "era": "modern"}, {"family": "Cayenne", "generation": None, "era": "youngtimer"}, {"family": "812", "generation": None, "era": "modern"}, {"family": "TESTAROSSA", "generation": None, "era": "classic"},
+        {"family": "Huracan", "generation": None, "era": "modern"}, {"family": "5SERIES", "generation": "E39", "era": "youngtimer"}, {"family": "C-Class", "generation": "W204", "era": "modern"}, {"family": "SL", "generation": None, "era": "youngtimer"},
+        {"family": "Panda 4x4", "generation": None, "era": "classic"}, {"family": "Type 35", "generation": None, "era": "prewar"}, {"family": None, "generation": None, "era": None},
+    ],
+    lambda s: {"family": models.family(*_make_and_model(s)), "generation": models.generation(_make_and_model(s)[1]), "era": models.era(F.split_part(s, F.lit("|"), F.lit(3)).cast("int"))},
 )
 answers(
     "rejections",
