@@ -17,8 +17,8 @@ BITS = 17
 SMOOTHING = 0.5
 #: Texts whose mean log ratio for an n-gram is under this are rejected.
 THRESHOLD = -0.15
-#: So many trusted ids are broadcast at most (16 bytes each); more are joined by a shuffle.
-MOST_BROADCAST = 2_000_000
+#: So many trusted ids are broadcast at most (about 60 bytes each in memory); more are joined by a shuffle.
+MOST_BROADCAST = 500_000
 REPEAT = 8
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
