@@ -124,6 +124,26 @@ answers(
     lambda s: {"links": F.array_join(T.detail_links(s, F.lit("https://x.example/list?p=1")), "|")},
 )
 
+_CARD = '<div class="x card-1 y"><h2 class="t">{}</h2><ul id="spec"><li data-k="year">{}</li><li data-k="km"><b>{}</b> km</li><li class="price big"> {} €</li></ul></div>'
+
+
+def _selected(s: Column) -> dict[str, Column]:
+    field = lambda css: files.select_one(s, css)
+    title = F.regexp_replace(field("div.card-1 h2.t"), r" (?:-|\||—) ", " ")
+    made = T.make_model(title, _ALIASES)
+    return {"mk": F.when(made["mk"] != T.UNKNOWN_MAKE, made["mk"]), "mo": made["mo"], "yr": N.parse_year(field("#spec li[data-k=year]")), "km": N.parse_int(field("li[data-k=km]")), "px": N.parse_int(field("ul > .price"))}
+
+
+answers(
+    "selector_fields",
+    [_CARD.format("Audi - A4 Avant", 2012, "45 000", "12 500"), _CARD.format("Alfa Romeo | 4C", "MY 1999", "7", "900"), "<p class='t'>x</p>", '<div class="card-12"><h2 class="t">no</h2></div>', ""],
+    [
+        {"mk": "Audi", "mo": "A4 Avant", "yr": 2012, "km": 45000, "px": 12500}, {"mk": "Alfa Romeo", "mo": "4C", "yr": 1999, "km": 7, "px": 900}, {"mk": None, "mo": "", "yr": None, "km": None, "px": None},
+        {"mk": None, "mo": "", "yr": None, "km": None, "px": None}, {"mk": None, "mo": "", "yr": None, "km": None, "px": None},
+    ],
+    _selected,
+)
+
 _FEATURES = [
     "Carnet rempli, fsh , 2 owners. Entretien chez Garage Bavaria, peinture refaite", "Sans carnet d'entretien. Dernière révision 06/2024 à 45 000 km", "Scheckheftgepflegt, Erstbesitzer, Originalzustand", "kein Scheckheft vorhanden, zonder service historie",
     "Garantie constructeur jusqu'au 15/03/2027, numbered, révision à faire", "", "libretto tagliandi completo, prima mano", "garage assez bien chauffé",

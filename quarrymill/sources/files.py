@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -126,6 +127,28 @@ def inertia_data(page: Column) -> Column:
     return F.nullif(F.replace(F.replace(raw, F.lit("&quot;"), F.lit('"')), F.lit("&amp;"), F.lit("&")), F.lit(""))
 
 
+def _opening(simple: str) -> str:
+    """A pattern for the opening tag of `tag.class#id[name=value]`, any part of which may be missing."""
+    tag = re.match(r"[A-Za-z][A-Za-z0-9]*", simple)
+    needs = [r"class\s*=\s*[\"'][^\"']*(?<![\w-])" + re.escape(c) + r"(?![\w-])" for c in re.findall(r"\.([\w-]+)", simple)]
+    needs += [r"id\s*=\s*[\"']" + re.escape(i) + "[\"']" for i in re.findall(r"#([\w-]+)", simple)]
+    needs += [rf"{re.escape(n)}\s*=\s*[\"']{re.escape(v)}[\"']" if v else re.escape(n) for n, v in re.findall(r"\[([\w-]+)(?:=[\"']?([^\"'\]]*)[\"']?)?\]", simple)]
+    return f"<({tag[0] if tag else '[a-zA-Z][a-zA-Z0-9]*'})(?=[\\s>/])" + "".join(rf"(?=[^>]*\s{n})" for n in needs) + "[^>]*>"
+
+
+def select_one(page: Column, selector: str) -> Column:
+    """The text of the first element that a selector finds, tags as nothing and white space at the ends cut; null if there
+    is none. Selectors are simple ones parted by spaces: each is looked for after the opening tag of the one before; an
+    element ends at the first closing tag of its name."""
+    rest, name = page, None
+    for simple in selector.replace(">", " ").split():
+        pattern = "(?is)^.*?" + _opening(simple) + "(.*)$"
+        name, rest = F.regexp_extract(rest, pattern, 1), F.regexp_extract(rest, pattern, 2)
+    end = F.concat(F.lit("</"), name)
+    inner = F.when(name != "", F.regexp_replace(F.split_part(F.replace(rest, F.upper(end), end), end, F.lit(1)), "(?s)<[^>]*>", ""))
+    return F.nullif(F.regexp_replace(inner, r"^\s+|\s+$", ""), F.lit(""))
+
+
 def sitemap_urls(xml: Column) -> Column:
     return F.regexp_extract_all(xml, F.lit(r"(?s)<loc>\s*(.*?)\s*</loc>"), F.lit(1))
 
