@@ -11,6 +11,7 @@ import base64
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -181,16 +182,22 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY, tries: int = TRIES) -> li
             for n in (times, 1) if times > 1 else (1,):
                 yield whole, n
 
-    # each level of the descent: its histogram, sequences and waste so far, and what is left to try there
-    stack = [(counts, 0, 0, options(counts, 0))] if bins > least and total else []
+    # each level of the descent: its histogram, sequences and waste so far, and how many options were tried there; only
+    # the deepest level keeps its options, others find their place again when the search comes back to them
+    stack = [[counts, 0, 0, 0]] if bins > least and total else []
+    more = None
     while stack and bins > least and tries > 0:
-        left, used, wasted, more = stack[-1]
+        left, used, wasted, tried = stack[-1]
+        if more is None:
+            more = islice(options(left, wasted), tried, None)
         choice = next(more, None)
         if choice is None or wasted > (bins - 1) * capacity - total:
             stack.pop()
+            more = None
             del path[-1:]
             continue
         tries -= 1
+        stack[-1][3] += 1
         whole, times = choice
         rest = left.copy()
         for a, k in Counter(whole).items():
@@ -207,7 +214,8 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY, tries: int = TRIES) -> li
             if n < bins:
                 found, bins = [*path, choice, *completed], n
         path.append(choice)
-        stack.append((rest, now, waste, options(rest, waste)))
+        stack.append([rest, now, waste, 0])
+        more = None
     return found
 
 
