@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm import decontaminate, html, hpylm, langid, packing, pii, quality, simhash, substrings, toxicity
+from quarrymill.llm import decontaminate, html, hpylm, langid, packing, pii, quality, simhash, substrings, toxicity, urls
 from quarrymill.llm.common import fold, table
 
 
@@ -56,6 +56,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op9_quality that SQL can express."""
     return op9_quality(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -73,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_quality": op9_quality,
         "op10_simhash": op10_simhash,
+        "op11_urls": op11_urls,
         "quality_base": quality_base,
     }
 
@@ -127,6 +132,47 @@ select doc_id, len(ws)::bigint as n_words, coalesce(list_sum(list_transform(ws,
 from d join lines using (rid) left join rep using (rid)
 """
 
+#: Levels are rolled up from hosts; a level's prior weighs 1 / spread - 1 outcomes.
+OP11_SQL = r"""
+with cut as (
+  select page_id, case when instr(coalesce(url, ''), '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+named as (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from cut),
+rules(verdict, rule, domain, begin) as (
+  values ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'), ('block', 'example.org/en/1', 'example.org', '/en/1'),
+    ('allow', 'com/fr/', 'com', '/fr/'), ('block', 'com/de/', 'com', '/de/')),
+found as (
+  select n.*, (select max(length(rule)) from rules where (host = domain or ends_with(host, '.' || domain)) and starts_with(path, begin)) as longest from named n),
+decided as (
+  select f.page_id, f.host, f.path, r.rule, r.verdict from found f
+  left join rules r on length(r.rule) = f.longest and (host = domain or ends_with(host, '.' || domain)) and starts_with(path, begin)),
+bare as (
+  select host, count(verdict) as n, count(*) filter (verdict = 'block') as k, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*\z', '') as b from decided group by host),
+suffixed as (
+  select *, case when regexp_matches(b, '^[0-9]+(\.[0-9]+)*\z') then ''
+    when regexp_matches(b, '\.((?:ac|co|com|edu|gov|net|org)\.[a-z][a-z])\z') then regexp_extract(b, '\.((?:ac|co|com|edu|gov|net|org)\.[a-z][a-z])\z', 1)
+    else regexp_extract(b, '[^.]*\z') end as suffix from bare),
+hosts as (
+  select host, n, k, suffix, case when suffix = '' or length(b) = length(suffix) then b
+    else regexp_extract(substr(b, 1, greatest(length(b) - length(suffix) - 1, 0)), '[^.]*\z') || '.' || suffix end as domain from suffixed),
+domains as (select domain, suffix, sum(n) as n, sum(k) as k from hosts group by all),
+suffixes as (select suffix, sum(n) as n, sum(k) as k from domains group by all),
+s0 as (select *, (select (sum(k) + 0.5) / (sum(n) + 1) from suffixes)::double as m from suffixes),
+sw as (select 1 / least(greatest(coalesce((sum((k - n * m) * (k - n * m)) - sum(n * m * (1 - m))) / nullif(sum(n * m * (1 - m) * (n - 1)), 0), 0.001), 0.001), 0.9) - 1 as w from s0),
+s1 as (select suffix, (k + m * w) / (n + w) as mean from s0, sw),
+d0 as (select domain, n, k, mean as m from domains join s1 using (suffix)),
+dw as (select 1 / least(greatest(coalesce((sum((k - n * m) * (k - n * m)) - sum(n * m * (1 - m))) / nullif(sum(n * m * (1 - m) * (n - 1)), 0), 0.001), 0.001), 0.9) - 1 as w from d0),
+d1 as (select domain, (k + m * w) / (n + w) as mean from d0, dw),
+h0 as (select host, n, k, mean as m from hosts join d1 using (domain)),
+hw as (select 1 / least(greatest(coalesce((sum((k - n * m) * (k - n * m)) - sum(n * m * (1 - m))) / nullif(sum(n * m * (1 - m) * (n - 1)), 0), 0.001), 0.001), 0.9) - 1 as w from h0),
+h1 as (select host, n, k, n + w as size, (k + m * w) / (n + w) as mean from h0, hw),
+h2 as (select host, n, k, mean - 1.645 * sqrt(mean * (1 - mean) / (size + 1)) as bound from h1)
+select page_id, host, path, rule, coalesce(verdict, case when round(bound, 9) >= 0.5 then 'block' else 'allow' end) as verdict,
+  n::bigint as n_outcomes, k::bigint as n_blocked, round(bound, 6) as bound
+from decided join h2 using (host)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3_SQL.replace("\\\\", "\\"), "op6_substrings": OP6_SQL.replace("\\\\", "\\"), "quality_base": QUALITY_SQL.replace("\\\\", "\\")}
+    return {"op3_decontaminate": OP3_SQL.replace("\\\\", "\\"), "op6_substrings": OP6_SQL.replace("\\\\", "\\"), "op11_urls": OP11_SQL, "quality_base": QUALITY_SQL.replace("\\\\", "\\")}
