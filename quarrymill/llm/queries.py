@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm import decontaminate, html, hpylm, langid, packing, pii, quality, simhash, substrings, toxicity, urls
+from quarrymill.llm import decontaminate, html, hpylm, langid, negatives, packing, pii, quality, simhash, substrings, toxicity, urls
 from quarrymill.llm.common import fold, table
 
 
@@ -60,6 +60,12 @@ def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
 def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op9_quality that SQL can express."""
     return op9_quality(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -78,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality": op9_quality,
         "op10_simhash": op10_simhash,
         "op11_urls": op11_urls,
+        "op12_negatives": op12_negatives,
         "quality_base": quality_base,
     }
 
@@ -173,6 +180,27 @@ select page_id, host, path, rule, coalesce(verdict, case when round(bound, 9) >=
 from decided join h2 using (host)
 """
 
+OP12_SQL = r"""
+with e as (
+  select row_number() over () as rid, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+s as (
+  select a.rid, a.vec_id as anchor_id, a.label as own, b.vec_id, b.label,
+    coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))), 0)::bigint as score
+  from e a join e b on a.vec_id % 50 = 0 and true),
+p as (
+  select rid, anchor_id, own, vec_id as positive_id, score as positive_score, row_number() over (partition by rid order by score desc, vec_id) as k
+  from s where label = own and vec_id <> anchor_id qualify k <= 5),
+n as (
+  select p.rid, p.k, p.anchor_id, positive_id, positive_score, s.vec_id as negative_id, s.score as negative_score,
+    row_number() over (partition by p.rid, p.k order by s.score desc, s.vec_id) as r
+  from p join s on p.rid = s.rid and s.label <> p.own and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score)
+select anchor_id, positive_id, r::integer as rank, negative_id, positive_score, negative_score from n where r <= 3
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3_SQL.replace("\\\\", "\\"), "op6_substrings": OP6_SQL.replace("\\\\", "\\"), "op11_urls": OP11_SQL, "quality_base": QUALITY_SQL.replace("\\\\", "\\")}
+    return {"op3_decontaminate": OP3_SQL.replace("\\\\", "\\"), "op6_substrings": OP6_SQL.replace("\\\\", "\\"), "op11_urls": OP11_SQL, "op12_negatives": OP12_SQL, "quality_base": QUALITY_SQL.replace("\\\\", "\\")}
