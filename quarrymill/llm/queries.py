@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm import decontaminate, html, hpylm, langid, negatives, packing, pii, quality, simhash, substrings, toxicity, urls
+from quarrymill.llm import centroids, decontaminate, html, hpylm, langid, negatives, packing, pii, quality, simhash, substrings, toxicity, urls
 from quarrymill.llm.common import fold, table
 
 
@@ -66,6 +66,10 @@ def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(rows, F.col("vec_id") % 50 == 0)
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op9_quality that SQL can express."""
     return op9_quality(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -85,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_simhash": op10_simhash,
         "op11_urls": op11_urls,
         "op12_negatives": op12_negatives,
+        "op13_centroids": op13_centroids,
         "quality_base": quality_base,
     }
 
@@ -202,5 +207,24 @@ select anchor_id, positive_id, r::integer as rank, negative_id, positive_score,
 """
 
 
+def _op13_sql() -> str:
+    """One chain of tables for each round: distances by centroid, the nearest, the new centroids."""
+    steps = [
+        r"""with e as (
+  select row_number() over () as rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+c0 as (select row_number() over (order by sha256('3:' || coalesce(vec_id::varchar, '')), v) - 1 as c, v as m from e order by c limit 8)"""
+    ]
+    for r in range(11):
+        steps.append(f"""d{r} as (select rid, vec_id, v, c, m, list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as d from e join c{r} on true),
+a{r} as materialized (select * from d{r} qualify row_number() over (partition by rid order by d, c) = 1)""")
+        if r < 10:
+            steps.append(f"""s{r} as (select c, i, sum(v[i])::hugeint as s, count(*)::hugeint as n from a{r}, unnest(range(1, 65)) as t(i) group by c, i),
+c{r + 1} as materialized (
+  select c, coalesce((select list(((s - ((s % n) + n) % n) // n)::bigint order by i) from s{r} where s{r}.c = c{r}.c), m) as m from c{r})""")
+    steps.append(r"""o as (select vec_id, c, d, sum(d) over (partition by c) as own, sum(d) over () as total, sha256(array_to_string(m, ',')) as mark from a10)""")
+    return ",\n".join(steps) + "\nselect vec_id, c::integer as cluster, d as distance, own::bigint as cluster_inertia, total::bigint as inertia, mark as centroid_sha256 from o"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3_SQL.replace("\\\\", "\\"), "op6_substrings": OP6_SQL.replace("\\\\", "\\"), "op11_urls": OP11_SQL, "op12_negatives": OP12_SQL, "quality_base": QUALITY_SQL.replace("\\\\", "\\")}
+    return {"op3_decontaminate": OP3_SQL.replace("\\\\", "\\"), "op6_substrings": OP6_SQL.replace("\\\\", "\\"), "op11_urls": OP11_SQL, "op12_negatives": OP12_SQL, "op13_centroids": _op13_sql(), "quality_base": QUALITY_SQL.replace("\\\\", "\\")}
