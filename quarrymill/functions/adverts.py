@@ -19,7 +19,8 @@ PRICE_PATTERNS = [
 LEAST_PRICE, MOST_PRICE = 500, 5_000_000
 SHORTEST, LONGEST = 50, 8000
 RECENT_MONTHS = 18
-JOINING = "en de du des la le les sur sous aux au lès et d' l'".split()
+# Words that stay small in the name of a place.
+JOINING = ["en", "de", "du", "des", "la", "le", "les", "sur", "sous", "aux", "au", "lès", "et", "d'", "l'"]
 #: What tells a photo from others in its address, by the way a site builds it.
 PHOTO_KEYS = {
     "uuid": r"/prod-ads/images/[0-9a-f]{2}/([0-9a-f-]{36})",

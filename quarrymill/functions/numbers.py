@@ -13,20 +13,24 @@ UPCOMING_HOURS = 72
 
 # Makes that may cost so much, each list besides the one before; models that may although their make does
 # not; makes and titles that no whole car has.
-HYPERCAR_MAKES = (
-    "bugatti|pagani|koenigsegg|pininfarina|rimac|hennessey|ssc|gumpert|apollo|devel|arrinera|isdera|vector|isotta fraschini|ferrari|lamborghini|mclaren|aston martin|aston-martin|"
-    "mercedes-benz|mercedes|amg|porsche|rolls-royce|rolls royce|rollsroyce|bentley|maybach|duesenberg|cord|iso|bizzarrini|delahaye|delage"
-).split("|")
-SUPERCAR_MAKES = HYPERCAR_MAKES + (
-    "maserati|lotus|shelby|cobra|lancia|alfa romeo|alfa-romeo|alfaromeo|spyker|noble|morgan|tvr|wiesmann|italdesign|zagato|touring|facel vega|panhard|dallara|alpine|donkervoort|radical|ktm|bac|ariel|caterham"
-).split("|")
-LUXURY_MAKES = SUPERCAR_MAKES + (
-    "bmw|audi|jaguar|land rover|land-rover|range rover|range-rover|lexus|volvo|tesla|cadillac|lincoln|chevrolet|corvette|mini|brabus|alpina|mansory|ruf|techart"
-).split("|")
+HYPERCAR_MAKES = [
+    "bugatti", "pagani", "koenigsegg", "pininfarina", "rimac", "hennessey", "ssc", "gumpert", "apollo", "devel", "arrinera", "isdera", "vector", "isotta fraschini", "ferrari",
+    "lamborghini", "mclaren", "aston martin", "aston-martin", "mercedes-benz", "mercedes", "amg", "porsche", "rolls-royce", "rolls royce", "rollsroyce", "bentley", "maybach", "duesenberg",
+    "cord", "iso", "bizzarrini", "delahaye", "delage",
+]
+SUPERCAR_MAKES = HYPERCAR_MAKES + [
+    "maserati", "lotus", "shelby", "cobra", "lancia", "alfa romeo", "alfa-romeo", "alfaromeo", "spyker", "noble", "morgan", "tvr", "wiesmann", "italdesign", "zagato", "touring",
+    "facel vega", "panhard", "dallara", "alpine", "donkervoort", "radical", "ktm", "bac", "ariel", "caterham",
+]
+LUXURY_MAKES = SUPERCAR_MAKES + [
+    "bmw", "audi", "jaguar", "land rover", "land-rover", "range rover", "range-rover", "lexus", "volvo", "tesla", "cadillac", "lincoln", "chevrolet", "corvette", "mini", "brabus", "alpina",
+    "mansory", "ruf", "techart",
+]
 SUPERCAR_MODELS = [("ford", "gt"), ("lexus", "lfa"), ("acura", "nsx"), ("honda", "nsx")]
-NO_MAKES = (
-    "inconnu|voiture|vend|véhicule|vehicule|auto|automobiles|compteur|serrure|lot|portfolio|kit|piece|piéce|pièce|jante|phare|cache|porte|marketplace|back|breadcrumb|la|le|les|t-roc|porte-pièces"
-).split("|")
+NO_MAKES = [
+    "inconnu", "voiture", "vend", "véhicule", "vehicule", "auto", "automobiles", "compteur", "serrure", "lot", "portfolio", "kit", "piece", "piéce", "pièce", "jante", "phare", "cache",
+    "porte", "marketplace", "back", "breadcrumb", "la", "le", "les", "t-roc", "porte-pièces",
+]
 NO_CAR = (
     r"\bcompteur\b|\bserrure\b|\bporte[\s-]?pi[èe]ces?\b|\bdistributeur\b|\ballumage\b|\bjante\s+seule\b|\bpneu\s+seul\b|\bvolant\s+seul\b|\bphare\s+seul\b|\bsi[èe]ge\s+seul\b|\brétroviseur\s+seul\b|"
     r"\bpot\s+d.?[ée]chappement\b|\bbougie\b|\bcourroie\b|\bbatterie\s+\d|\bplaquette\s+de\s+frein\b|\bportfolio\b|\bposter\b|\bmaquette\b|\bminiature\b|\b1[/:](?:12|18|24|32|43|64|87)\b|\blivre\b|\bmagazine\b|"

@@ -24,12 +24,13 @@ SOLD_SOFT = [
 ]
 SHORT_PAGE = 1200
 
+# Words that tell a language.
 STOP_WORDS = {
-    "nl": "het een niet voor met door aan naar wordt zijn bij over maar ook alle",
-    "fr": "les des est pour avec dans sur cette sont plus tout mais aussi sans leur votre notre très",
-    "de": "der die das und ist nicht mit auf eine sich auch sind bei aus sehr",
-    "it": "gli del della non sono questo molto anche come sulla nella è",
-    "en": "the and with this that have been will from but they were when which",
+    "nl": ["het", "een", "niet", "voor", "met", "door", "aan", "naar", "wordt", "zijn", "bij", "over", "maar", "ook", "alle"],
+    "fr": ["les", "des", "est", "pour", "avec", "dans", "sur", "cette", "sont", "plus", "tout", "mais", "aussi", "sans", "leur", "votre", "notre", "très"],
+    "de": ["der", "die", "das", "und", "ist", "nicht", "mit", "auf", "eine", "sich", "auch", "sind", "bei", "aus", "sehr"],
+    "it": ["gli", "del", "della", "non", "sono", "questo", "molto", "anche", "come", "sulla", "nella", "è"],
+    "en": ["the", "and", "with", "this", "that", "have", "been", "will", "from", "but", "they", "were", "when", "which"],
 }
 
 COUNTRY_NAMES = {
@@ -69,7 +70,11 @@ GEARS = {
     "Automatique": ["automatic", "automatique", "auto", "semi-auto", "tiptronic", "dsg", "pdk", "f1"],
     "Manuelle": ["manual", "manuelle", "manuel", "mecanique", "mécanique", "meca"],
 }
-MODEL_NOISE = "2dr 3dr 4dr 5dr dr petrol diesel manual automatic auto bhp hp ps kw cc co2 km gkm l litre liter mpg awd rwd fwd 4wd hatchback".split()
+# Words of a model's name that say nothing of the model.
+MODEL_NOISE = [
+    "2dr", "3dr", "4dr", "5dr", "dr", "petrol", "diesel", "manual", "automatic", "auto", "bhp", "hp", "ps", "kw", "cc", "co2", "km", "gkm", "l", "litre", "liter", "mpg", "awd", "rwd",
+    "fwd", "4wd", "hatchback",
+]
 ON_REQUEST = ["su richiesta", "poa", "price on application", "preis auf anfrage", "prix sur demande", "on request", "sur demande"]
 
 #: Letters whose accent is dropped, and what they become, place by place.
@@ -300,7 +305,7 @@ def language_by_stop_words(text: Column, default: str = "fr") -> Column:
     found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(?U)\w+"), F.lit(0))
 
     def count(words: Column) -> Column:
-        among = lambda names: F.size(F.filter(words, lambda w: w.isin(names.split())))
+        among = lambda names: F.size(F.filter(words, lambda w: w.isin(names)))
         return F.array(*[among(names) for names in STOP_WORDS.values()])
 
     def choose(counts: Column) -> Column:
@@ -313,7 +318,7 @@ def language_by_stop_words(text: Column, default: str = "fr") -> Column:
 
 
 # Flags and their languages.
-FLAG_LANGUAGES = {"\U0001f1f3\U0001f1f1": "nl", "\U0001f1eb\U0001f1f7": "fr", "\U0001f1e9\U0001f1ea": "de", "\U0001f1e6\U0001f1f9": "de", "\U0001f1e6\U0001f1f9": "de", "\U0001f1ee\U0001f1f9": "it", "\U0001f1ec\U0001f1e7": "en", "\U0001f1fa\U0001f1f8": "en"}
+FLAG_LANGUAGES = {"🇳🇱": "nl", "🇫🇷": "fr", "🇩🇪": "de", "🇦🇹": "de", "🇮🇹": "it", "🇬🇧": "en", "🇺🇸": "en"}
 
 
 def language_segments(text: Column, default: str = "fr") -> Column:
