@@ -108,7 +108,7 @@ def link_discovery(spark, d):
 
 
 def _lang_sql() -> str:
-    n = {k: f"len(regexp_extract_all(' ' || replace(replace(lower(text), ' ', '  '), chr(10), '  ') || ' ', '(?:^|[^\\pL\\pN_])(?:{'|'.join(w.split())})(?:$|[^\\pL\\pN_])'))" for k, w in T.STOP_WORDS.items()}
+    n = {k: f"len(regexp_extract_all(' ' || replace(replace(lower(text), ' ', '  '), chr(10), '  ') || ' ', '(?:^|[^\\pL\\pN_])(?:{'|'.join(w)})(?:$|[^\\pL\\pN_])'))" for k, w in T.STOP_WORDS.items()}
     return "with t as (select doc_id, regexp_replace(lower(text), '([^\\pL\\pN_])', '\\1 ', 'g') as text from documents where lower(text) = text or true), c as (select doc_id, " + ", ".join(f"{e} as {k}_n" for k, e in n.items()) + " from t) select doc_id, case when greatest(" + ", ".join(f"{k}_n" for k in n) + ") = 0 then 'fr' " + " ".join(f"when {k}_n = greatest({', '.join(f'{x}_n' for x in n)}) then '{k}'" for k in n) + " end as lang from c"
 
 
