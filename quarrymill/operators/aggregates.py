@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.functions.numbers import decade, price_band
-from quarrymill.sources.shared import shared_folder
+from quarrymill.operators import scans
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], price: str, least: int = 1) -> DataFrame:
@@ -25,12 +24,12 @@ def quantiles(df: DataFrame, keys: Sequence[str], price: str, least: int = 1) ->
 
 
 def nearest_rank(df: DataFrame, keys: Sequence[str], price: str) -> DataFrame:
-    """Quartiles by rank, xs[n // 4] and xs[3 * n // 4] of the sorted prices, by a window: no group is held in an array."""
-    w = Window.partitionBy(*keys)
-    ranked = df.filter(F.col(price).isNotNull()).select(*keys, F.col(price).alias("px"), (F.row_number().over(w.orderBy(price)) - 1).alias("r"), F.count("*").over(w).alias("n"))
-    pick = lambda at: F.max(F.when(F.col("r") == at, F.col("px")))
-    n = F.col("n")
-    return ranked.groupBy(*keys, "n").agg(pick(F.floor(n / 4)).alias("q25"), pick(F.floor(3 * n / 4)).alias("q75"))
+    """Quartiles by rank, xs[n // 4] and xs[3 * n // 4] of the sorted prices: ranked by ranges, so no group is one task's."""
+    ranked = scans.ranks(df.filter(F.col(price).isNotNull()).select(*keys, F.col(price).alias("px")), keys, ["px"])
+    pick = lambda at: F.max(F.when(F.col("_place") - 1 == at, F.col("px")))
+    n = F.col("_rows")
+    out = ranked.groupBy(*keys).agg(F.max(n).alias("n"), pick(F.floor(n / 4)).alias("q25"), pick(F.floor(3 * n / 4)).alias("q75"))
+    return out.select(*keys, "n", "q25", "q75")
 
 
 def cascade(df: DataFrame, price: str, tiers: Sequence[tuple[Sequence[str], Column]], eligible: Column, least: int = 5) -> DataFrame:
@@ -75,43 +74,15 @@ def fair_price(cars: DataFrame, least: int = 5) -> DataFrame:
 def source_share(df: DataFrame, source: str, price: str) -> DataFrame:
     """Of each source its rows, quartiles by rank of its prices and share of all rows, and the median of all prices."""
     priced = df.filter(F.col(price) > 0)
-    total, median = df.count(), priced.agg(F.percentile(price, 0.5)).first()[0]
+    (median,) = exact_percentiles(priced, price, [0.5])
     counts = df.groupBy(source).agg(F.count("*").alias("rows"))
-    return counts.join(nearest_rank(priced, [source], price), source, "left").withColumns({"share_pct": F.round(100.0 * F.col("rows") / max(total, 1), 4), "median_all": F.lit(median).cast("double")})
-
-
-#: Ranges of values into which exact_percentiles() cuts a column.
-RANGES = 64
+    return counts.withColumn("share_pct", F.round(100.0 * F.col("rows") / max(df.count(), 1), 4)).join(nearest_rank(priced, [source], price), source, "left").withColumn("median_all", F.lit(median).cast("double"))
 
 
 def exact_percentiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
-    """Exact percentiles, continuous between neighbours, of a whole column, however many different values it has.
-
-    Approximate percentiles cut the values into ranges, ranges are counted, and only those that hold a wanted rank are
-    ranked, each by itself. The driver gets a count for each range and two values for each share.
-    """
-    known = df.filter(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("_v"))
-    cuts = known.agg(F.percentile_approx("_v", F.array(*[F.lit(k / RANGES) for k in range(1, RANGES)]), F.lit(1000))).first()[0]
-    if not cuts:
-        return [None] * len(shares)
-    edges = F.array(*[F.lit(c) for c in sorted(set(cuts))])
-    ranged = known.withColumn("_range", F.size(F.filter(edges, lambda e: e < F.col("_v"))))
-    ahead, total = {}, 0
-    for part, n in sorted(ranged.groupBy("_range").count().collect()):
-        ahead[part], total = total, total + n
-    places = {place for s in shares for place in (math.floor(s * (total - 1)), math.ceil(s * (total - 1)))}
-    wanted = {max(p for p in ahead if ahead[p] <= place) for place in places}
-    values = ranged.filter(F.col("_range").isin(*wanted)).groupBy("_range", "_v").agg(F.count("*").alias("_n"))
-    last = F.sum("_n").over(Window.partitionBy("_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
-    before = F.element_at(F.create_map(*[F.lit(x) for p in sorted(wanted) for x in (p, ahead[p])]), F.col("_range"))
-    ranked = values.withColumn("_end", last + before)
-    found = ranked.select("_v", F.explode(F.filter(F.array(*[F.lit(p) for p in sorted(places)]), lambda p: (p < F.col("_end")) & (p >= F.col("_end") - F.col("_n")))).alias("place"))
-    at = {r.place: r["_v"] for r in found.collect()}
-    out = []
-    for s in shares:
-        low, high = math.floor(s * (total - 1)), math.ceil(s * (total - 1))
-        out.append(at[low] + (at[high] - at[low]) * (s * (total - 1) - low))
-    return out
+    """Exact percentiles, continuous between neighbours, of a whole column, however many different values it has."""
+    found = scans.percentiles(df, [], column, shares).first()
+    return [found[f"p{k}"] if found and found["n"] else None for k in range(len(shares))]
 
 
 def snapshot(df: DataFrame, price: str, fresh: Column, source: str, country: str, deal: Column) -> DataFrame:
@@ -124,32 +95,12 @@ def snapshot(df: DataFrame, price: str, fresh: Column, source: str, country: str
 
 
 def longest_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], bad: Column) -> DataFrame:
-    """Of each key the longest run of rows in a row for which `bad` holds; keys without any are left out.
-
-    Rows are dealt out by ranges of key and order, so a key with most rows is in many tasks. Each range gives for a key its
-    rows, its longest run and those at its begin and end; these few numbers are joined in the order of the ranges.
-    """
-    spark = df.sparkSession
+    """Of each key the longest run of rows in a row for which `bad` holds; keys without any are left out. Rows of a run have
+    as many good rows of their key before them."""
     marked = df.select(*keys, *order, F.coalesce(bad, F.lit(False)).alias("_bad"))
-    ranges = marked.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys, *order).withColumn("_range", F.spark_partition_id())
-    path = shared_folder(spark, "ranges")
-    ranges.write.parquet(path)
-    kept = spark.read.schema(ranges.schema).parquet(path)
-    w = Window.partitionBy(*keys, "_range").orderBy(*order)
-    placed = kept.withColumns({"_r": F.row_number().over(w), "_island": F.row_number().over(w) - F.row_number().over(Window.partitionBy(*keys, "_range", "_bad").orderBy(*order))})
-    runs = placed.groupBy(*keys, "_range", "_bad", "_island").agg(F.count("*").alias("_n"), F.min("_r").alias("_from"), F.max("_r").alias("_to"))
-    size = F.max("_to").alias("n")
-    worst = lambda c: F.coalesce(F.max(F.when(F.col("_bad") & c, F.col("_n"))), F.lit(0))
-    parts = runs.join(runs.groupBy(*keys, "_range").agg(size), [*keys, "_range"]).groupBy(*keys, "_range", "n").agg(worst(F.lit(True)).alias("most"), worst(F.col("_from") == 1).alias("head"), worst(F.col("_to") == F.col("n")).alias("tail"))
-    listed = parts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_range", "n", "most", "head", "tail"))).alias("_parts"))
-    start = F.struct(F.lit(0).cast("long").alias("best"), F.lit(0).cast("long").alias("open"))
-
-    def add(a: Column, x: Column) -> Column:
-        through = x["head"] == x["n"]
-        return F.struct(F.greatest(a["best"], x["most"], a["open"] + x["head"]).alias("best"), F.when(through, a["open"] + x["n"]).otherwise(x["tail"]).cast("long").alias("open"))
-
-    found = F.aggregate("_parts", start, add, lambda a: a["best"])
-    return listed.select(*keys, found.alias("longest")).filter("longest > 0")
+    placed = scans.scan(marked, keys, order, {"_good": ("sum", F.when(F.col("_bad"), 0).otherwise(1).cast("long"))})
+    runs = placed.filter("_bad").groupBy(*keys, "_good").agg(F.count("*").alias("_n"))
+    return runs.groupBy(*keys).agg(F.max("_n").alias("longest"))
 
 
 def price_bands(df: DataFrame, price: str) -> DataFrame:
@@ -225,9 +176,8 @@ def keyword_recall(df: DataFrame, text: str, flags: dict[str, Sequence[str]]) ->
 
 def trend(df: DataFrame, keys: Sequence[str], order: str, value: str, step: float = 5.0) -> DataFrame:
     """Mean of the later half against the rest, which for an odd number is longer; under three values there is no telling."""
-    w = Window.partitionBy(*keys)
-    ranked = df.withColumns({"_r": F.row_number().over(w.orderBy(order)), "_n": F.count("*").over(w)})
-    late = F.col("_r") > F.col("_n") - F.floor(F.col("_n") / 2)
+    ranked = scans.ranks(df.select(*keys, order, value), keys, [order])
+    late = F.col("_place") > F.col("_rows") - F.floor(F.col("_rows") / 2)
     out = ranked.groupBy(*keys).agg(F.count("*").alias("n"), (F.avg(F.when(late, F.col(value))) - F.avg(F.when(~late, F.col(value)))).alias("delta"))
     return out.withColumn("trend", F.when(F.col("n") < 3, "insufficient_data").when(F.col("delta") > step, "improving").when(F.col("delta") < -step, "degrading").otherwise("stable"))
 

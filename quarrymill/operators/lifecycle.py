@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrymill.functions.numbers import price_moved
+from quarrymill.operators.scans import scan
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -67,10 +68,9 @@ def stale(df: DataFrame, status: str, seen: str, as_of: Column, days: int) -> Da
 
 def price_log(df: DataFrame, key: str, at: str, price: str, tolerance: float = 0.0) -> DataFrame:
     """The prices of each key that differ from the one before, by more than the tolerance if there is one."""
-    before = F.lag(price).over(Window.partitionBy(key).orderBy(at, price))
-    first = F.row_number().over(Window.partitionBy(key).orderBy(at, price)) == 1
+    out = scan(df, [key], [at, price], {"_before": ("lag", F.col(price)), "_place": ("sum", F.lit(1).cast("long"))})
     moved = F.abs(F.col(price) - F.col("_before")) / F.nullif(F.abs("_before"), F.lit(0)) >= tolerance if tolerance else ~F.col(price).eqNullSafe(F.col("_before"))
-    return df.withColumns({"_before": before, "_first": first}).filter(F.col("_first") | moved).drop("_before", "_first")
+    return out.filter((F.col("_place") == 1) | moved).drop("_before", "_place")
 
 
 def failures(df: DataFrame, key: str, order: Sequence[str], failed: Column, limit: int = 3) -> DataFrame:

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from quarrymill.functions import numbers as N
 from quarrymill.functions import text as T
 from quarrymill.operators import aggregates as A
+from quarrymill.operators import intervals as I
 from quarrymill.operators import lifecycle as C
 from quarrymill.operators import matching as M
+from quarrymill.operators import scans as S
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -254,8 +256,34 @@ def fx_asof(spark, d):
 
 @query(_ASOF + ", a as (select cur, value * x.b as amount, value from f) select cur, count(amount) as n, round(min(amount), 4) as min_px, round(quantile_cont(amount, 0.5), 6) as median_px, round(max(amount), 4) as max_px, round(quantile_cont(amount - value, 0.5), 6) as median_gap from a group by cur")
 def hammer_comps(spark, d):
-    out = M.as_of(_lots(spark, d), _rates(spark, d), "cur", "sold_on", "day", "rate", 12).withColumn("amount", F.col("value") * F.col("rate"))
-    return out.groupBy("cur").agg(F.count("amount").alias("n"), F.round(F.min("amount"), 4).alias("min_px"), F.round(F.percentile("amount", 0.5), 6).alias("median_px"), F.round(F.max("amount"), 4).alias("max_px"), F.round(F.percentile(F.col("amount") - F.col("value"), 0.5), 6).alias("median_gap"))
+    out = M.as_of(_lots(spark, d), _rates(spark, d), "cur", "sold_on", "day", "rate", 12).select("cur", (F.col("value") * F.col("rate")).alias("amount"), "value")
+    out = out.withColumn("gap", F.col("amount") - F.col("value"))
+    ends = out.groupBy("cur").agg(F.count("amount").alias("n"), F.round(F.min("amount"), 4).alias("min_px"), F.round(F.max("amount"), 4).alias("max_px"))
+    middle = lambda of, name: S.percentiles(out, ["cur"], of, [0.5]).select("cur", F.round("p0", 6).alias(name))
+    return ends.join(middle("amount", "median_px"), "cur", "left").join(middle("gap", "median_gap"), "cur", "left")
+
+
+_ANY = f"with rates as ({_RATES}), lots as ({_LOTS}), f as (select lots.*, (select {{'a': day, 'b': rate}} from rates where rates.cur = lots.cur and day <= sold_on order by day desc, rate desc limit 1) as x from lots) "
+
+
+@query(_ANY + "select event_id, cur, sold_on, x.a as rate_day, round(value * x.b, 4) as amount from f")
+def fx_asof_any(spark, d):
+    """The last rate of any age."""
+    out = S.as_of(_lots(spark, d), _rates(spark, d), "cur", "sold_on", "day", "rate")
+    return out.select("event_id", "cur", "sold_on", "rate_day", F.round(F.col("value") * F.col("rate"), 4).alias("amount"))
+
+
+@query("with p as (select p_partkey, p_brand, round(p_retailprice * 100)::bigint as low, round(p_retailprice * 100)::bigint + p_size * 3 as high from part), l as (select p_brand, round(l_extendedprice / l_quantity * 100)::bigint as px1 from lineitem join part on l_partkey = p_partkey) select p_partkey, count(*) as n from p join l on p.p_brand = l.p_brand and px1 between low and high group by p_partkey")
+def price_windows(spark, d):
+    """Lines whose price for one piece lies in the window of prices of a part of the same brand."""
+    part = table(spark, d, "part")
+    cents = lambda c: F.round(c * 100).cast("long")
+    windows = part.select("p_partkey", "p_brand", cents(F.col("p_retailprice")).alias("low"), (cents(F.col("p_retailprice")) + F.col("p_size") * 3).alias("high"))
+    lines = table(spark, d, "lineitem").select("l_partkey", cents(F.col("l_extendedprice") / F.col("l_quantity")).alias("at"))
+    points = lines.join(part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).select("p_brand", "at")
+    # equal points meet the same windows, so they are counted first
+    points = points.groupBy("p_brand", "at").agg(F.count("*").alias("k"))
+    return I.stab(points, windows, ["p_brand"], "at", "low", "high").groupBy("p_partkey").agg(F.sum("k").alias("n"))
 
 
 @query("with b as (select l_quantity > 40 as a0, l_quantity > 30 as a1, l_discount > 0.05 as b0, l_discount > 0.05 or l_tax > 0.04 as b1 from lineitem) select 'bulk0' as flag, count(*) filter (where a0) as before, count(*) filter (where not a0 and a1) as gain, count(*) filter (where a1) as after from b union all select 'cheap0', count(*) filter (where b0), count(*) filter (where not b0 and b1), count(*) filter (where b1) from b")

@@ -6,11 +6,11 @@ import json
 import re
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quarrymill.sources.shared import shared_folder
+from quarrymill.operators.scans import scan
 
 
 def json_array(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -63,22 +63,9 @@ def reports(spark: SparkSession, folder: str, schema: StructType | str, latest:
 
 
 def keyset_pages(rows: DataFrame, key: str, size: int) -> DataFrame:
-    """All rows in pages of `size` by a key without ties: page and the columns of rows.
-
-    Rows are dealt out by ranges of the key, so a page follows from a row's place in its range and the rows of the ranges
-    before: as many numbers as there are ranges.
-    """
-    spark = rows.sparkSession
-    ranges = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), key).withColumn("_range", F.spark_partition_id())
-    path = shared_folder(spark, "pages")
-    ranges.write.parquet(path)
-    kept = spark.read.schema(ranges.schema).parquet(path)
-    ahead, total = {}, 0
-    for part, n in sorted(kept.groupBy("_range").count().collect()):
-        ahead[part], total = total, total + n
-    before = F.create_map(*[F.lit(x) for kv in ahead.items() for x in kv]) if ahead else F.create_map(F.lit(0), F.lit(0))
-    place = F.element_at(before, F.col("_range")) + F.row_number().over(Window.partitionBy("_range").orderBy(key)) - 1
-    return kept.select(F.floor(place / size).cast("long").alias("page"), *rows.columns)
+    """All rows in pages of `size` by a key without ties: page and the columns of rows."""
+    placed = scan(rows, [], [key], {"_place": ("sum", F.lit(1).cast("long"))})
+    return placed.select(F.floor((F.col("_place") - 1) / size).cast("long").alias("page"), *rows.columns)
 
 
 def deep_rows(document: Column, keys: list[str], depth: int = 5) -> Column:
