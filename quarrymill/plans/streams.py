@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.plans.listings import table
+from quarrymill.operators.lifecycle import upsert
+from quarrymill.operators.quantile_store import QuantileStore
+from quarrymill.plans.listings import LISTING, QUARTILES, listing, table
+from quarrymill.sources.parted import Parted
 from quarrymill.sources.shared import shared_folder
 from quarrymill.streaming import machines
 from quarrymill.streaming.jobs import read
@@ -108,3 +111,31 @@ union all select user_id, us, 'closed', before::int, n::int, successes::int from
 def breaker_stream(spark, d):
     """Circuit breakers by user: errors are failures."""
     return _watched(spark, d, machines.Breakers(), F.when(F.col("event_type") == "error", "failed").otherwise("fine"), F.col("value"))
+
+
+@query(LISTING + f", kept as (select * from listing where id % 3 <> 0 or id % 2 = 0) select mk, typ, count(*) as n, {QUARTILES}, round_even(min(px), 0)::bigint as min_px, round_even(max(px), 0)::bigint as max_px from kept group by mk, typ")
+def segment_quantiles_kept(spark, d):
+    """Quartiles of segments after three batches of changes: some rows come, others, and some of both go."""
+    rows = listing(spark, d).select("id", "mk", "typ", F.col("px").alias("price"))
+    store = QuantileStore(spark, f"{shared_folder(spark, 'quantiles')}/store", ["mk", "typ"])
+    came = lambda rows, n: rows.select("mk", "typ", "price", F.lit(n).alias("n"))
+    store.change(came(rows.filter("id % 2 = 0"), 1), 0)
+    store.change(came(rows.filter("id % 2 <> 0"), 1), 1)
+    store.change(came(rows.filter("id % 3 = 0 and id % 2 <> 0"), -1), 2)
+    return store.quantiles()
+
+
+@query("with f as (select o_custkey, o_orderkey, o_totalprice from (select *, row_number() over (partition by o_custkey order by o_orderkey desc) as r from orders) where r = 1) select o_custkey, o_orderkey, o_totalprice from f")
+def upsert_parted(spark, d):
+    """The last order of each customer, kept over two batches in parts."""
+    rows = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    kept = Parted(spark, f"{shared_folder(spark, 'upserts')}/table", rows.schema, ["o_custkey"])
+    for number, some in enumerate(("o_orderkey % 4 <> 1", "o_orderkey % 4 = 1")):
+        kept.write(rows.filter(some), number, lambda old, new: upsert(old, last_of(old, new), ["o_custkey"], "o_orderkey"))
+    return kept.current()
+
+
+def last_of(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of a batch that are later than what is kept."""
+    before = old.select("o_custkey", F.col("o_orderkey").alias("_had"))
+    return new.join(before, "o_custkey", "left").filter("_had is null or o_orderkey > _had").drop("_had")

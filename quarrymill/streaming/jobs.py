@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quarrymill.operators.lifecycle import upsert
+from quarrymill.sources.parted import PARTS, Parted
 from quarrymill.sources.shared import shared_folder
 
 
@@ -34,31 +35,16 @@ def finish(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append")
     stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
 
 
-def keep_table(stream: DataFrame, folder: str, keys: list[str], order: str) -> None:
-    """Keeps a table of the last row of each key. Each batch writes a new version beside the old one and is named by its
-    number, so that a batch that is run again after a failure gives the same version; versions before the last two go.
-    Batches should be large: each rewrites the table, as plain Parquet has no updates."""
-    versions = f"{folder}/table"
+def keep_table(stream: DataFrame, folder: str, keys: list[str], order: str, parts: int = PARTS) -> Parted:
+    """Keeps a table of the last row of each key, in parts by the keys' hash, of which a batch rewrites those it touches. A
+    batch that is run again after a failure gives the same table."""
+    table = Parted(stream.sparkSession, folder, stream.schema, keys, parts)
 
     def put(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        try:
-            old = spark.read.parquet(f"{versions}/{number - 1}") if number else batch.limit(0)
-        except Exception as error:  # the first batch need not be number 0
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            old = batch.limit(0)
-        upsert(old, batch, keys, order).write.mode("overwrite").parquet(f"{versions}/{number}")
-        spark.createDataFrame([(number,)], "version long").coalesce(1).write.mode("overwrite").parquet(f"{folder}/latest")
-        gone = spark._jvm.org.apache.hadoop.fs.Path(f"{versions}/{number - 2}")
-        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+        table.write(batch, number, lambda old, new: upsert(old, new, keys, order))
 
     stream.writeStream.foreachBatch(put).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-
-
-def current(spark: SparkSession, folder: str) -> DataFrame:
-    number = spark.read.schema("version long").parquet(f"{folder}/latest").first()[0]
-    return spark.read.parquet(f"{folder}/table/{number}")
+    return table
 
 
 def dedup_once(spark: SparkSession, sf_dir: str, schema: StructType) -> DataFrame:
@@ -73,5 +59,4 @@ def lifecycle_once(spark: SparkSession, sf_dir: str, schema: StructType) -> Data
     """The last event of each user."""
     folder = shared_folder(spark, "lifecycle")
     stream = read(spark, f"{sf_dir}/events.parquet", schema)
-    keep_table(stream.withColumn("at", F.struct("ts", "event_id")), folder, ["user_id"], "at")
-    return current(spark, folder).drop("at")
+    return keep_table(stream.withColumn("at", F.struct("ts", "event_id")), folder, ["user_id"], "at").current().drop("at")
