@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 
 from quarrymill.functions.automaton import features_shown
 from quarrymill.functions.patterns import NEGATIONS, PATTERNS
+from quarrymill.operators import known
 from quarrymill.plans.listings import table
+from quarrymill.sources import maps, named
+from quarrymill.sources.selectors import selected
+from quarrymill.sources.shared import shared_folder
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -60,3 +64,59 @@ def documents_features(spark, d):
 @query(_shown_sql("select doc_id as id, coalesce(text, '') as text from documents", PHRASES, []))
 def documents_phrases(spark, d):
     return table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.array_join(features_shown(F.col("text"), PHRASES, []), ",").alias("shown"))
+
+
+@query(r"""with s as (select page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)<(script|style)[^>]*>.*?</(script|style)>', '', 'g') as h from pages)
+select page_id, trim(regexp_replace(replace(replace(replace(regexp_extract(h, '(?s)<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) as title,
+  len(regexp_extract_all(regexp_extract(h, '(?s)<nav>(.*?)</nav>', 1), '<li><a href'))::int as n_menu,
+  coalesce(regexp_extract(regexp_extract(h, '(?s)<nav>(.*?)</nav>', 1), 'href="([^"]*)"', 1), '') as first_link,
+  len(regexp_extract_all(h, '<div class="ad"'))::int as n_ads, len(regexp_extract_all(h, '<meta charset'))::int as n_meta from s""")
+def page_fields(spark, d):
+    fields = {"title": "head > title", "menu": "nav > ul > li > a[href]", "link": "nav li:first-child > a @href", "ads": "div.ad", "meta": "html head meta[charset]"}
+    x = F.col("x")
+    n = lambda name: F.size(x[name])
+    return table(spark, d, "pages").select("page_id", selected(F.col("html"), fields).alias("x")).select("page_id", F.coalesce(F.get(x["title"], F.lit(0)), F.lit("")).alias("title"), n("menu").alias("n_menu"), F.coalesce(F.get(x["link"], F.lit(0)), F.lit("")).alias("first_link"), n("ads").alias("n_ads"), n("meta").alias("n_meta"))
+
+
+@query("""select 'http://x/i' || (n_regionkey % 2)::varchar as root, 'http://x/c' || c_custkey::varchar as url, 3 as depth from customer join nation on c_nationkey = n_nationkey where n_regionkey < 4
+union all select 'http://x/i' || (n_regionkey % 2)::varchar, 'http://x/n' || n_nationkey::varchar, 2 from nation where n_regionkey < 4""")
+def sitemap_nested(spark, d):
+    """Two roots name regions, which name nations and themselves, which name maps of customers; a map of nations is there too."""
+    nation, customer = table(spark, d, "nation").filter("n_regionkey < 4"), table(spark, d, "customer")
+    loc = lambda c: F.concat(F.lit("<loc> http://x/"), c, F.lit("\n</loc>"))
+    xml = lambda tag, c: F.concat(F.lit(f"<{tag}>"), F.array_join(F.collect_list(loc(c)), ""), F.lit(f"</{tag}>")).alias("xml")
+    named = lambda mark, c: F.concat(F.lit(f"http://x/{mark}"), c.cast("string")).alias("url")
+    region = F.col("n_regionkey")
+    regions = nation.select("n_regionkey").distinct()
+    docs = regions.groupBy(named("i", region % 2)).agg(xml("sitemapindex", F.concat(F.lit("r"), region)))
+    both = nation.select("n_regionkey", F.concat(F.lit("n"), F.col("n_nationkey")).alias("c")).union(regions.select("n_regionkey", F.concat(F.lit("i"), region % 2))).union(regions.select("n_regionkey", F.concat(F.lit("m"), region)))
+    docs = docs.union(both.groupBy(named("r", region)).agg(xml("sitemapindex", F.col("c"))))
+    docs = docs.union(nation.groupBy(named("m", region)).agg(xml("urlset", F.concat(F.lit("n"), F.col("n_nationkey")))))
+    # a nation's customers are split into maps of bounded size
+    docs = docs.union(nation.select(named("n", F.col("n_nationkey")), F.concat(F.lit("<sitemapindex>"), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: loc(F.concat(F.lit("k"), F.col("n_nationkey"), F.lit("-"), k))), ""), F.lit("</sitemapindex>"))))
+    docs = docs.union(customer.groupBy(F.concat(F.lit("http://x/k"), F.col("c_nationkey"), F.lit("-"), F.col("c_custkey") % 8).alias("url")).agg(xml("urlset", F.concat(F.lit("c"), F.col("c_custkey")))))
+    roots = spark.createDataFrame([("http://x/i0",), ("http://x/i1",)], "root string")
+    return maps.nested(docs, roots)
+
+
+@query("with known as (select o_custkey as k, max(o_orderdate) as seen, count(*) as times from orders where o_orderkey % 3 <> 0 group by 1), new as (select o_custkey as k, max(o_orderdate) as at, count(*) as n from orders where o_orderkey % 3 = 0 group by 1) select k, greatest(seen, coalesce(new.at, seen)) as seen, times + coalesce(n, 0) as times from known left join new using (k) union all select k, new.at, n from new anti join known using (k)")
+def known_keys(spark, d):
+    """Customers seen before, by a stored filter; those seen again are refreshed, new ones added."""
+    rows = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderdate").alias("seen"), (F.col("o_orderkey") % 3 == 0).alias("new"))
+    old = rows.filter("not new").groupBy("k").agg(F.max("seen").alias("seen"), F.count("*").alias("times"))
+    folder = shared_folder(spark, "known")
+    known.build(old, ["k"], folder)
+    fresh, again = known.split(rows.filter("new").drop("new"), old, ["k"], folder)
+    added = fresh.groupBy("k").agg(F.max("seen").alias("seen"), F.count("*").alias("times"))
+    return known.refreshed(old, again, ["k"], "seen", "times").unionByName(added)
+
+
+@query("select o_orderkey, o_custkey, o_totalprice from orders where o_orderkey >= 1000 and o_orderkey < 3000")
+def scan_named(spark, d):
+    """Orders written as pages by ranges of their key and read by name; only pages within the filter are opened."""
+    named.register(spark)
+    folder = f"{shared_folder(spark, 'named')}/orders"
+    rows = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    rows.repartitionByRange(8, "o_orderkey").write.format("extracted").option("key", "o_orderkey").option("page", 500).mode("append").save(folder)
+    pages = spark.read.format("extracted").schema(rows.schema).option("extractor", "jsonl").option("key", "o_orderkey").load(folder)
+    return pages.filter("o_orderkey >= 1000 and o_orderkey < 3000")
