@@ -22,8 +22,11 @@ from quarrymill.llm.common import stored
 
 #: A subtree belongs to the template if it is on at least so many different pages of its host, and on this share of them.
 LEAST_PAGES, LEAST_SHARE = 4, 0.005
-#: Article elements are the main text if they have at least this share of the text that is left.
-ARTICLE_SHARE = 0.25
+#: Article elements, or a main part, are the main text if they have over this share of the text that is left; else all of it
+#: is, and what belongs to no text goes by counts and names.
+ARTICLE_SHARE = 0.5
+#: Where templates are joined by a shuffle, the pages of a host are dealt over so many tasks.
+SALTS = 16
 #: So many pairs of host and template hash are broadcast at most (16 bytes each); more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 
@@ -36,8 +39,18 @@ _SKIP = frozenset("nav footer aside form button select menu dialog head datalist
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 #: Elements beyond which an open paragraph is not closed by a block.
 _SCOPE = frozenset("html table caption td th button object".split())
-#: Words of class and id by which an element that is no running text holds no article text.
-_FIRM = frozenset("ad ads advert adverts advertisement comment comments commentlist disqus reply replies respond related recommended newsletter cookie cookies consent gdpr modal popup sponsored promo".split())
+#: Names of class and id by which an element that is no running text holds no article text.
+_FIRM = frozenset(["ad", "ads", "advert", "adverts", "advertisement", "advertisements", "comment", "comments", "commentlist", "disqus", "newsletter", "gdpr", "sponsored"])
+#: Names that may as well be a subject: inside an article they do so only with a second sign, links or controls.
+_DOUBTFUL = frozenset(["cookie", "cookies", "reply", "replies", "respond", "related", "recommended", "consent", "modal", "popup", "promo"])
+#: Words that may stand beside them in one name: `related-posts` is such a name, `related-work` is not.
+_BESIDE = frozenset([
+    "post", "posts", "article", "articles", "story", "stories", "link", "links", "item", "items", "list", "lists", "box", "block", "section", "area", "container", "wrapper", "wrap", "inner", "outer", "widget", "banner", "bar",
+    "slot", "unit", "panel", "content", "body", "header", "footer", "title", "form", "signup", "subscribe", "overlay", "dialog", "notice", "layer", "window", "backdrop", "top", "bottom", "left", "right", "middle", "side",
+    "sidebar", "mobile", "desktop", "page", "site", "js", "reader", "readers", "user", "thread", "count", "google", "leaderboard", "skyscraper", "rectangle", "placeholder", "label", "module", "group", "row", "col", "grid", "feed", "more",
+])
+#: Elements that are filled in or pressed.
+_CONTROLS = frozenset(["button", "input", "select", "textarea", "form"])
 #: Words of layout: they do so outside articles only, and not on a frame around an article or most of the page.
 _LAYOUT = frozenset(
     "advertising adsense adbox banner banners sponsor promotion privacy notice notices notification alert overlay nav navbar navigation menu menus submenu breadcrumb breadcrumbs sidebar sidebars masthead topbar toolbar "
@@ -55,14 +68,29 @@ _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
 class Element:
-    """kind: article, main or nothing. named: 2 if its names rule it out, 1 if only words of layout do, else 0. running:
-    whether it carries running text of an article. chars: characters of text in it."""
+    """kind: article, main or nothing. named: 2 if its names rule it out, 1 if only words of layout do, 3 if they do so with a
+    second sign, else 0. running: whether it carries running text of an article. chars: characters of text in it, linked:
+    those in links; controls: elements that are filled in or pressed."""
 
-    __slots__ = ("chars", "kind", "named", "open_p", "parent", "parts", "running", "sign", "tag")
+    __slots__ = ("chars", "controls", "kind", "linked", "named", "open_p", "parent", "parts", "running", "sign", "tag")
 
     def __init__(self, tag: str, parent: int, kind: str, named: int, running: bool, open_p: int):
         self.tag, self.parent, self.kind, self.named, self.running, self.open_p = tag, parent, kind, named, running, open_p
         self.parts, self.chars, self.sign = [tag.encode("utf-8", "replace")], 0, 0
+        self.linked = self.controls = 0
+
+    def out(self) -> bool:
+        """Whether its names rule it out, whatever is around it. A second sign is that half of it is links, or a control."""
+        return self.named == 2 or self.named == 3 and (self.controls > 0 or 2 * self.linked >= self.chars)
+
+
+def _called(value: str, words: frozenset) -> bool:
+    """Whether one of the names in a class or id is one of the words, alone or beside words that go with it."""
+    for name in value.split():
+        parts = [p for p in _SPLIT.split(name) if p]
+        if any(p in words for p in parts) and all(p in words or p in _FIRM or p in _DOUBTFUL or p in _BESIDE or p.isdigit() for p in parts):
+            return True
+    return False
 
 
 def _role(tag: str, attrs: str, inside: bool) -> tuple[str, int]:
@@ -80,11 +108,12 @@ def _role(tag: str, attrs: str, inside: bool) -> tuple[str, int]:
             elif name == "hidden" or name == "aria-hidden" and value == "true":
                 named = 2 if tag not in ("html", "body") else named
             elif name in ("class", "id") and tag in _BLOCK and tag not in _FLOW and tag not in ("html", "body", "main"):
-                words = set(_SPLIT.split(value))
-                if words & _FIRM:
+                if _called(value, _FIRM):
                     named = 2
-                elif words & _LAYOUT and not inside and kind != "article":
-                    named = max(named, 1)
+                elif named != 2 and _called(value, _DOUBTFUL):
+                    named = 3 if inside else 2
+                elif named == 0 and set(_SPLIT.split(value)) & _LAYOUT and not inside and kind != "article":
+                    named = 1
     return kind, named
 
 
@@ -161,6 +190,8 @@ def parse(page: str) -> tuple[list[Element], list[list[tuple[int, str]]]]:
         above = elements[element.parent]
         above.parts.append(element.sign.to_bytes(8, "little"))
         above.chars += element.chars
+        above.linked += element.linked
+        above.controls += element.controls
         inside -= element.kind != ""
 
     for text, tag, attrs in _Scanner(page).tags():
@@ -170,6 +201,7 @@ def parse(page: str) -> tuple[list[Element], list[list[tuple[int, str]]]]:
                 top = elements[stack[-1]]
                 top.parts.append(plain.encode("utf-8", "replace"))
                 top.chars += len(plain)
+                top.linked += len(plain) if where.get("a") else 0
             blocks[-1].append((stack[-1], text))
         if not tag:
             continue
@@ -180,6 +212,8 @@ def parse(page: str) -> tuple[list[Element], list[list[tuple[int, str]]]]:
                 while len(stack) > least:
                     close()
             continue
+        if tag in _CONTROLS:
+            elements[stack[-1]].controls += 1
         if tag in _RAW:
             continue
         if tag in ("br", "td", "th"):
@@ -238,7 +272,7 @@ def main_text(page: str, template: Set[int]) -> tuple[str, int]:
     counted = {k for k in candidates(elements) if (s := elements[k].sign) - (1 << 64 if s >> 63 else 0) in template} if template else set()
     holds = [False] * n  # an article or main part
     for k in range(n - 1, 0, -1):
-        holds[elements[k].parent] |= holds[k] or elements[k].kind != "" and elements[k].named < 2
+        holds[elements[k].parent] |= holds[k] or elements[k].kind != "" and not elements[k].out()
     gone, place, deleted = [False] * n, [0] * n, 0
     for k in range(1, n):
         e = elements[k]
@@ -248,7 +282,7 @@ def main_text(page: str, template: Set[int]) -> tuple[str, int]:
             gone[k] = True
             deleted += 1
         else:
-            gone[k] = e.named == 2 or e.named == 1 and not holds[k] and 2 * e.chars <= elements[0].chars
+            gone[k] = e.out() or e.named == 1 and not holds[k] and 2 * e.chars <= elements[0].chars
         place[k] = max(place[e.parent], {"article": 2, "main": 1}.get(e.kind, 0))
     texts: list[list[str]] = [[], [], []]  # of the whole page, of main parts, of articles
     for pieces in blocks:
@@ -258,8 +292,8 @@ def main_text(page: str, template: Set[int]) -> tuple[str, int]:
             for part in texts[: place[kept[0][0]] + 1]:
                 part.append(words)
     size = [sum(map(len, x)) for x in texts]
-    wide = 1 if size[1] >= ARTICLE_SHARE * size[0] and size[1] else 0
-    chosen = 2 if size[2] and size[2] >= ARTICLE_SHARE * size[wide] else wide
+    wide = 1 if size[1] > ARTICLE_SHARE * size[0] else 0
+    chosen = 2 if size[2] > ARTICLE_SHARE * size[wide] else wide
     return "\n\n".join(texts[chosen]), deleted
 
 
@@ -301,7 +335,11 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.when(host != "", F.xxhash64(F.lower(host))).alias("host"), F.col(html_col).cast("string").alias("html"))
     templates = stored(template_hashes(rows, least_pages, least_share), "templates")
     small = templates.agg(F.coalesce(F.sum(F.size("template") + 1), F.lit(0))).first()[0]
-    joined = rows.join(F.broadcast(templates) if small <= MOST_BROADCAST else templates, "host", "left")
+    if small <= MOST_BROADCAST:
+        joined = rows.join(F.broadcast(templates), "host", "left")
+    else:
+        salted = rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+        joined = salted.join(templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["host", "salt"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: dict = {}  # templates of hosts met lately

@@ -2,7 +2,9 @@
 
 import collections
 import random
+import re
 import time
+from html import unescape
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,11 +37,42 @@ def test_running_text_stays_whatever_its_class():
 def test_articles_that_are_not_the_main_text():
     long = "<main><h1>T</h1><p>a long text of many words here</p></main>"
     assert text(long + '<article class="related"><p>teaser</p></article>') == "T\n\na long text of many words here"
-    assert text(long + "<article><p>teaser</p></article>") == "T\n\na long text of many words here\n\nteaser"
+    assert text("<main>" + long[6:-7] + "<article><p>teaser</p></article></main>") == "T\n\na long text of many words here\n\nteaser"
     assert text("<article></article><p>x") == "x"
     assert text('<article>a b c d e f<article class="comment">c</article></article>') == "a b c d e f"
 
 
+def test_no_main_text_goes_with_a_short_article():
+    """An article of 30 % is no reason to drop the seven sentences beside it, nor a main part of a third the rest."""
+    said = [f"Sentence {k} of the main text is here." for k in range(7)]
+    main = "<main>" + "".join(f"<p>{s}</p>" for s in said) + f"<article><p>{'teaser ' * 15}</p></article></main>"
+    got = text(main + "<footer>f</footer>")
+    assert all(s in got for s in said) and "f" != got[-1]
+    got = text("<div>" + "".join(f"<p>{s}</p>" for s in said) + "</div><main><p>" + "aside " * 16 + "</p></main>")
+    assert all(s in got for s in said)
+    article = "<article>" + "".join(f"<p>{s}</p>" for s in said) + "</article><div>unnamed and short</div>"
+    assert text(article) == "\n\n".join(said)
+
+
+@pytest.mark.parametrize("name", ["related-work", "modal-verbs", "informed-consent", "ad-hoc-networks", "promo-code-list", "consent", "related", "cookies", "cookie-recipes", "commentary", "adds", "replies-to-critics"])
+def test_subjects_are_no_furniture(name):
+    for kind in ("class", "id"):
+        assert text(f'<article><p>begin</p><section {kind}="{name}"><h2>h</h2><p>what it says</p></section><div {kind}="{name}">more</div></article>') == "begin\n\nh\n\nwhat it says\n\nmore"
+
+
+@pytest.mark.parametrize("name", ["ad", "ads", "ad-slot", "ad_unit-3", "comments", "comment-list", "newsletter-signup", "x sponsored", "advertisement"])
+def test_furniture_goes_inside_articles(name):
+    assert text(f'<article><p>begin</p><div class="{name}">go away</div></article>') == "begin"
+
+
+@pytest.mark.parametrize("name", ["related", "related-posts", "modal", "cookie-banner", "promo-box", "recommended-articles"])
+def test_doubtful_names_go_with_a_second_sign(name):
+    assert text(f'<article><p>begin</p><div class="{name}"><a href="/x">other page</a> and</div></article>') == "begin"
+    assert text(f'<article><p>begin</p><div class="{name}">we ask <button>ok</button></div></article>') == "begin"
+    assert text(f'<article><p>begin</p><div class="{name}">running words of the article <a href=x>y</a></div></article>') == "begin\n\nrunning words of the article y"
+    assert text(f'<article><p>begin</p></article><div class="{name}">outside</div>') == "begin"
+
+
 def test_paragraphs_and_items_end_where_they_should():
     assert text("<p>a<div>b</div>c<p>d<table><tr><td><p>e<td>f</table>g") == "a\n\nb\n\nc\n\nd\n\ne\n\nf\n\ng"
     assert text("<p>" + "<b>" * 9 + "x<div>y</div>") == "x\n\ny"
@@ -115,3 +148,42 @@ def test_templates_joined_by_a_shuffle(spark, monkeypatch):
     want = sorted(map(str, html.extract(df).collect()))
     monkeypatch.setattr(html, "MOST_BROADCAST", 0)
     assert sorted(map(str, html.extract(df).collect())) == want
+
+
+def test_pages_made_of_known_parts():
+    """Main blocks and furniture put together at random: what comes out are the main blocks, in their order."""
+    rng = random.Random(12)
+    words = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "eps&amp;lon", "zeta\n  eta", "<b>theta</b>", "<a href=/x>iota</a>", "kappa<!-- x -->"]) for _ in range(n))
+    plain = lambda x: re.sub(r"\s+", " ", re.sub(r"<!--.*?-->|</?[ab](?: [^>]*)?>", "", x).replace("&amp;", "&")).strip()
+    furniture = [
+        "<nav><ul><li><a href=/>home</a></li></ul></nav>", "<header><div>site name</div></header>", "<footer>all rights</footer>", "<aside><p>beside</p></aside>", "<form><input><button>send</button></form>", "<script>var a = '<p>no</p>'</script>",
+        "<style>p{}</style>", "<div class='ad'>buy</div>", "<div id=comments><p>first!</p></div>", "<div class='x cookie-notice'>we use cookies <button>ok</button></div>", "<div class=sidebar><p>side</p></div>", "<div class='related-posts'><a href=1>one</a></div>",
+    ]
+    for _ in range(300):
+        want, body = [], []
+        for _ in range(rng.randrange(2, 8)):
+            x = words(rng.randrange(3, 30))
+            tag = rng.choice(["p", "h2", "blockquote", "li"])
+            body.append(f"<ul><li>{x}</li></ul>" if tag == "li" else f"<{tag}>{x}</{tag}>")
+            want.append(plain(x))
+        inside = rng.choice(["<div class='ad-slot'>buy now</div>", "<div class=newsletter><form>join</form></div>", "", ""])
+        body.insert(rng.randrange(len(body)), inside)
+        frame = rng.choice(["<article>{}</article>", "<main>{}</main>", "<main><article>{}</article></main>", "<div role=main>{}</div>", "<div class=page><div>{}</div></div>"])
+        around = [rng.choice(furniture) for _ in range(rng.randrange(6))]
+        at = rng.randrange(len(around) + 1)
+        page = "<html><head><title>t</title></head><body>" + "".join(around[:at]) + frame.format("".join(body)) + "".join(around[at:]) + "</body></html>"
+        assert text(page) == "\n\n".join(want), page
+
+
+def test_articles_of_all_pages_by_regular_expressions(spark):
+    """The table's pages are plain enough to be cut by expressions alone."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
+    got = {r.page_id: r.text for r in html.extract(spark.read.parquet("/root/testdata/sf0.001/pages.parquet")).collect()}
+    same = 0
+    for r in rows:
+        m = re.search(r"<article>(.*?)</article>", re.sub(r"(?s)<!--.*?-->|<(script|style)\b.*?</\1>", "", r.html or ""), re.S)
+        if m:
+            cut = re.sub(r"</?(?:p|h1|h2|h3|ul|ol|li|div|section|blockquote|table|tr)\b[^>]*>", "\n\n\n", re.sub(r"<(?:br|td|th)\b[^>]*>", " ", m[1]))
+            blocks = [" ".join(unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in cut.split("\n\n\n")]
+            same += got[r.page_id] == "\n\n".join(b for b in blocks if b)
+    assert same >= 0.98 * len(rows)
