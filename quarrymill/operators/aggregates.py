@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quarrymill.functions.numbers import decade, price_band
 from quarrymill.operators import scans
+from quarrymill.sources.shared import stored
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], price: str, least: int = 1) -> DataFrame:
@@ -36,22 +37,23 @@ def cascade(df: DataFrame, price: str, tiers: Sequence[tuple[Sequence[str], Colu
     """Fair price of each row from the first tier whose cohort is large enough: tier, cote_low, cote_mid, cote_high, deal_pct.
 
     tiers: key columns and a condition, finest first. Cohorts are those of all eligible rows, whatever other tiers give.
-    All figures of a row come from one tier. Cohorts have one row for each key, so they are joined by key, and Spark
-    broadcasts those that turn out small.
+    All figures of a row come from one tier. df is read once and kept; one aggregation gives the cohorts of all tiers, which
+    are then joined by key, and Spark broadcasts those that turn out small.
     """
-    out = df.withColumn("_ok", F.coalesce(eligible & F.col(price).isNotNull(), F.lit(False)))
-    found = []
-    for k, (keys, condition) in enumerate(tiers, 1):
-        fit = out.filter(F.col("_ok") & condition)
-        q = F.percentile(price, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        cohort = fit.groupBy(*[F.col(c).alias(f"_{k}{c}") for c in keys]).agg(F.count("*").alias(f"_n{k}"), q.alias(f"_q{k}")).filter(F.col(f"_n{k}") >= least)
-        on = [out[c] == cohort[f"_{k}{c}"] for c in keys]
-        out = out.join(cohort, on, "left").drop(*[f"_{k}{c}" for c in keys])
-        found.append(F.when(F.col("_ok") & condition & (F.col(f"_q{k}")[1] > 0), F.struct(F.lit(k).alias("tier"), F.col(f"_q{k}").alias("q"))))
+    fits = [F.when(F.col("_ok") & condition, F.array(*[F.col(k).cast("string") for k in keys])) for keys, condition in tiers]
+    kept = stored(df.withColumn("_ok", F.coalesce(eligible & F.col(price).isNotNull(), F.lit(False))).withColumn("_keys", F.array(*fits)), "cascade")
+    each = kept.filter("_ok").select(F.col(price).alias("_px"), F.posexplode("_keys").alias("tier", "key")).filter("key is not null").withColumn("tier", F.col("tier") + 1)
+    q = F.percentile("_px", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    cohorts = stored(each.groupBy("tier", "key").agg(F.count("*").alias("n"), q.alias("q")).filter((F.col("n") >= least) & (F.col("q")[1] > 0)).select("tier", "key", "q"), "cohorts")
+    out = kept
+    for k in range(1, len(tiers) + 1):
+        own = cohorts.filter(F.col("tier") == k).select(F.col("key").alias(f"_key{k}"), F.col("q").alias(f"_q{k}"))
+        out = out.join(own, F.element_at("_keys", k) == F.col(f"_key{k}"), "left").drop(f"_key{k}")
+    found = [F.when(F.col(f"_q{k}").isNotNull(), F.struct(F.lit(k).alias("tier"), F.col(f"_q{k}").alias("q"))) for k in range(1, len(tiers) + 1)]
     out = out.withColumn("_best", F.coalesce(*found))
     q = F.col("_best.q")
     out = out.withColumns({"tier": F.col("_best.tier"), "cote_low": F.rint(q[0]).cast("long"), "cote_mid": F.rint(q[1]).cast("long"), "cote_high": F.rint(q[2]).cast("long"), "deal_pct": F.rint((F.col(price) - q[1]) * 100.0 / q[1]).cast("long")})
-    return out.drop("_ok", "_best", *[f"_n{k}" for k in range(1, len(tiers) + 1)], *[f"_q{k}" for k in range(1, len(tiers) + 1)])
+    return out.drop("_ok", "_keys", "_best", *[f"_q{k}" for k in range(1, len(tiers) + 1)])
 
 
 #: Keys of the fair price's cohorts, finest first: model and decade, model, by how the model is known.
