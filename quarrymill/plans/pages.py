@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarrymill.functions import models
 from quarrymill.functions.automaton import features_shown
 from quarrymill.functions.patterns import NEGATIONS, PATTERNS
 from quarrymill.operators import known
@@ -120,3 +121,36 @@ def scan_named(spark, d):
     rows.repartitionByRange(8, "o_orderkey").write.format("extracted").option("key", "o_orderkey").option("page", 500).mode("append").save(folder)
     pages = spark.read.format("extracted").schema(rows.schema).option("extractor", "jsonl").option("key", "o_orderkey").load(folder)
     return pages.filter("o_orderkey >= 1000 and o_orderkey < 3000")
+
+
+_WORDS = ["RS", "M", "GT", "F", "E", "S", "Cup ", "Type R "]
+
+
+def _model_rules_sql() -> str:
+    """Rule by rule. RE2 has no looking ahead; the two alternatives that need it are for words that are not in these names."""
+    q = lambda p: "'(?i)" + p.replace("'", "''") + "'"
+    fast = models.FAST.replace(r"\br\b(?!\s*line)|", "").replace(r"\bn\b(?!\s)|", "")
+    names = lambda xs: ", ".join("'" + x.replace("'", "''") + "'" for x in xs)
+    among = lambda t: "(" + " or ".join(f"mk = '{k}' and fam in ({names(v)})" for k, v in t.items()) + ")"
+    rule = "case " + " ".join(f"when mk = '{mk}' and regexp_matches(lower(mo), '{p}') then {n}" for n, (mk, p, _, _) in enumerate(models.ENGINES)) + " end"
+    listed = lambda k: "[" + ", ".join(f"'{e[k]}'" if isinstance(e[k], str) else str(e[k]) for e in models.ENGINES) + "]"
+    family = " ".join(f"when mk = '{mk}' and regexp_matches(mo, {q(p)}) then replace(upper(regexp_extract(mo, {q(p)}, 1)), ' ', '')" for mk, p in models.FAMILIES.items() if mk in ("Porsche", "Ferrari", "BMW"))
+    return f"""with p as (select p_partkey, p_size, [{names(models.MAKES)}][(p_partkey % {len(models.MAKES)} + 1)::int] as mk,
+  (p_partkey * 7 % 1000)::varchar || ' ' || [{names(_WORDS)}][(p_partkey % {len(_WORDS)} + 1)::int] || p_size::varchar || ' ' || p_name || case when p_size % 9 = 0 then ' limited' else '' end as mo from part),
+f as (select *, {rule} as rule, case {family} else nullif(regexp_extract(mo, '(?i)^([a-z0-9]+(?:[\\s-][a-z0-9]+)?)', 1), '') end as fam from p)
+select p_partkey, {listed(2)}[rule + 1] as engine_layout, {listed(3)}[rule + 1]::int as engine_cyl,
+  mk in ({names(models.FAST_MAKES)}) or coalesce({listed(3)}[rule + 1], 0) >= 8 or regexp_matches(mo, {q(fast)}) or (mk = 'Mercedes-Benz' and regexp_matches(mo, {q(models.LETTER_AND_NUMBER)})) or {among(models.FAST_FAMILIES)}
+    or (mk = 'BMW' and ({" or ".join(f"regexp_matches(mo, {q(x)})" for x in models.M_MODELS)})) as is_performance,
+  regexp_matches(mo, {q(models.SPECIAL)}) as is_special_edition, regexp_matches(mo, {q(models.RACING)}) as is_competition, regexp_matches(mo, {q(models.LIMITED)}) as is_limited, {among(models.ICONS)} as is_icon, fam as model_family,
+  nullif(upper(regexp_extract(mo, {q(models.GENERATION[1])}, 1)), '') as generation_code,
+  case when 1930 + p_size * 2 < 1945 then 'prewar' when 1930 + p_size * 2 < 1990 then 'classic' when 1930 + p_size * 2 < 2005 then 'youngtimer' else 'modern' end as era from f"""
+
+
+@query(_model_rules_sql())
+def model_rules(spark, d):
+    """All rules of models over the parts, under makes and names made of their columns."""
+    key = F.col("p_partkey")
+    pick = lambda xs: F.element_at(F.array(*[F.lit(x) for x in xs]), (key % len(xs) + 1).cast("int"))
+    name = F.concat((key * 7 % 1000).cast("string"), F.lit(" "), pick(_WORDS), F.col("p_size").cast("string"), F.lit(" "), F.col("p_name"), F.when(F.col("p_size") % 9 == 0, " limited").otherwise(""))
+    rows = table(spark, d, "part").select("p_partkey", "p_size", F.upper(pick(models.MAKES)).alias("mk"), name.alias("mo"))
+    return rows.select("p_partkey", models.model_rules(F.col("mk"), F.col("mo"), 1930 + F.col("p_size") * 2).alias("x")).select("p_partkey", "x.*")
