@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quarrymill.functions.patterns import NEGATIONS
 from quarrymill.functions.text import norm_words
 
 # Currency marks, words of dealers, bounds of a price and of a description.
@@ -21,6 +22,20 @@ SHORTEST, LONGEST = 50, 8000
 RECENT_MONTHS = 18
 # Words that stay small in the name of a place.
 JOINING = ["en", "de", "du", "des", "la", "le", "les", "sur", "sous", "aux", "au", "lès", "et", "d'", "l'"]
+# The year before which, and the price from which, any car is one for the feed; and the names of those that are.
+PERSONA_YEAR, PERSONA_PRICE = 2012, 25_000
+PERSONA = (
+    r"GTI|GTE|GTD|Abarth|Type ?R|\bRS ?[0-9]|\bAMG|Cupra|\bJCW\b|John Cooper|"
+    r"MX-?5|124 Spider|Alpine|\bA110\b|\bGR ?[0-9A-Za-z]|\b86\b|\bBRZ\b|Supra|"
+    r"Nismo|Polestar|N[- ]?Line|ST[- ]?Line|R[- ]?Line|S[- ]?Line|GT[- ]?Line|"
+    r"Black Edition|First Edition|Exclusive|Vignale|Individual|Cabrio|Coup[eé]|"
+    r"Roadster|Spider|Shooting Brake|Convertible|Challenger|Charger|Mustang|"
+    r"Camaro|Corvette|\bHemi\b|\bR/T\b|\bSRT|Hellcat|F.?Sport|Supercharged|"
+    r"\bV8\b|\bV10\b|\bV12\b|Bi-?turbo|Quadrifoglio|\bQV\b|M[- ]?Sport|\bHSE\b|"
+    r"Macan|Cayenne|Panamera|Taycan|\bGTS\b|Turbo ?S\b|\bOPC\b|\bLED\b|Matrix|"
+    r"\bNavi|Leder|Cuir|Pelle|Leather|Panorama|\bPano\b|\bACC\b|Keyless|Bose|"
+    r"Burmester|Harman|Head.?up|Virtual Cockpit|Digital Cockpit"
+)
 #: What tells a photo from others in its address, by the way a site builds it.
 PHOTO_KEYS = {
     "uuid": r"/prod-ads/images/[0-9a-f]{2}/([0-9a-f-]{36})",
@@ -50,6 +65,12 @@ def tuner(make: Column, model: Column, text: Column, makes: list[str], rules: li
     return F.when(make.isin(makes), make).otherwise(first_rule(make, F.concat_ws(" ", model, text), rules))
 
 
+def persona_ok(make: Column, model: Column, year: Column, price: Column) -> Column:
+    """Whether a car is one for the feed: old or of no known year, dear, or by its make and model."""
+    old = F.coalesce(year, F.lit(0)) < PERSONA_YEAR
+    return old | F.coalesce(price >= PERSONA_PRICE, F.lit(False)) | F.concat_ws(" ", make, model).rlike("(?iu)" + PERSONA)
+
+
 def description(page: Column, container: str) -> Column:
     """The text of the part of a page that a pattern's first group finds, white space as one space; null if it is short.
     A description is at most LONGEST characters: that is its definition."""
@@ -75,11 +96,12 @@ def clean_model(model: Column, dealer: Column) -> Column:
     return F.nullif(F.trim(F.when(plain & sign, left).otherwise(head)), F.lit(""))
 
 
-def occurs_unnegated(text: Column, word: str, negations: str = "sans|no|not|without|ohne|senza|sin|kein|keine", within: int = 28) -> Column:
+def occurs_unnegated(text: Column, word: str, negations: list[str] = NEGATIONS, within: int = 28, between: int = 12) -> Column:
     """Whether a word occurs at least once with no negation in the characters just before it: occurrence by occurrence."""
     before = F.split(F.lower(text), word, -1)
     heads = F.slice(before, F.lit(1), F.size(before) - 1)
-    return F.exists(heads, lambda h: ~F.right(h, F.lit(within)).rlike(rf"\b(?:{negations})\b"))
+    denied = "(?u)(?:" + "|".join(negations) + rf")[\w\s']{{0,{between}}}$"
+    return F.exists(heads, lambda h: ~F.right(h, F.lit(within)).rlike(denied))
 
 
 def months_between_dates(day: Column, as_of: Column) -> Column:

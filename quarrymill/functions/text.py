@@ -404,8 +404,14 @@ def has_any(text: Column, words: list[str]) -> Column:
     return F.coalesce(F.lower(text).rlike(_any(words)), F.lit(False))
 
 
-def near_negation(text: Column, word: str, negations: str = "sans|no|not|without|ohne|senza|sin|kein|keine", within: int = 30) -> Column:
-    return F.coalesce(F.lower(text).rlike(rf"(?s)\b(?:{negations})\b.{{0,{within}}}{word}"), F.lit(False))
+# What denies a word that comes soon after it.
+NEGATION_TRIGGERS = ["sans", "pas de", "pas d'", "aucun", "aucune", "manque", "manquant", "manquante", "absent", "absente", "no ", "without", "non ", "n'est pas"]
+
+
+def near_negation(text: Column, word: str, triggers: list[str] = NEGATION_TRIGGERS, within: int = 30) -> Column:
+    """Whether one of the triggers, in lower case, stands within so many characters before a word, wherever it occurs."""
+    before = "|".join(f"{_any([t])}.{{0,{within - len(t)}}}" for t in triggers)
+    return F.coalesce(F.lower(text).rlike(f"(?s)(?:{before}){_any([word])}"), F.lit(False))
 
 
 def on_request(text: Column) -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrymill.functions.numbers import haversine_m
+from quarrymill.functions.text import AMG_MODEL, UNKNOWN_MAKE
+from quarrymill.sources.shared import stored
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
@@ -30,6 +32,27 @@ def greedy(rows: DataFrame, ref: DataFrame, id_col: str, make: str, text: str, r
     return rows.join(found, id_col, "left")
 
 
+def make_model(rows: DataFrame, title: str, makes: DataFrame, most_words: int = 4) -> DataFrame:
+    """rows with mk and mo of a title. makes: alias (lower case, words with one space) and make, each alias once.
+
+    The longest alias of at most so many words that the title begins with counts; without any, mk is the first word in title
+    case, and Inconnue without a title. A title has few beginnings, so they meet the aliases by equality, however many
+    there are.
+    """
+    tidy = F.trim(F.regexp_replace(F.coalesce(F.col(title), F.lit("")), r"\s+", " "))
+    marked = rows.withColumns({"_id": F.monotonically_increasing_id(), "_tidy": tidy})
+    kept = stored(marked, "titles")
+    words = F.split("_tidy", " ")
+    heads = F.transform(F.sequence(F.lit(1), F.least(F.size(words), F.lit(most_words))), lambda n: F.array_join(F.slice(words, 1, n), " "))
+    found = kept.select("_id", F.explode(heads).alias("_head")).join(makes.select("alias", F.col("make").alias("_make")), F.lower("_head") == F.col("alias"))
+    best = found.groupBy("_id").agg(F.max_by(F.struct("_make", "_head"), F.length("_head")).alias("_best"))
+    out = kept.join(best, "_id", "left")
+    first = F.split_part("_tidy", F.lit(" "), F.lit(1))
+    mk = F.when(F.col("_tidy") == "", UNKNOWN_MAKE).otherwise(F.coalesce(F.col("_best._make"), F.initcap(first)))
+    mo = F.trim(F.substr("_tidy", F.coalesce(F.length("_best._head"), F.length(first)) + 1))
+    return out.withColumns({"mk": F.when((mk == "Mercedes-Benz") & mo.rlike(AMG_MODEL), "Mercedes-AMG").otherwise(mk), "mo": mo}).drop("_id", "_tidy", "_best")
+
+
 def by_first_token(rows: DataFrame, ref: DataFrame, id_col: str, make: str, text: str, ref_make: str, ref_model: str) -> DataFrame:
     """For each row the longest reference model that begins with the text's first word."""
     token = lambda c: F.split_part(F.col(c), F.lit(" "), F.lit(1))

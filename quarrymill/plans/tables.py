@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.functions import features as X
@@ -10,6 +10,7 @@ from quarrymill.functions import numbers as N
 from quarrymill.functions import text as T
 from quarrymill.operators import aggregates as A
 from quarrymill.operators import lifecycle as C
+from quarrymill.operators import matching as M
 from quarrymill.operators import scans as S
 from quarrymill.plans.listings import LISTING, listing, table
 from quarrymill.sources import files
@@ -79,9 +80,9 @@ def scan_jsonl(spark, d):
     return files.json_lines(spark, path, NATION)
 
 
-@query("select n_nationkey as k from nation where n_regionkey = 1")
+@query("select n_nationkey as k from nation")
 def scan_json(spark, d):
-    rows = table(spark, d, "nation").filter("n_regionkey = 1").agg(F.to_json(F.struct(F.sort_array(F.collect_list("n_nationkey")).alias("found"))).alias("value"))
+    rows = table(spark, d, "nation").agg(F.to_json(F.struct(F.sort_array(F.collect_list("n_nationkey")).alias("found"))).alias("value"))
     path = _lines(rows, _folder(spark, "json"), F.col("value"))
     return files.json_array(spark, path, "found array<int>").select(F.explode("found").alias("k"))
 
@@ -205,29 +206,7 @@ def sink_tsv(spark, d):
     return spark.read.schema("r_regionkey int, r_name string").option("sep", "\t").option("header", True).csv(path)
 
 
-# ---- features of descriptions ----
-
-_WORDS = ["full service history, première main", "sans carnet, garage chauffé, 3 owners", "carnet d'entretien, matching numbers, modified", "série limitée 1 of 500, centre agréé", "plain"]
-_FLAG_SQL = {
-    "carnet_present": "k in (0, 2)", "carnet_complet": "k = 0", "first_owner": "k = 0", "garage_chauffe": "k = 1", "matching_numbers": "k = 2", "etat_origine": "false", "serie_limitee": "k = 3", "suivi_constructeur": "k = 3",
-}
-
-
-def _described(spark, d):
-    said = F.element_at(F.array(*[F.lit(w) for w in _WORDS]), (F.col("p_partkey") % 5 + 1).cast("int"))
-    return table(spark, d, "part").select("p_partkey", "p_size", X.clean(F.concat(F.lit("<b>"), F.upper(said), F.lit("</b>  ."))).alias("de"))
-
-
-@query("with p as (select p_partkey, p_partkey % 5 as k from part) select p_partkey, " + ", ".join(f"{e} as {n}" for n, e in _FLAG_SQL.items()) + ", case k when 0 then 1 when 1 then 3 end::int as owners from p")
-def features_v1(spark, d):
-    flag = X.flags(F.col("de"))
-    return _described(spark, d).select("p_partkey", *[flag[n].alias(n) for n in _FLAG_SQL], X.owners(F.col("de")).alias("owners"))
-
-
-@query("with p as (select p_partkey, p_partkey % 5 as k from part) select p_partkey, case k when 0 then 8 + 10 + 7 + 12 when 1 then 8 + 7 + 7 + 2 when 2 then 8 + 12 + 7 + 5 when 3 then 8 + 7 + 7 + 7 + 10 else 8 + 7 + 7 end::int as score, case k when 0 then 'Carnet complet|Première main|Faible km' when 1 then '3 propriétaires|Faible km|Garage chauffé' when 2 then 'Carnet présent|Matching numbers|Faible km' when 3 then 'Suivi constructeur|Faible km|Série limitée' else 'Faible km' end as chips from p")
-def feature_score(spark, d):
-    flag, n, tier, km = X.flags(F.col("de")), X.owners(F.col("de")), F.lit("luxury"), F.lit("low_km")
-    return _described(spark, d).select("p_partkey", X.feature_score(flag, n, tier, km).alias("score"), F.array_join(X.chips(flag, n, km), "|").alias("chips"))
+# ---- descriptions ----
 
 
 @query("select doc_id, case when n_chars <= 800 then 'short_de' when toxic = 1 then 'has_positive_bool' when doc_id % 7 = 0 then 'already_llm' when doc_id % 5 = 0 then 'no_yr_px' when 2024 - (1980 + doc_id % 40) >= 25 then 'collector' when doc_id * 100 >= 60000 then 'passion_px' else 'not_premium' end as reason from documents left join labels using (doc_id)")
@@ -259,12 +238,6 @@ def json_bridge(spark, d):
     return rows.select("event_id", bridged.alias("a")).select("event_id", "a.source", "a.lot", "a.h_offset", "a.sold_price")
 
 
-@query(LISTING + "select id, yr < 1998 or px >= 25000 or regexp_matches(mk || ' ' || mo, '(?i)red|\\bgreen') as keep from listing")
-def persona(spark, d):
-    rows = listing(spark, d)
-    return rows.select("id", ((F.col("yr") < 1998) | (F.col("px") >= 25_000) | F.concat_ws(" ", "mk", "mo").rlike(r"(?i)red|\bgreen")).alias("keep"))
-
-
 @query("select doc_id, case when contains(lower(text), 'license') then 'licence' when contains(lower(text), 'token') then 'token' when regexp_matches(text, '[A-Z]{6}') then 'upper' end as rule from documents")
 def rule_tags(spark, d):
     t = F.lower("text")
@@ -273,11 +246,11 @@ def rule_tags(spark, d):
 
 @query("select p_partkey, p_brand as mk, trim(p_name) as mo from part")
 def make_model(spark, d):
-    """The makes are those of the table, at most a few dozen."""
+    """The makes are those of the table, however many: titles meet them by their first word."""
     part = table(spark, d, "part")
-    brands = {r[0].lower(): r[0] for r in part.select("p_brand").distinct().limit(1000).collect()}
-    found = T.make_model(F.concat("p_brand", F.when(F.col("p_partkey") % 2 == 0, F.lit(" ")).otherwise(F.lit("")), "p_name"), brands)
-    return part.select("p_partkey", found.alias("x")).select("p_partkey", "x.mk", "x.mo")
+    title = F.concat("p_brand", F.lit("  "), F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise(F.concat(F.lit(" "), "p_name")))
+    makes = part.select(F.lower("p_brand").alias("alias"), F.col("p_brand").alias("make")).distinct()
+    return M.make_model(part.select("p_partkey", title.alias("title")), "title", makes).select("p_partkey", "mk", "mo")
 
 
 @query("select page_id, link from (select page_id, link, row_number() over (partition by page_id, regexp_replace(link, '.*/', '') order by pos) as r from (select page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) as link, unnest(range(len(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)))) as pos from pages)) where r = 1")
@@ -329,9 +302,9 @@ def stats_flush(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("total"), low(30).alias("skipped"), F.round(100.0 * low(30) / F.count("*"), 1).alias("saved_pct"), (low(50) * 2 >= F.count("*")).alias("alert"))
 
 
-@query("select user_id, string_agg(event_type, '>' order by ts, event_id) as log from events where event_type in ('view', 'purchase') group by user_id")
+@query("select user_id, string_agg(event_type, '>' order by ts, event_id) as log from events group by user_id")
 def append_log(spark, d):
-    rows = table(spark, d, "events").filter("event_type in ('view', 'purchase')")
+    rows = table(spark, d, "events")
     log = F.array_sort(F.collect_list(F.struct("ts", "event_id", "event_type")))
     return rows.groupBy("user_id").agg(F.array_join(F.transform(log, lambda x: x["event_type"]), ">").alias("log"))
 

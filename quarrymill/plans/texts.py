@@ -117,7 +117,7 @@ def lang_detect(spark, d):
     return table(spark, d, "documents").select("doc_id", T.language_by_stop_words(F.col("text")).alias("lang"))
 
 
-@query("select doc_id, coalesce(regexp_matches(lower(text), 'license|copyright'), false) as has_license, coalesce(regexp_matches(lower(text), '(?s)\\b(?:sans|no|not|without|ohne|senza|sin|kein|keine)\\b.{0,30}license'), false) as negated, coalesce(regexp_matches(lower(text), 'su richiesta|poa|price on application|preis auf anfrage|prix sur demande|on request|sur demande'), false) as on_request from documents")
+@query("select doc_id, coalesce(regexp_matches(lower(text), 'license|copyright'), false) as has_license, coalesce(regexp_matches(lower(text), '(?s)(?:sans.{0,26}|pas de.{0,24}|pas d''.{0,24}|aucun.{0,25}|aucune.{0,24}|manque.{0,24}|manquant.{0,22}|manquante.{0,21}|absent.{0,24}|absente.{0,23}|no .{0,27}|without.{0,23}|non .{0,26}|n''est pas.{0,21})license'), false) as negated, coalesce(regexp_matches(lower(text), 'su richiesta|poa|price on application|preis auf anfrage|prix sur demande|on request|sur demande'), false) as on_request from documents")
 def feature_flags(spark, d):
     t = F.col("text")
     return table(spark, d, "documents").select("doc_id", T.has_any(t, ["license", "copyright"]).alias("has_license"), T.near_negation(t, "license").alias("negated"), T.on_request(t).alias("on_request"))
@@ -160,9 +160,9 @@ def json_path(spark, d):
     return table(spark, d, "events").select("event_id", k.alias("k")).filter("k >= 50").orderBy(F.desc("k"), "event_id")
 
 
-@query("select event_type, string_agg(k, ',' order by k) as keys from (select distinct event_type, props->>'k' as k from events where value > 95) group by event_type")
+@query("select event_type, string_agg(k, ',' order by k) as keys from (select distinct event_type, props->>'k' as k from events) group by event_type")
 def map_agg(spark, d):
-    rows = table(spark, d, "events").filter("value > 95").select("event_type", F.get_json_object("props", "$.k").alias("k")).distinct()
+    rows = table(spark, d, "events").select("event_type", F.get_json_object("props", "$.k").alias("k")).distinct()
     counted = rows.groupBy("event_type").agg(F.map_from_entries(F.collect_list(F.struct("k", F.lit(1)))).alias("m"))
     return counted.select("event_type", F.array_join(F.array_sort(F.map_keys("m")), ",").alias("keys"))
 
