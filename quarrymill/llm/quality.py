@@ -107,7 +107,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, bi
     """One row for each row of docs: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     kept, log_ratio.
 
-    labels (doc_id, quality): texts with quality 1 are trusted. log_ratio is the mean, over a text's words and word
+    labels (doc_id, quality): texts with quality 1 are trusted; an id that is labelled both 1 and 0 is. log_ratio is the mean, over a text's words and word
     pairs, of log p(trusted) - log p(raw); kept if the base rules hold and it is at least `threshold`. Null and empty
     texts have no words and fail. Null ids and repeated rows are kept as they are; a repeated label row counts once.
     An empty table gives an empty result, no trusted text a ratio of 0. Other columns are not looked at.

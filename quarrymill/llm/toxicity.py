@@ -33,6 +33,9 @@ CANDIDATES = 8
 #: Labelled texts of each class from which the network learns, at most, and the longest of them in bytes.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 1500, 3000, 60_000
 PREDICT_AT = 0.7
+#: A toxic text that is missed weighs as much as so many clean ones that are taken for one: scores are chances under that
+#: weight, so that PREDICT_AT is where it says.
+MISSED = 9
 #: What is worked on at once, for memory's sake.
 WORDS_AT_ONCE, WINDOWS_AT_ONCE, TEXTS_AT_ONCE = 50_000, 5_000, 64
 
@@ -367,12 +370,15 @@ def learn(found: list[bytes], of: np.ndarray, toxic: np.ndarray, half: np.ndarra
 
 
 def calibrate(x: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A logistic regression on the texts' four numbers: weights, and the numbers' means and spreads."""
+    """A logistic regression on the texts' four numbers: weights, of which the last has the weight of a missed text, and the
+    numbers' means and spreads. Without texts of both classes there is nothing to weigh."""
     middle, scale = (x.mean(0), x.std(0) + 1e-3) if len(x) else (np.zeros(4), np.ones(4))
     x1, final = np.concatenate([(x - middle) / scale, np.ones((len(x), 1))], 1), np.zeros(5)
     for _ in range(300):
         p = _sigmoid(x1 @ final)
         final -= np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 + 0.5 * np.eye(5), x1.T @ (p - toxic) + 0.5 * final) * 0.5
+    if 0 < toxic.sum() < len(toxic):
+        final[-1] += np.log(MISSED)
     return final, middle, scale
 
 

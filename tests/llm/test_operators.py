@@ -313,3 +313,10 @@ def test_held_out_toxicity_and_language(spark):
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "lang").collect()}
     rows = [r for r in queries.op5_langid(spark, SMALL).collect() if r.held_out]
     assert sum(r.lang_pred == lang[r.doc_id] for r in rows) / len(rows) > 0.98
+
+
+def test_quality_of_ids_with_both_labels(spark):
+    """An id that is labelled good and bad is trusted, once."""
+    docs = spark.createDataFrame([(k, f"word{k} and more words of the text number {k} " * 5) for k in range(6)], "doc_id long, text string")
+    told = lambda rows: sorted((r.doc_id, round(r.log_ratio, 9)) for r in quality.quality(docs, spark.createDataFrame(rows, "doc_id long, quality int")).collect())
+    assert told([(4, 1), (4, 0), (4, 1), (2, 0)]) == told([(4, 1)]) != told([(2, 1)])

@@ -1,5 +1,6 @@
 """The network's gradients, also of its inputs; windows; and that training does not depend on the order of rows."""
 
+import math
 import random
 
 import numpy as np
@@ -95,3 +96,47 @@ def test_windows_that_look_worst_come_first():
     words[100] = "bad"
     found = toxicity.suspects([" ".join(words).encode(), b""], odds, known, 3)
     assert len(found[0]) == 3 and b"bad" in found[0][0] and b"bad" in found[0][1] and b"bad" not in found[0][2] and found[1] == []
+
+
+def test_forward_pass_like_a_plain_one():
+    """Word by word and number by number, for windows of different lengths."""
+    rng, net = np.random.default_rng(3), toxicity.Network(4)
+    table = rng.normal(0, 1, (9, net.p["xf"].shape[0])).astype(np.float32)
+    windows = [[1, 2, 3, 4, 5], [8], [0, 0, 7], [6, 5, 4, 3]]
+    index, mask = np.zeros((5, len(windows)), np.int64), np.zeros((5, len(windows)), np.bool_)
+    for k, w in enumerate(windows):
+        index[: len(w), k], mask[: len(w), k] = w, True
+    n = toxicity.HIDDEN
+    sig = lambda x: 1 / (1 + math.exp(-x))
+
+    def read(way, words):
+        h, out = [0.0] * n, []
+        for w in words:
+            g = [sum(float(table[w][i]) * float(net.p[f"x{way}"][i][j]) for i in range(table.shape[1])) + float(net.p[f"c{way}"][j]) for j in range(3 * n)]
+            a = [sum(h[i] * float(net.p[f"h{way}"][i][j]) for i in range(n)) for j in range(3 * n)]
+            z, r = [sig(g[j] + a[j]) for j in range(n)], [sig(g[n + j] + a[n + j]) for j in range(n)]
+            c = [math.tanh(g[2 * n + j] + r[j] * a[2 * n + j]) for j in range(n)]
+            h = [c[j] + z[j] * (h[j] - c[j]) for j in range(n)]
+            out.append(h)
+        return out
+
+    want = []
+    for words in windows:
+        states = [f + b for f, b in zip(read("f", words), read("b", words[::-1])[::-1], strict=True)]
+        scores = []
+        for h in states:
+            a = [math.tanh(sum(h[i] * float(net.p["wa"][i][j]) for i in range(2 * n))) for j in range(net.p["wa"].shape[1])]
+            scores.append(math.exp(sum(x * float(v) for x, v in zip(a, net.p["va"][:, 0], strict=True))))
+        pooled = [sum(s * h[i] for s, h in zip(scores, states, strict=True)) / sum(scores) for i in range(2 * n)]
+        want.append(sum(x * float(o) for x, o in zip(pooled, net.p["out"][:, 0], strict=True)) + float(net.p["bias"][0]))
+    assert net.logits(table, index, mask) == pytest.approx(want, abs=1e-4)
+
+
+def test_a_missed_text_weighs_more():
+    rng = np.random.default_rng(1)
+    toxic = np.repeat([0.0, 1.0], 200)
+    x = rng.normal(0, 1, (400, 4)) + toxic[:, None] * 0.7
+    final, middle, scale = toxicity.calibrate(x, toxic)
+    p = 1 / (1 + np.exp(-((x - middle) / scale @ final[:-1] + final[-1] - np.log(toxicity.MISSED))))
+    assert p.mean() == pytest.approx(0.5, abs=0.02)
+    assert (toxicity.calibrate(np.zeros((0, 4)), np.zeros(0))[0] == 0).all() and toxicity.calibrate(x, toxic * 0)[0][-1] < 0
