@@ -3,6 +3,7 @@
 import datetime
 import json
 import math
+import zlib
 
 import duckdb
 import pytest
@@ -180,3 +181,22 @@ def test_longest_runs(spark):
     rng.shuffle(rows)
     got = {r.k: r.longest for r in A.longest_runs(spark.createDataFrame(rows, "k int, i int, bad boolean"), ["k"], ["i"], F.col("bad")).collect()}
     assert got == want
+
+
+def test_samples_by_their_properties(spark):
+    """Each stratum has its number of rows or all it has, the same on a second run and for any order of rows; other seeds
+    give other rows; shards are disjoint and make up the table."""
+    orders = spark.read.parquet(f"{DATA}/orders.parquet").select("o_orderkey", "o_totalprice")
+    stratum = F.when(F.col("o_totalprice") >= 100_000, "high").when(F.col("o_totalprice") >= 3_000, "low").otherwise("few")
+    take = lambda df, n, seed: {(r.stratum, r.o_orderkey) for r in C.stratified(df, stratum, "o_orderkey", n, seed).collect()}
+    size = {r.s: r["count"] for r in orders.groupBy(stratum.alias("s")).count().collect()}
+    got = take(orders, 50, 7)
+    assert {s: sum(x == s for x, _ in got) for s in size} == {s: min(50, n) for s, n in size.items()}
+    assert got == take(orders.repartition(7), 50, 7) == take(orders.orderBy(F.desc("o_orderkey")), 50, 7)
+    assert got != take(orders, 50, 8) and take(orders, 20, 7) < got
+    keys = {r.o_orderkey: r.s for r in orders.select("o_orderkey", stratum.alias("s")).collect()}
+    assert all(keys[k] == s for s, k in got)
+    names = spark.read.parquet(f"{DATA}/supplier.parquet").union(spark.read.parquet(f"{DATA}/supplier.parquet")).select("s_suppkey", "s_name")
+    parts = [[r.s_name for r in C.shard(names, "s_name", 4, k).collect()] for k in range(4)]
+    assert sorted(x for p in parts for x in p) == sorted(r.s_name for r in names.collect())
+    assert all(zlib.crc32(x.encode()) % 4 == k for k, p in enumerate(parts) for x in p)
