@@ -77,7 +77,8 @@ def hits(docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: int = GRAM
     """docs: doc_id, mark, text; items: item_id, text. Returns doc_id, mark, n_words, item_id, pos, len.
 
     One row for each row of docs, with n_words alone; and, without it, one for each place where a window of an item
-    occurs in a document. So the texts are read and cut into words once.
+    occurs in a document. So the texts are read and cut into words once. Rows with n_words have the text's mark as key,
+    and a length that no window has, so that a shuffle deals them out like others.
     """
     doc = docs.select("doc_id", "mark", _hashed(words(F.col("text"))).alias("h"))
     item = items.select("item_id", _hashed(words(F.col("text"))).alias("h")).withColumn("n", F.size("h"))
@@ -85,7 +86,7 @@ def hits(docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: int = GRAM
     lengths = sorted(r.n for r in item.filter((F.col("n") > 0) & (F.col("n") < width)).select("n").distinct().collect())
 
     def rows(h: Column) -> Column:
-        own = F.struct(F.size(h).alias("pos"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("array<bigint>").alias("around"), F.lit(None).cast("int").alias("n"))
+        own = F.struct(F.size(h).alias("pos"), F.xxhash64("doc_id", "mark").alias("key"), F.lit(None).cast("array<bigint>").alias("around"), F.lit(-1).alias("n"))
         return F.concat(*[F.coalesce(x, F.array()) for x in (_kept(h, 0, width, gram), *[_whole(h, n) for n in lengths])], F.array(own))
 
     left = doc.select("doc_id", "mark", F.explode(let(F.col("h"), rows)).alias("x")).select("doc_id", "mark", "x.*")
@@ -93,11 +94,11 @@ def hits(docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: int = GRAM
     short = item.filter((F.col("n") > 0) & (F.col("n") < width)).select("item_id", F.xxhash64("h").alias("key"), "n", F.col("h").alias("other"))
     right = long.union(short).distinct()
     windows = F.filter(F.sequence(F.lit(0), F.lit(width - gram)), lambda s: F.slice("around", s + 1, F.lit(width)) == F.slice("other", s + 1, F.lit(width)))
-    places = F.when(F.col("n").isNull(), F.array(F.lit(0))).when(F.col("n") == 0, windows).when(F.col("around") == F.col("other"), F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
-    joined = _joined(left, right, "left").filter(F.col("n").isNull() | F.col("item_id").isNotNull())
+    places = F.when(F.col("n") < 0, F.array(F.lit(0))).when(F.col("n") == 0, windows).when(F.col("around") == F.col("other"), F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    joined = _joined(left, right, "left").filter((F.col("n") < 0) | F.col("item_id").isNotNull())
     found = joined.select("doc_id", "mark", "item_id", "pos", "n", F.explode(places).alias("s"))
     return found.select(
-        "doc_id", "mark", F.when(F.col("n").isNull(), F.col("pos")).alias("n_words"), "item_id",
+        "doc_id", "mark", F.when(F.col("n") < 0, F.col("pos")).alias("n_words"), "item_id",
         F.when(F.col("n") == 0, F.col("pos") + F.col("s") - (width - gram)).when(F.col("n") > 0, F.col("pos")).alias("pos"), F.when(F.col("n") == 0, width).otherwise(F.col("n")).alias("len"),
     )
 
