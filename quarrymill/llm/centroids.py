@@ -2,8 +2,8 @@
 
 Each vector keeps its nearest centroids in order, an upper bound of its distance to the first, a lower bound for each of the
 next ones, and one lower bound for all the rest. When centroids have moved, the bounds give way by as much. If the upper
-bound is below all lower ones, the vector stays where it is; else the distances of the first 1, 2, 3, ... are computed anew,
-as few as make sure that no other is nearer or as near; and if none of these does, all are. Bounds are rounded away from
+bound, or else the distance itself, is below all lower ones, the vector stays where it is; else the distances of the next 1,
+2, 3, ... are computed anew, as few as make sure that no other is nearer or as near; and if none does, all are. Bounds are rounded away from
 what they bound, and only whole numbers are compared for what is returned, so results are exact.
 """
 
@@ -71,26 +71,34 @@ def assign(v: np.ndarray, c: np.ndarray, moved: np.ndarray, near: np.ndarray, bo
     bounds[:, 0] += moved[near[:, 0]]
     bounds[:, 1 : kept + 1] -= moved[near[:, 1:]]
     bounds[:, kept + 1 :] -= moved.max(initial=0)
-    open_ = np.arange(len(v))
-    for z in range(kept + 1):
-        # what is not among the first z + 1 is farther than all bounds from z + 1 on
-        if z == 0:
-            open_ = open_[~_less(bounds[open_, 0], bounds[open_, 1:].min(axis=1))]
-        if not len(open_):
-            break
-        own = near[open_, : z + 1]
-        d = squared(v[open_], c[own])
-        computed[open_] += 1
-        # ties go to the smaller number
-        order = np.lexsort((own, d), axis=1)
-        own, d = np.take_along_axis(own, order, 1), np.take_along_axis(d, order, 1)
-        near[open_, : z + 1] = own
-        bounds[open_, 0] = _up(d[:, 0])
-        bounds[open_, 1 : z + 1] = _down(d[:, 1:])
-        open_ = open_[~_less(bounds[open_, 0], bounds[open_, z + 1 :].min(axis=1))]
-    if len(open_):
-        near[open_], bounds[open_] = _full(v[open_], c, kept)
-        computed[open_] += len(c)
+    open_ = np.flatnonzero(~_less(bounds[:, 0], bounds[:, 1:].min(axis=1)))
+    if not len(open_):
+        return near, bounds, computed
+    # the upper bound made exact is often enough
+    d0 = squared(v[open_], c[near[open_, :1]])
+    bounds[open_, 0] = _up(d0[:, 0])
+    computed[open_] += 1
+    # what is not among the first z + 1 is farther than all bounds from z + 1 on
+    beyond = np.minimum.accumulate(bounds[open_, 1:][:, ::-1], axis=1)[:, ::-1]
+    sure = _less(bounds[open_, :1], beyond)
+    fits = np.where(sure.any(axis=1), sure.argmax(axis=1), kept + 1)
+    for z in range(1, kept + 1):
+        at = np.flatnonzero(fits == z)
+        if len(at):
+            rows = open_[at]
+            own = near[rows, : z + 1]
+            d = np.concatenate([d0[at], squared(v[rows], c[own[:, 1:]])], axis=1)
+            # ties go to the smaller number
+            order = np.lexsort((own, d), axis=1)
+            near[rows, : z + 1] = np.take_along_axis(own, order, 1)
+            d = np.take_along_axis(d, order, 1)
+            bounds[rows, 0] = _up(d[:, 0])
+            bounds[rows, 1 : z + 1] = _down(d[:, 1:])
+            computed[rows] += z
+    rest = open_[fits > kept]
+    if len(rest):
+        near[rest], bounds[rest] = _full(v[rest], c, kept)
+        computed[rest] += len(c)
     return near, bounds, computed
 
 
