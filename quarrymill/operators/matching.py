@@ -99,6 +99,33 @@ def interval(rows: DataFrame, dim: DataFrame, id_col: str, brand: str, words: st
     return rows.join(best, id_col, "left")
 
 
+def generation(rows: DataFrame, generations: DataFrame, id_col: str, make: str, words: str, year: str) -> DataFrame:
+    """rows (a number of its own in id_col; the model's words as an array; a year or null) with family and code.
+
+    generations: make, family, code (`base` or `base.phase`), y0, y1 and pos, their order. The family is the one of most words
+    of those whose words the model has, before all others if one of its generations covers the year. A base that is one of
+    the model's words decides: by the year among its phases, else the base itself, if it has several. Else the year decides,
+    else a family's only code. Pairs are made by a family's rarest word; a family's generations are a short array.
+    """
+    names = generations.withColumn("_fw", F.filter(F.split(F.lower("family"), "[^a-z0-9]+"), lambda w: w != "")).filter(F.size("_fw") > 0)
+    families = names.groupBy(F.col("make").alias("_b"), "family", "_fw").agg(F.array_sort(F.collect_list(F.struct("pos", "code", "y0", "y1"))).alias("_all"), F.min("pos").alias("_first"))
+    known = _anchored(families, "_b", "_fw")
+    r = rows.select(id_col, F.col(make).alias("_b"), F.col(words).alias("_rw"), F.col(year).alias("_y"), F.explode(F.array_distinct(words)).alias("_anchor"))
+    pairs = r.join(known, ["_b", "_anchor"]).filter(F.size(F.array_except("_fw", "_rw")) == 0)
+    covers = lambda e: F.coalesce(F.col("_y").between(e["y0"], e["y1"]), F.lit(False))
+    order = F.struct(~F.exists("_all", covers), -F.size("_fw"), "_first")
+    best = pairs.groupBy(id_col).agg(F.min_by(F.struct("family", "_all", "_rw", "_y"), order).alias("_x")).select(id_col, "_x.*")
+    base = lambda e: F.split_part(e["code"], F.lit("."), F.lit(1))
+    said = F.filter("_all", lambda e: F.array_contains("_rw", base(e)) & (base(e) != "g"))
+    named = F.array_min(F.transform(said, lambda e: F.struct((-F.length(base(e))).alias("n"), e["pos"].alias("pos"), base(e).alias("base"))))["base"]
+    told = best.withColumn("_base", named)
+    phases = F.filter("_all", lambda e: base(e) == F.col("_base"))
+    by_year = lambda among: F.get(F.filter(among, covers), F.lit(0))["code"]
+    only = F.when(F.size(F.array_distinct(F.transform("_all", lambda e: e["code"]))) == 1, F.get("_all", F.lit(0))["code"])
+    code = F.when(F.col("_base").isNotNull(), F.coalesce(by_year(phases), F.when(F.size(phases) == 1, F.get(phases, F.lit(0))["code"]).otherwise(F.col("_base")))).otherwise(F.coalesce(by_year(F.col("_all")), only))
+    return rows.join(told.select(id_col, "family", code.alias("code")), id_col, "left")
+
+
 def multi_key(rows: DataFrame, dim: DataFrame, key: Column, d_keys: Sequence[Column], d_id: str) -> DataFrame:
     """Joins by any of several keys of a dimension; where rows of it share a key, the least id has it."""
     keyed = dim.select(F.col(d_id), F.explode(F.array_compact(F.array(*d_keys))).alias("_key")).groupBy("_key").agg(F.min(d_id).alias(d_id))

@@ -8,6 +8,7 @@ from quarrymill.functions import models
 from quarrymill.functions.automaton import features_shown
 from quarrymill.functions.patterns import NEGATIONS, PATTERNS
 from quarrymill.operators import known
+from quarrymill.operators import matching as M
 from quarrymill.plans.listings import table
 from quarrymill.sources import maps, named
 from quarrymill.sources.selectors import selected
@@ -154,3 +155,25 @@ def model_rules(spark, d):
     name = F.concat((key * 7 % 1000).cast("string"), F.lit(" "), pick(_WORDS), F.col("p_size").cast("string"), F.lit(" "), F.col("p_name"), F.when(F.col("p_size") % 9 == 0, " limited").otherwise(""))
     rows = table(spark, d, "part").select("p_partkey", "p_size", F.upper(pick(models.MAKES)).alias("mk"), name.alias("mo"))
     return rows.select("p_partkey", models.model_rules(F.col("mk"), F.col("mo"), 1930 + F.col("p_size") * 2).alias("x")).select("p_partkey", "x.*")
+
+
+@query("""with g as (
+  select p_brand as b, case when p_size % 2 = 0 then split_part(p_name, ' ', 1) else p_name end as fam, p_partkey as pos, 1992 + p_size % 6 as y0, 1993 + p_size % 9 as y1,
+    case when p_size % 3 = 0 then split_part(p_name, ' ', 2) || '.' || (p_size % 2)::varchar else 'k' || (p_size % 5)::varchar end as code from part),
+rows as (select p_partkey as id, p_brand as mk, case when p_partkey % 11 <> 0 then (1990 + p_partkey % 15)::int end as yr, string_split(p_name, ' ') as w from part),
+cand as (select id, fam, coalesce(bool_or(yr between y0 and y1), false) as covers, len(string_split(fam, ' ')) as n, min(pos) as first from rows join g on b = mk and list_has_all(w, string_split(fam, ' ')) group by id, fam),
+best as (select id, fam from cand qualify row_number() over (partition by id order by covers desc, n desc, first) = 1),
+e as (select r.id, r.yr, g.fam, g.code, g.pos, g.y0, g.y1, split_part(code, '.', 1) as base, list_contains(w, split_part(code, '.', 1)) as said from best join rows r using (id) join g on b = mk and g.fam = best.fam),
+named as (select id, arg_min(base, {'n': -length(base), 'p': pos}) as b from e where said group by id),
+told as (
+  select e.id, e.fam, any_value(b) as b, arg_min(code, pos) filter (base = b and yr between y0 and y1) as c1, count(*) filter (base = b) as n1, min(code) filter (base = b) as o1,
+    arg_min(code, pos) filter (yr between y0 and y1) as c2, count(distinct code) as n2, min(code) as o2 from e left join named using (id) group by e.id, e.fam)
+select id, fam as family, case when b is not null then coalesce(c1, case when n1 = 1 then o1 else b end) else coalesce(c2, case when n2 = 1 then o2 end) end as code from rows left join told using (id)""")
+def generations(spark, d):
+    """Each part's family and generation in a year, by a table of generations that is made of the parts."""
+    part, size = table(spark, d, "part"), F.col("p_size")
+    word = lambda n: F.split_part("p_name", F.lit(" "), F.lit(n))
+    code = F.when(size % 3 == 0, F.concat(word(2), F.lit("."), size % 2)).otherwise(F.concat(F.lit("k"), size % 5))
+    gens = part.select(F.col("p_brand").alias("make"), F.when(size % 2 == 0, word(1)).otherwise(F.col("p_name")).alias("family"), code.alias("code"), (1992 + size % 6).alias("y0"), (1993 + size % 9).alias("y1"), F.col("p_partkey").alias("pos"))
+    rows = part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("mk"), F.split("p_name", " ").alias("w"), F.when(F.col("p_partkey") % 11 != 0, 1990 + F.col("p_partkey") % 15).alias("yr"))
+    return M.generation(rows, gens, "id", "mk", "w", "yr").select("id", "family", "code")

@@ -200,3 +200,27 @@ def test_samples_by_their_properties(spark):
     parts = [[r.s_name for r in C.shard(names, "s_name", 4, k).collect()] for k in range(4)]
     assert sorted(x for p in parts for x in p) == sorted(r.s_name for r in names.collect())
     assert all(zlib.crc32(x.encode()) % 4 == k for k, p in enumerate(parts) for x in p)
+
+
+def test_generations(spark):
+    """Families of most words, those that cover the year first; bases in the name before years; one code alone."""
+    gens = [
+        ("p", "911", "964", 1989, 1994), ("p", "911", "997.1", 2004, 2008), ("p", "911", "997.2", 2009, 2012), ("p", "911", "992", 2019, 2030), ("m", "c", "w205", 2014, 2021), ("m", "300 d", "w123", 1976, 1985), ("m", "c amg", "w204", 2008, 2014),
+        ("l", "espada", "s1", 1968, 1978), ("m", "g", "g.1", 1979, 2000), ("m", "g", "g.2", 2001, 2018),
+    ]
+    cars = [
+        (1, "p", "911 carrera", 1990, "911", "964"), (2, "p", "911 997 turbo", 2010, "911", "997.2"), (3, "p", "911 997 turbo", None, "911", "997"), (4, "p", "911 964", 2020, "911", "964"), (5, "p", "911", 1985, "911", None), (6, "m", "c 300 d", 2020, "c", "w205"),
+        (7, "m", "300 d", 2020, "300 d", "w123"), (8, "m", "c amg", None, "c amg", "w204"), (9, "l", "espada", None, "espada", "s1"), (10, "m", "g 500", 2005, "g", "g.2"), (11, "x", "911", 1990, None, None), (12, "m", "", 1990, None, None), (13, "m", "c 300 d", None, "300 d", "w123"),
+    ]
+    dim = spark.createDataFrame([(*g, k) for k, g in enumerate(gens)], "make string, family string, code string, y0 int, y1 int, pos int")
+    rows = spark.createDataFrame([(k, b, mo.split(), y) for k, b, mo, y, _, _ in cars], "id int, mk string, w array<string>, yr int")
+    got = {r.id: (r.family, r.code) for r in M.generation(rows, dim, "id", "mk", "w", "yr").collect()}
+    assert got == {k: (fam, code) for k, _, _, _, fam, code in cars}
+
+
+def test_make_and_model_of_titles(spark):
+    titles = ["Audi A4 Avant", "AUDI  A4", "Land Rover Defender", "land", "", None, "Mercedes-Benz C 63 AMG", "zastava 750", "Alfa Romeo Giulia"]
+    makes = spark.createDataFrame([("audi", "Audi"), ("land rover", "Land Rover"), ("land", "Land"), ("mercedes-benz", "Mercedes-Benz"), ("alfa romeo", "Alfa Romeo")], "alias string, make string")
+    rows = spark.createDataFrame(list(enumerate(titles)), "k int, t string")
+    got = {r.k: (r.mk, r.mo) for r in M.make_model(rows, "t", makes).collect()}
+    assert [got[k] for k in range(9)] == [("Audi", "A4 Avant"), ("Audi", "A4"), ("Land Rover", "Defender"), ("Land", ""), ("Inconnue", ""), ("Inconnue", ""), ("Mercedes-AMG", "C 63 AMG"), ("Zastava", "750"), ("Alfa Romeo", "Giulia")]
