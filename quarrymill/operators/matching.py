@@ -21,11 +21,13 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: i
 def greedy(rows: DataFrame, ref: DataFrame, id_col: str, make: str, text: str, ref_make: str, ref_model: str) -> DataFrame:
     """For each row the longest reference model that its text holds as whole words, of equal ones the first by name.
 
-    A row's text has at most n(n+1)/2 runs of words, so the runs are joined with the models by equality: no pair of a
-    row and a model is made that does not match, however many models a make has.
+    A row's text has, from each of its words on, as many runs of words as the longest model has words, so the runs are
+    joined with the models by equality: no pair of a row and a model is made that does not match, however many models a
+    make has, and a long text has runs in proportion to its length.
     """
     words = F.split(F.col(text), " ")
-    runs = F.flatten(F.transform(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.transform(F.sequence(F.lit(1), F.size(words) - i), lambda n: F.array_join(F.slice(words, i + 1, n), " "))))
+    most = ref.agg(F.coalesce(F.max(F.size(F.split(F.col(ref_model), " "))), F.lit(1))).first()[0]
+    runs = F.flatten(F.transform(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.size(words) - i, F.lit(most))), lambda n: F.array_join(F.slice(words, i + 1, n), " "))))
     parts = rows.select(id_col, F.col(make).alias("_mk"), F.explode(F.array_distinct(runs)).alias("_run"))
     models = ref.select(F.col(ref_make).alias("_mk"), F.col(ref_model).alias("_run")).distinct()
     found = parts.join(models, ["_mk", "_run"]).groupBy(id_col).agg(F.min_by("_run", F.struct(-F.length("_run"), F.col("_run"))).alias("matched"))
