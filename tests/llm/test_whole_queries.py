@@ -105,10 +105,10 @@ def test_against_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "pages", "embeddings"):
         con.sql(f"create view {t} as select * from '{DATA}/{t}.parquet'")
     df = queries.queries()[name](spark, DATA)
     cols = sorted(df.columns)
-    want = con.sql(queries.oracle_sql()[name]).df()
+    want = con.sql(queries.oracle_sql()[name])
     assert cols == sorted(want.columns)
-    assert sorted(map(str, df.select(*cols).toPandas().itertuples(index=False, name=None))) == sorted(map(str, want[cols].itertuples(index=False, name=None)))
+    assert sorted(map(repr, map(tuple, df.select(*cols).collect()))) == sorted(map(repr, want.select(*[f'"{c}"' for c in cols]).fetchall()))
