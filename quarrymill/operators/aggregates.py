@@ -88,9 +88,11 @@ def exact_percentiles(df: DataFrame, column: str, shares: Sequence[float]) -> li
 
 
 def snapshot(df: DataFrame, price: str, fresh: Column, source: str, country: str, deal: Column) -> DataFrame:
-    """One row of market figures. Percentiles are exact; different sources and countries are counted by partial sums."""
+    """One row of market figures. What they need of df is made once; percentiles are exact; different sources and countries
+    are counted by partial sums."""
+    df = stored(df.select(price, F.col(source).alias("_source"), F.col(country).alias("_country"), fresh.alias("_fresh"), deal.alias("_deal")), "snapshot")
     p25, median, p75 = exact_percentiles(df, price, [0.25, 0.5, 0.75])
-    one = df.agg(F.min(price).alias("lo"), F.max(price).alias("hi"), F.count("*").alias("n_total"), F.count_if(fresh).alias("n_fresh"), F.countDistinct(source).alias("n_sources"), F.countDistinct(country).alias("n_countries"), F.count_if(deal).alias("n_deals"))
+    one = df.agg(F.min(price).alias("lo"), F.max(price).alias("hi"), F.count("*").alias("n_total"), F.count_if("_fresh").alias("n_fresh"), F.countDistinct("_source").alias("n_sources"), F.countDistinct("_country").alias("n_countries"), F.count_if("_deal").alias("n_deals"))
     at = lambda c: F.rint(c).cast("long")
     told = lambda x: at(F.lit(x).cast("double"))
     return one.select(told(median).alias("median_px"), told(p25).alias("p25"), told(p75).alias("p75"), at(F.col("lo")).alias("min_px"), at(F.col("hi")).alias("max_px"), "n_total", "n_fresh", "n_sources", "n_countries", "n_deals")
