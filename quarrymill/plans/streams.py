@@ -9,7 +9,7 @@ from quarrymill.operators.lifecycle import upsert
 from quarrymill.operators.quantile_store import QuantileStore
 from quarrymill.plans.listings import LISTING, QUARTILES, listing, table
 from quarrymill.sources.parted import Parted
-from quarrymill.sources.shared import shared_folder
+from quarrymill.sources.shared import shared_folder, stored
 from quarrymill.streaming import machines
 from quarrymill.streaming.jobs import read
 
@@ -116,7 +116,7 @@ def breaker_stream(spark, d):
 @query(LISTING + f", kept as (select * from listing where id % 3 <> 0 or id % 2 = 0) select mk, typ, count(*) as n, {QUARTILES}, round_even(min(px), 0)::bigint as min_px, round_even(max(px), 0)::bigint as max_px from kept group by mk, typ")
 def segment_quantiles_kept(spark, d):
     """Quartiles of segments after three batches of changes: some rows come, others, and some of both go."""
-    rows = listing(spark, d).select("id", "mk", "typ", F.col("px").alias("price"))
+    rows = stored(listing(spark, d).select("id", "mk", "typ", F.col("px").alias("price")), "changes")
     store = QuantileStore(spark, f"{shared_folder(spark, 'quantiles')}/store", ["mk", "typ"])
     came = lambda rows, n: rows.select("mk", "typ", "price", F.lit(n).alias("n"))
     store.change(came(rows.filter("id % 2 = 0"), 1), 0)
