@@ -34,17 +34,51 @@ def _text(*parts) -> Column:
 
 C = F.col
 
+
+def _pick(values: list[str | None], key: str = "p_partkey") -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (C(key) % len(values) + 1).cast("int"))
+
+
+def _pick_sql(values: list[str | None], key: str = "p_partkey") -> str:
+    listed = "[" + ", ".join("null" if v is None else "'" + v.replace("'", "''") + "'" for v in values) + "]"
+    return f"{listed}[({key} % {len(values)} + 1)::int]"
+
+
+def _filled(values: list[str | None], key: str = "p_partkey", name: str = "p_name") -> Column:
+    """One of some texts by a row's number, with the row's name for {}."""
+    return F.replace(_pick(values, key), F.lit("{}"), C(name))
+
+
+def _filled_sql(values: list[str | None], key: str = "p_partkey", name: str = "p_name") -> str:
+    return f"replace({_pick_sql(values, key)}, '{{}}', {name})"
+
+
 # ---- makes, models, names ----
 
 
-@query("select c_custkey, n_name as mk, c_name || case when c_custkey % 3 = 0 then ' ' || c_mktsegment else '' end as mo from customer join nation on c_nationkey = n_nationkey")
+# Makes besides nations; titles of parts with their makes and models.
+_MAKES = {"mercedes-benz": "Mercedes-Benz", "mercedes": "Mercedes-Benz", "alfa romeo": "Alfa Romeo", "land rover": "Land Rover", "maserati": "Maserati", "audi": "Audi", "ferrari": "Ferrari"}
+_TITLES = [
+    ("Audi {}", "Audi", "{}"), ("Maserati{} 3.0 V6", "Maserati", "{} 3.0 V6"), ("AUDI  {}", "Audi", "{}"), ("Mercedes GLE {}", "Mercedes-Benz", "GLE {}"), ("Land Rover {}", "Land Rover", "{}"), ("", T.UNKNOWN_MAKE, ""), (None, T.UNKNOWN_MAKE, ""),
+    ("Mercedes-Benz C 63 AMG {}", "Mercedes-AMG", "C 63 AMG {}"), ("Mercedes C 220 AMG Line {}", "Mercedes-Benz", "C 220 AMG Line {}"), ("alfa romeoX {}", "Alfa", "romeoX {}"), ("alfa romeo-{}", "Alfa Romeo", "{}"), ("zastava {}", "Zastava", "{}"), ("Mercedes-Benz", "Mercedes-Benz", ""),
+]
+_TITLED, _TITLE_MAKES, _TITLE_MODELS = map(list, zip(*_TITLES, strict=True))
+
+
+@query(
+    "select 'customer' as kind, c_custkey as key, n_name as mk, c_name || case when c_custkey % 3 = 0 then ' ' || c_mktsegment else '' end as mo from customer join nation on c_nationkey = n_nationkey"
+    f" union all select 'part', p_partkey, {_pick_sql(_TITLE_MAKES)}, {_filled_sql(_TITLE_MODELS)} from part"
+)
 def make_model_titles(spark, d):
-    """Nations, of which there are 25, are the makes; titles hold them in any case and with more spaces."""
+    """Customers under nations, of which there are 25, in any case and with more spaces; parts under makes of one word and of
+    several, glued to the model, unknown or missing."""
     nation = table(spark, d, "nation").select("n_nationkey", "n_name")
-    makes = {r.n_name.lower(): r.n_name for r in nation.collect()}
+    makes = _MAKES | {r.n_name.lower(): r.n_name for r in nation.collect()}
     rows = table(spark, d, "customer").join(F.broadcast(nation), C("c_nationkey") == C("n_nationkey"))
     title = _text(F.when(C("c_custkey") % 2 == 0, F.lower("n_name")).otherwise(C("n_name")), "  ", C("c_name"), F.when(C("c_custkey") % 3 == 0, F.concat(F.lit(" "), "c_mktsegment")).otherwise(""))
-    return rows.select("c_custkey", T.make_model(title, makes).alias("x")).select("c_custkey", "x.mk", "x.mo")
+    of_customers = rows.select(F.lit("customer").alias("kind"), C("c_custkey").alias("key"), title.alias("title"))
+    of_parts = table(spark, d, "part").select(F.lit("part").alias("kind"), C("p_partkey").alias("key"), _filled(_TITLED).alias("title"))
+    return of_customers.union(of_parts).select("kind", "key", T.make_model(C("title"), makes).alias("x")).select("kind", "key", "x.mk", "x.mo")
 
 
 @query("select s_suppkey, case s_suppkey % 6 when 0 then 'mercedes-benz' when 1 then 'alfa romeo' when 2 then 'land rover' when 3 then 'chevrolet' else 'citroen ' || lower(s_name) end as k from supplier")
@@ -211,15 +245,6 @@ def features_all(spark, d):
 # ---- rules by make, under makes and names made of the parts' columns ----
 
 
-def _pick(values: list[str], key: str = "p_partkey") -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (C(key) % len(values) + 1).cast("int"))
-
-
-def _pick_sql(values: list[str], key: str = "p_partkey") -> str:
-    listed = "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
-    return f"{listed}[({key} % {len(values)} + 1)::int]"
-
-
 _NAMES = ["GT{} RS", "M{} CS", "{} Cup", "RS{}", "C {} AMG Line", "Type R {}", "evo {}", "Trophy-R {}", "{}LT", "S{} Brabus", "STI {}"]
 
 
