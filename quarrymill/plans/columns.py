@@ -81,11 +81,24 @@ def make_model_titles(spark, d):
     return of_customers.union(of_parts).select("kind", "key", T.make_model(C("title"), makes).alias("x")).select("kind", "key", "x.mk", "x.mo")
 
 
-@query("select s_suppkey, case s_suppkey % 6 when 0 then 'mercedes-benz' when 1 then 'alfa romeo' when 2 then 'land rover' when 3 then 'chevrolet' else 'citroen ' || lower(s_name) end as k from supplier")
+# Makes as parts have them, with their keys.
+_BRANDS = [
+    ("Mercedes AMG {}", "mercedes-benz"), ("Alfa", "alfa romeo"), ("Aston  Martin {}", "aston martin"), ("Range Rover {}", "land rover"), ("LandRover {}", "land rover"), ("LAND ROVER {}", "land rover"), ("chevy", "chevrolet"), ("chevy {}", "chevy {}"),
+    (" VW ", "volkswagen"), ("Volkswagen AG", "volkswagen"), ("VW {}", "vw {}"), ("Vauxhall {}", "opel"), ("Citroën {}", "citroen {}"), ("", ""), (None, ""),
+]
+_BRANDED, _BRAND_KEYS = map(list, zip(*_BRANDS, strict=True))
+
+
+@query(
+    "select 'supplier' as kind, s_suppkey as key, case s_suppkey % 6 when 0 then 'mercedes-benz' when 1 then 'alfa romeo' when 2 then 'land rover' when 3 then 'chevrolet' else 'citroen ' || lower(s_name) end as k from supplier"
+    f" union all select 'part', p_partkey, {_filled_sql(_BRAND_KEYS, name='lower(p_name)')} from part"
+)
 def brand_keys(spark, d):
     k = C("s_suppkey") % 6
     said = F.when(k == 0, _text(" MERCEDES ", C("s_name"))).when(k == 1, _text(C("s_name"), " Alfa")).when(k == 2, _text("Range Rover ", C("s_name"))).when(k == 3, _text("Chevrolet", C("s_name"))).otherwise(_text("Citroën ", C("s_name"), " "))
-    return table(spark, d, "supplier").select("s_suppkey", T.brand_key(said).alias("k"))
+    of_suppliers = table(spark, d, "supplier").select(F.lit("supplier").alias("kind"), C("s_suppkey").alias("key"), said.alias("said"))
+    of_parts = table(spark, d, "part").select(F.lit("part").alias("kind"), C("p_partkey").alias("key"), _filled(_BRANDED).alias("said"))
+    return of_suppliers.union(of_parts).select("kind", "key", T.brand_key(C("said")).alias("k"))
 
 
 @query("select p_partkey, p_name as mo from part")

@@ -7,6 +7,7 @@ from quarrymill.plans import columns
 DATA = "/root/testdata/sf0.001"
 CASES = {
     "make_model_titles": (["mk"], {(x,) for x in ("NATION_1", "Audi", "Maserati", "Mercedes-Benz", "Land Rover", "Inconnue", "Mercedes-AMG", "Alfa", "Alfa Romeo", "Zastava")}),
+    "brand_keys": (["k"], {(x,) for x in ("mercedes-benz", "alfa romeo", "aston martin", "land rover", "chevrolet", "volkswagen", "opel", "")}),
 }
 
 
