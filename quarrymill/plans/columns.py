@@ -101,10 +101,14 @@ def brand_keys(spark, d):
     return of_suppliers.union(of_parts).select("kind", "key", T.brand_key(C("said")).alias("k"))
 
 
-@query("select p_partkey, p_name as mo from part")
+# Forms of names, {} the part's name and [] what is cut off, with what is left.
+_TRIMMED = [("{} | []", "{}"), ("{} // []", "{}"), ("{} - []", "{}"), ("{}; []", "{}"), ("{} – []", "{}"), ("{} — []", "{}"), ("{} / []", "{}"), ("{}%20[]", "{}"), ("{}|[]", "{}"), ("| {}", "{}"), ("{}", "{}"), ("", ""), ("|", "|"), (None, None)]
+
+
+@query(f"select p_partkey, {_filled_sql([mo for _, mo in _TRIMMED])} as mo from part")
 def trimmed_models(spark, d):
-    cut = F.element_at(F.array(*[F.lit(x) for x in (" | ", " // ", " - ", "; ", " – ")]), (C("p_size") % 5 + 1).cast("int"))
-    return table(spark, d, "part").select("p_partkey", T.trim_model(_text(C("p_name"), cut, C("p_type"), " // ", C("p_brand"))).alias("mo"))
+    said = F.replace(_filled([said for said, _ in _TRIMMED]), F.lit("[]"), _text(C("p_type"), " // ", C("p_brand")))
+    return table(spark, d, "part").select("p_partkey", T.trim_model(said).alias("mo"))
 
 
 @query("select p_partkey, p_name || case when list_contains(string_split(p_name, ' '), lower(p_type)) then '' else ' ' || p_type end || ' ' || p_brand as mo from part")
