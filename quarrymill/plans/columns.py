@@ -132,10 +132,25 @@ def localities(spark, d):
     return rows.select("c_custkey", T.locality(said).alias("x")).select("c_custkey", "x.plz", "x.region", "x.city")
 
 
-@query("select c_custkey, case c_custkey % 5 when 0 then 'Essence' when 1 then 'Diesel' else upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)) end as fuel, case c_custkey % 5 when 0 then 'Automatique' when 2 then 'Manuelle' else upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)) end as gear from customer")
+# Fuels and gears as parts have them, {} the part's name.
+_SAID_GEARS = [f" {w.upper()}" if k % 2 else f"{w} " for k, w in enumerate(w for names in (T.FUELS | T.GEARS).values() for w in names)] + ["{}", "{} diesel", "", " ", None]
+
+
+def _mapped_sql(names: dict[str, list[str]], said: str) -> str:
+    listed = lambda words: ", ".join(f"'{w}'" for w in words)
+    return "case " + " ".join(f"when lower(trim({said})) in ({listed(words)}) then '{name}'" for name, words in names.items()) + f" else nullif(upper(left(trim({said}), 1)) || lower(substr(trim({said}), 2)), '') end"
+
+
+@query(
+    "select 'customer' as kind, c_custkey as key, case c_custkey % 5 when 0 then 'Essence' when 1 then 'Diesel' else upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)) end as fuel, case c_custkey % 5 when 0 then 'Automatique' when 2 then 'Manuelle' else upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)) end as gear from customer"
+    f" union all select 'part', p_partkey, {_mapped_sql(T.FUELS, 'said')}, {_mapped_sql(T.GEARS, 'said')} from (select p_partkey, {_filled_sql(_SAID_GEARS)} as said from part)"
+)
 def fuels_and_gears(spark, d):
-    k = C("c_custkey") % 5
-    return table(spark, d, "customer").select("c_custkey", T.fuel(F.when(k == 0, " Petrol").when(k == 1, "gazole").otherwise(C("c_mktsegment"))).alias("fuel"), T.gear(F.when(k == 0, "PDK ").when(k == 2, "mécanique").otherwise(C("c_mktsegment"))).alias("gear"))
+    """Customers with some fuels and gears, and parts with all words for them and with others."""
+    k, said = C("c_custkey") % 5, _filled(_SAID_GEARS)
+    of_customers = table(spark, d, "customer").select(F.lit("customer").alias("kind"), C("c_custkey").alias("key"), F.when(k == 0, " Petrol").when(k == 1, "gazole").otherwise(C("c_mktsegment")).alias("f"), F.when(k == 0, "PDK ").when(k == 2, "mécanique").otherwise(C("c_mktsegment")).alias("g"))
+    of_parts = table(spark, d, "part").select(F.lit("part").alias("kind"), C("p_partkey").alias("key"), said.alias("f"), said.alias("g"))
+    return of_customers.union(of_parts).select("kind", "key", T.fuel(C("f")).alias("fuel"), T.gear(C("g")).alias("gear"))
 
 
 @query("select o_orderkey, case when o_orderkey % 7 = 0 then null else floor(o_totalprice)::bigint end as n from orders")

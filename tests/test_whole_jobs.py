@@ -9,6 +9,7 @@ CASES = {
     "make_model_titles": (["mk"], {(x,) for x in ("NATION_1", "Audi", "Maserati", "Mercedes-Benz", "Land Rover", "Inconnue", "Mercedes-AMG", "Alfa", "Alfa Romeo", "Zastava")}),
     "brand_keys": (["k"], {(x,) for x in ("mercedes-benz", "alfa romeo", "aston martin", "land rover", "chevrolet", "volkswagen", "opel", "")}),
     "trimmed_models": (["mo"], {("",), ("|",), (None,)}),
+    "fuels_and_gears": (["fuel", "gear"], {("Hybride", "Hybrid"), ("Électrique", "Electrique"), ("GPL", "Gpl"), ("Essence", "Petrol"), ("Pdk", "Automatique"), ("Mécanique", "Manuelle"), (None, None)}),
 }
 
 
