@@ -324,18 +324,23 @@ FLAG_LANGUAGES = {"🇳🇱": "nl", "🇫🇷": "fr", "🇩🇪": "de", "🇦
 def language_segments(text: Column, default: str = "fr") -> Column:
     """array<struct<lang, chunk>>: the parts after each flag, else the whole text in the language of its stop words. What
     stands before the first flag is left out; a text without a part of its own after a flag is taken whole."""
-    flag = "(?:" + "|".join(FLAG_LANGUAGES) + ")"
+    flag = "(?=[🇦-🇿])(?:" + "|".join(FLAG_LANGUAGES) + ")"
     names = F.create_map(*[F.lit(x) for kv in FLAG_LANGUAGES.items() for x in kv])
     flags, parts = F.regexp_extract_all(text, F.lit(flag), F.lit(0)), F.split(text, flag, -1)
-    told = F.filter(F.transform(flags, lambda f, i: F.struct(F.element_at(names, f).alias("lang"), F.get(parts, i + 1).alias("chunk"))), lambda x: F.trim(F.regexp_replace(x["chunk"], r"\s+", " ")) != "")
+    pairs = _let(parts, lambda p: F.transform(flags, lambda f, i: F.struct(F.element_at(names, f).alias("lang"), F.get(p, i + 1).alias("chunk"))))
+    told = F.filter(pairs, lambda x: x["chunk"].rlike(r"\S"))
     whole = F.array(F.struct(language_by_stop_words(text, default).alias("lang"), text.alias("chunk")))
     none = F.array().cast("array<struct<lang:string,chunk:string>>")
-    return F.when(F.coalesce(F.trim(F.regexp_replace(text, r"\s+", " ")), F.lit("")) == "", none).when(F.size(told) > 0, told).otherwise(whole)
+    return F.when(~F.coalesce(text.rlike(r"\S"), F.lit(False)), none).otherwise(_let(told, lambda found: F.when(F.size(found) > 0, found).otherwise(whole)))
 
 
 def language(text: Column, default: str = "fr") -> Column:
     """The language of the first segment; without any, the default."""
-    return F.coalesce(F.get(language_segments(text, default), F.lit(0))["lang"], F.lit(default))
+    return first_language(language_segments(text, default), default)
+
+
+def first_language(segments: Column, default: str = "fr") -> Column:
+    return F.coalesce(F.get(segments, F.lit(0))["lang"], F.lit(default))
 
 
 # A designation of a model, not of its trim.

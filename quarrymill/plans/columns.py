@@ -160,12 +160,35 @@ def parsed_ints(spark, d):
     return table(spark, d, "orders").select("o_orderkey", N.parse_int(said).alias("n"))
 
 
-@query("select doc_id, case doc_id % 3 when 0 then 'nl' when 1 then 'de' else 'fr' end as lang, case doc_id % 3 when 0 then 'nl,de' when 1 then 'de' else 'fr' end as langs from documents")
+# Forms of texts with flags, {} the document's whole text, and of short ones, {} its number and [] its source.
+_FLAGGED = ["{}", "intro 🇳🇱 {} 🇩🇪 {}", "🇦🇹{}", "{} 🇬🇧  ", "🇬🇧 {}🇮🇹🇫🇷 {} 🇺🇸"]
+_MARKED = ["intro 🇳🇱 {} 🇩🇪 []x", "🇦🇹[]x", "zz{}", "", None, "🇬🇧  "]
+
+
+def _segments_sql() -> str:
+    flag = "(?:" + "|".join(T.FLAG_LANGUAGES) + ")"
+    told = "case f[i] " + " ".join(f"when '{x}' then '{lang}'" for x, lang in T.FLAG_LANGUAGES.items()) + " end"
+    count = {lang: "len([x for x in w if x in (" + ", ".join(f"'{x}'" for x in words) + ")])" for lang, words in T.STOP_WORDS.items()}
+    most = "greatest(" + ", ".join(f"{lang}_n" for lang in count) + ")"
+    return (
+        f"with s as (select doc_id, 'text' as kind, replace({_pick_sql(_FLAGGED, 'doc_id')}, '{{}}', coalesce(text, '')) as said from documents"
+        f" union all select doc_id, 'mark', replace(replace({_pick_sql(_MARKED, 'doc_id')}, '{{}}', doc_id::varchar), '[]', coalesce(source, 's')) from documents),"
+        f" p as (select doc_id, kind, said, regexp_extract_all(said, '{flag}') as f, string_split_regex(said, '{flag}') as p, regexp_extract_all(lower(coalesce(said, '')), '[\\pL\\pM\\pN\\p{{Pc}}]+') as w from s),"
+        f" c as (select doc_id, kind, said, [{told} for i in range(1, len(f) + 1) if regexp_matches(p[i + 1], '[^ \\t\\n\\x0b\\f\\r]')] as told, " + ", ".join(f"{n} as {lang}_n" for lang, n in count.items()) + " from p),"
+        f" l as (select doc_id, kind, case when not regexp_matches(coalesce(said, ''), '[^ \\t\\n\\x0b\\f\\r]') then [] when len(told) > 0 then told when {most} = 0 then ['fr'] " + " ".join(f"when {lang}_n = {most} then ['{lang}']" for lang in count) + " end as langs from c)"
+        " select doc_id, kind, coalesce(langs[1], 'fr') as lang, array_to_string(langs, ',') as langs from l"
+    )
+
+
+@query(_segments_sql())
 def language_segments(spark, d):
-    """Parts after flags; what has no flag and no stop word is in the default language."""
-    k, mark = C("doc_id") % 3, F.coalesce(C("source"), F.lit("s"))
-    said = F.when(k == 0, _text("intro 🇳🇱 ", C("doc_id"), " 🇩🇪 ", mark, "x")).when(k == 1, _text("🇦🇹", mark, "x")).otherwise(_text("zz", C("doc_id")))
-    return table(spark, d, "documents").select("doc_id", T.language(said).alias("lang"), F.array_join(F.transform(T.language_segments(said), lambda x: x["lang"]), ",").alias("langs"))
+    """Of each document its whole text, with and without flags, and a short one: parts after flags; what has no part of its own
+    after a flag is in the language of its stop words, without any in the default language."""
+    whole = F.replace(_pick(_FLAGGED, "doc_id"), F.lit("{}"), F.coalesce("text", F.lit("")))
+    short = F.replace(F.replace(_pick(_MARKED, "doc_id"), F.lit("{}"), C("doc_id").cast("string")), F.lit("[]"), F.coalesce("source", F.lit("s")))
+    said = F.explode(F.array(F.struct(F.lit("text").alias("kind"), whole.alias("said")), F.struct(F.lit("mark").alias("kind"), short.alias("said"))))
+    rows = table(spark, d, "documents").select("doc_id", said.alias("x")).select("doc_id", "x.kind", T.language_segments(C("x.said")).alias("parts"))
+    return rows.select("doc_id", "kind", T.first_language(C("parts")).alias("lang"), F.array_join(C("parts.lang"), ",").alias("langs"))
 
 
 # ---- pages ----

@@ -10,6 +10,7 @@ CASES = {
     "brand_keys": (["k"], {(x,) for x in ("mercedes-benz", "alfa romeo", "aston martin", "land rover", "chevrolet", "volkswagen", "opel", "")}),
     "trimmed_models": (["mo"], {("",), ("|",), (None,)}),
     "fuels_and_gears": (["fuel", "gear"], {("Hybride", "Hybrid"), ("Électrique", "Electrique"), ("GPL", "Gpl"), ("Essence", "Petrol"), ("Pdk", "Automatique"), ("Mécanique", "Manuelle"), (None, None)}),
+    "language_segments": (["kind", "lang", "langs"], {("text", "en", "en"), ("text", "de", "de"), ("text", "nl", "nl,de"), ("text", "en", "en,fr"), ("mark", "nl", "nl,de"), ("mark", "fr", ""), ("mark", "fr", "fr")}),
 }
 
 
