@@ -194,12 +194,23 @@ def language_segments(spark, d):
 # ---- pages ----
 
 
-@query("select page_id, case page_id % 4 when 0 then 'symfio_v2' when 1 then 'symfio_v1' when 2 then 'rivamedia' else 'unknown' end as platform, case page_id % 4 when 0 then 0.3 when 1 then 0.5 when 2 then 0.3 else 0.0 end::double as score, page_id % 4 = 3 as challenged from pages")
+# What ways of building sites leave in pages, with the way and its score; checks for browsers come last.
+_DATA = '<script id="__NEXT_DATA__" type="x">{}</script>'
+_SYMFIO, _DRUPAL = '<meta name="generator" content="Symfio 2">', '<meta name="generator" content="Drupal 9"><body class="x path-node">'
+_SIGNS = [
+    (_DATA.format('{"props":{"pageProps":{"cars":[1]}}}'), "symfio_v2", 0.95), (_DATA.format('{"props":{"pageProps":{"vehicles":[]}}}'), "symfio_v2", 0.95), (_DATA.format('{"props":{"pageProps":{"other":[1]}}}'), "symfio_v2", 0.3), (_DATA.format('{"props":{}}'), "symfio_v2", 0.3), (_DATA.format("{x"), "symfio_v2", 0.2),
+    (_SYMFIO, "symfio_v1", 0.5), (_SYMFIO + '<div class="vehicle-card">', "symfio_v1", 0.7), (_SYMFIO + '<script type="application/ld+json">{"@type": "Vehicle"}</script>', "symfio_v1", 0.8), (_DRUPAL, "drupal", 0.8), (_DRUPAL + '<img src="/sites/default/files/a.png">', "drupal", 1.0),
+    ('<div id="app" data-page="{}">', "inertia", 0.85), ("""<i data-page='{"version"}'><script src="/inertia.js">""", "inertia", 0.95), ("<p class='rm-vehicle'>", "rivamedia", 0.3), ('<i class="car-box"></i>' * 10, "generic_cards", 0.5), ('<i class="car-box"></i>' * 30, "generic_cards", 0.7), ("<p>", "unknown", 0.0),
+]
+_CHECKS = ["checking your browser, CloudFlare", '<i id="cf-browser-verification">', "<script>__cf_chl_opt</script>"]
+_SEEN, _WAYS = [s for s, _, _ in _SIGNS] + _CHECKS, [w for _, w, _ in _SIGNS] + ["unknown"] * len(_CHECKS)
+_WAY_SCORES = [str(n) for _, _, n in _SIGNS] + ["0"] * len(_CHECKS)
+
+
+@query(f"select page_id, {_pick_sql(_WAYS, 'page_id')} as platform, {_pick_sql(_WAY_SCORES, 'page_id')}::double as score, page_id % {len(_SEEN)} >= {len(_SIGNS)} as challenged from pages")
 def platforms(spark, d):
     """Pages with what a way of building sites leaves in them."""
-    k = C("page_id") % 4
-    sign = F.when(k == 0, '<script id="__NEXT_DATA__" type="x">{"props":{}}</script>').when(k == 1, '<meta name="generator" content="Symfio 2">').when(k == 2, "<p class='rm-vehicle'>").otherwise("checking your browser, CloudFlare")
-    page = F.concat(F.coalesce("html", F.lit("")), sign)
+    page = F.concat(F.coalesce("html", F.lit("")), _pick(_SEEN, "page_id"))
     scores = T.platform_scores(page)
     return table(spark, d, "pages").select("page_id", T.platform(scores).alias("platform"), F.round(F.greatest(*scores.values()), 6).cast("double").alias("score"), T.challenged(F.lit(503), page).alias("challenged"))
 

@@ -11,6 +11,10 @@ CASES = {
     "trimmed_models": (["mo"], {("",), ("|",), (None,)}),
     "fuels_and_gears": (["fuel", "gear"], {("Hybride", "Hybrid"), ("Électrique", "Electrique"), ("GPL", "Gpl"), ("Essence", "Petrol"), ("Pdk", "Automatique"), ("Mécanique", "Manuelle"), (None, None)}),
     "language_segments": (["kind", "lang", "langs"], {("text", "en", "en"), ("text", "de", "de"), ("text", "nl", "nl,de"), ("text", "en", "en,fr"), ("mark", "nl", "nl,de"), ("mark", "fr", ""), ("mark", "fr", "fr")}),
+    "platforms": (
+        ["platform", "score", "challenged"],
+        {("symfio_v2", 0.95, False), ("symfio_v2", 0.3, False), ("symfio_v2", 0.2, False), ("symfio_v1", 0.7, False), ("drupal", 0.8, False), ("inertia", 0.85, False), ("rivamedia", 0.3, False), ("generic_cards", 0.5, False), ("unknown", 0.0, False), ("unknown", 0.0, True)},
+    ),
 }
 
 
