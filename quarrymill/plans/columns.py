@@ -226,14 +226,24 @@ def detail_links(spark, d):
 _CARD = {"title": "div.card-1 h2.t", "yr": "#spec li[data-k=year]", "km": "li[data-k=km]", "px": "ul > .price"}
 
 
-@query("select p_partkey, 'Audi' as mk, p_name as mo, 1950 + p_size as yr, p_partkey as km, round(p_retailprice)::bigint as px from part")
+# Titles of cards with their makes; {} the part's name.
+_CARDS = [("Audi - {}", "Audi"), ("Alfa Romeo | {}", "Alfa Romeo"), ("AUDI — {}", "Audi"), ("mercedes-benz {}", "Mercedes-Benz")]
+
+
+@query(
+    f"select p_partkey, case when k < 4 then {_pick_sql([mk for _, mk in _CARDS])} end as mk, case when k < 4 then p_name else '' end as mo, case when k < 4 then 1950 + p_size end as yr, case when k < 4 then p_partkey end as km, case when k < 4 then round(p_retailprice)::bigint end as px"
+    " from (select *, p_partkey % 8 as k from part)"
+)
 def selector_fields(spark, d):
-    """Cards of parts, read by selectors."""
-    card = _text('<div class="x card-1 y"><h2 class="t">Audi - ', C("p_name"), '</h2><ul id="spec"><li data-k="year">MY ', 1950 + C("p_size"), '</li><li data-k="km"><b>', C("p_partkey"), '</b> km</li><li class="price big"> ', F.round("p_retailprice").cast("long"), " €</li></ul></div>")
-    rows = table(spark, d, "part").select("p_partkey", selected(card, _CARD).alias("x"))
+    """Cards of parts, read by selectors; pages without a card, with another and without anything."""
+    k, price = C("p_partkey") % 8, F.round("p_retailprice").cast("long")
+    spaced = lambda n: F.when(k % 2 == 0, n.cast("string")).otherwise(F.replace(F.format_number(n, 0), F.lit(","), F.lit(" ")))
+    card = _text('<div class="x card-1 y"><h2 class="t">', _filled([said for said, _ in _CARDS]), '</h2><ul id="spec"><li data-k="year">', F.when(k < 2, "MY ").otherwise(""), 1950 + C("p_size"), '</li><li data-k="km"><b>', spaced(C("p_partkey")), '</b> km</li><li class="price big"> ', spaced(price), " €</li></ul></div>")
+    page = F.when(k < 4, card).when(k == 4, _text("<p class='t'>", C("p_name"), "</p>")).when(k == 5, _text('<div class="card-12"><h2 class="t">', C("p_name"), "</h2></div>")).when(k == 6, "")
+    rows = table(spark, d, "part").select("p_partkey", selected(page, _CARD).alias("x"))
     field = lambda name: F.get(C("x")[name], F.lit(0))
-    made = T.make_model(F.regexp_replace(field("title"), r" (?:-|\||—) ", " "), {"audi": "Audi"})
-    return rows.select("p_partkey", made["mk"].alias("mk"), made["mo"].alias("mo"), N.parse_year(field("yr")).alias("yr"), N.parse_int(field("km")).alias("km"), N.parse_int(field("px")).alias("px"))
+    made = T.make_model(F.regexp_replace(field("title"), r" (?:-|\||—) ", " "), _MAKES)
+    return rows.select("p_partkey", F.when(made["mk"] != T.UNKNOWN_MAKE, made["mk"]).alias("mk"), made["mo"].alias("mo"), N.parse_year(field("yr")).alias("yr"), N.parse_int(field("km")).alias("km"), N.parse_int(field("px")).alias("px"))
 
 
 # ---- descriptions: documents, with a sentence by their number at the end ----

@@ -15,6 +15,7 @@ CASES = {
         ["platform", "score", "challenged"],
         {("symfio_v2", 0.95, False), ("symfio_v2", 0.3, False), ("symfio_v2", 0.2, False), ("symfio_v1", 0.7, False), ("drupal", 0.8, False), ("inertia", 0.85, False), ("rivamedia", 0.3, False), ("generic_cards", 0.5, False), ("unknown", 0.0, False), ("unknown", 0.0, True)},
     ),
+    "selector_fields": (["mk"], {("Audi",), ("Alfa Romeo",), ("Mercedes-Benz",), (None,)}),
 }
 
 
