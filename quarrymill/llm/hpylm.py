@@ -6,7 +6,9 @@ vocabulary and one unknown word. A context that the training texts lack is its p
 
 Words are counted first. Those that come twice or more have places in arrays of totals (customers and tables of each
 restaurant), which go to every task; a restaurant with one customer has one table, whatever is drawn. A corpus with more
-than MOST_WORDS such words gives places to the most frequent, and the rest, which have a few customers each, share SHARED.
+than MOST_WORDS such words gives places to the most frequent; the restaurants of the rest are told by the words' hashes, and
+their totals are added up by ranges of hashes and sent back to the buckets that need them, after each sweep. Every word has
+a restaurant of its own either way, and the same seats.
 What grows without bound are the dishes in the restaurants, and those are dealt out by word: all seats of a word lie in one
 bucket; very common words are parted by context.
 
@@ -43,7 +45,7 @@ DISCOUNTS, STRENGTHS = (0.75, 0.8), (20.0, 3.0)
 BURN_IN, SAMPLES = 1, 2
 #: The law of the number of tables is taken as it is for so many customers, and in its limit for more.
 EXACT = 256
-#: Words with a place of their own in the arrays of totals, at most; and places that rarer words share beyond that.
+#: Words with a place of their own in the arrays of totals, at most; and places where those of rarer words are only counted.
 MOST_WORDS, SHARED = 1 << 22, 1 << 16
 #: Different words that a task counts before it gives what it has.
 COUNTED = 300_000
@@ -56,12 +58,15 @@ HOT_SHARE = 0.25
 
 #: The end as a word, and the begin as a context.
 _END, _START = xxhash.xxh64_intdigest(b" "), 1
+#: Numbers of contexts without a place: their hash with this bit.
+_REST = np.uint64(1 << 63)
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 class Vocabulary:
     """Numbers of contexts: 0 without customers, then those with places of their own, then those that come once. words and
-    counts: of all words that precede a token in the training texts. least: how often words with a place come."""
+    counts: of all words that precede a token in the training texts. least: how often words with a place come. If shared,
+    words and counts are those with a place only, and other contexts are numbered by their hash."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, least: int = 2, shared: int = 0):
         order = np.argsort(words)
@@ -70,11 +75,11 @@ class Vocabulary:
         self.single = words[counts == 1] if not shared else np.zeros(0, np.uint64)
         #: Places in arrays of totals: the last stands for all restaurants with one customer.
         self.places = 1 + len(self.own) + shared + 1
+        #: What chance knows words with a place by.
+        self.marks = self.own.astype(np.uint32)
 
     def contexts(self, words: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(words), np.uint32)
-        if self.shared:
-            out[:] = 1 + len(self.own) + (words >> np.uint64(40)) % np.uint64(self.shared)
+        out = words | _REST if self.shared else np.zeros(len(words), np.uint32)
         for known, begin in ((self.own, 1), (self.single, self.places - 1)):
             if len(known):
                 at = np.minimum(np.searchsorted(known, words), len(known) - 1)
@@ -316,11 +321,19 @@ def _blocks(batches: Iterator[pa.RecordBatch], buckets: int, vocabulary: Vocabul
 
 
 class Bucket:
-    """All seats of some words, in the order of word and context. places: of Vocabulary."""
+    """All seats of some words, in the order of word and context. places, marks, shared: of Vocabulary. Totals of contexts
+    without a place are given as rest: customers and tables of rest_words, for each state."""
 
-    def __init__(self, word: np.ndarray, context: np.ndarray, count: np.ndarray, places: int, hot: np.ndarray | None = None):
+    def __init__(self, word: np.ndarray, context: np.ndarray, count: np.ndarray, places: int, hot: np.ndarray | None = None, marks: np.ndarray | None = None, shared: int = 0):
         self.hot = np.zeros(0, np.uint64) if hot is None else hot
-        self.place, self.count = np.minimum(context.astype(np.int64), places - 1), count.astype(np.int64)
+        self.count = count.astype(np.int64)
+        self.rest = np.flatnonzero(context >= _REST) if shared else np.zeros(0, np.int64)
+        self.rest_words, self.rest_of = np.unique(context[self.rest], return_inverse=True)
+        self.place = np.minimum(context & ~_REST if shared else context, places - 1).astype(np.int64)
+        if shared:
+            self.place[self.rest] = places - 1 - shared + ((context[self.rest] & ~_REST) >> np.uint64(40)).astype(np.int64) % shared
+            self.rest_at = np.full(len(context), -1)
+            self.rest_at[self.rest] = self.rest_of
         new = np.concatenate([[True], word[1:] != word[:-1]])
         self.begin = np.flatnonzero(new)
         self.of = np.cumsum(new) - 1
@@ -331,41 +344,69 @@ class Bucket:
         same = np.append(self.hot, np.uint64(0))[at] == self.word
         self.is_hot = same & (at < len(self.hot))
         self.hot_at = at[self.is_hot]
-        self.keys = [_mixed(self.word * _K1), _mixed(word * _K1 + np.uint64(1)) ^ (context.astype(np.uint64) * _K2)]
+        self.some = np.flatnonzero(self.count > 1)  # one customer is at one table
+        mark, place = context[self.some].astype(np.uint32).astype(np.uint64), self.place[self.some]
+        if marks is not None:
+            own = np.flatnonzero((place > 0) & (place <= len(marks)))
+            mark[own] = marks[place[own] - 1]
+        self.keys = [_mixed(self.word * _K1), _mixed(word[self.some] * _K1 + np.uint64(1)) ^ (mark * _K2)]
+
+    def totals_of(self, by_place: np.ndarray, rest: np.ndarray | None, some: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Of pairs their contexts' customers or tables. rest: those of rest_words."""
+        out = by_place[self.place[some]]
+        if len(self.rest):
+            at = self.rest_at[some]
+            out = np.where(at >= 0, rest[at], out)
+        return out
+
+    def rest_sums(self, t: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Customers and tables of rest_words in this bucket."""
+        out = np.zeros((2, len(self.rest_words)), np.int64)
+        np.add.at(out[0], self.rest_of, self.count[self.rest])
+        np.add.at(out[1], self.rest_of, t[1][self.rest])
+        return out[0], out[1]
 
-    def states(self, known: list[Totals], sweeps: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    def states(self, known: list[Totals], sweeps: int, rest: list = ()) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Customers and tables of words at the root and of pairs, after so many sweeps. known: the corpus's totals before
         each. The same each time it is run anew."""
-        *_, last = self.chain(known, sweeps)
+        *_, last = self.chain(known, sweeps, rest)
         return last
 
-    def chain(self, known: list[Totals], sweeps: int) -> Iterator[tuple[list[np.ndarray], list[np.ndarray]]]:
+    def chain(self, known: list[Totals], sweeps: int, rest: list = ()) -> Iterator[tuple[list[np.ndarray], list[np.ndarray]]]:
         """The states at first and after each sweep."""
         t1 = np.minimum(self.count, 1)
         c0 = np.add.reduceat(t1, self.begin)
         t0 = np.minimum(c0, 1)
         yield [c0, self.count], [t0, t1]
-        some = np.flatnonzero(self.count > 1)  # one customer is at one table
+        some = self.some
         for sweep in range(sweeps):
             at = known[sweep]
             c0 = at.root(self, c0)
             t0 = np.clip(t0, np.minimum(c0, 1), c0)
             # a dish's tables are no customers of its parent while they are drawn
             of, gone = self.of[some], t1[some]
-            rest = c0[of] - gone
-            kept = np.minimum(t0[of], rest)
-            p0 = at.at_root(rest, kept, gone, t0[of] - kept)
+            left = c0[of] - gone
+            kept = np.minimum(t0[of], left)
+            p0 = at.at_root(left, kept, gone, t0[of] - kept)
             t1 = t1.copy()
-            t1[some] = seat(self.count[some], STRENGTHS[1] + DISCOUNTS[1] * (at.tables[self.place[some]] - gone), p0, DISCOUNTS[1], self.keys[1][some], 8 * sweep)
+            others = self.totals_of(at.tables, rest[sweep][1] if rest else None, some) - gone
+            t1[some] = seat(self.count[some], STRENGTHS[1] + DISCOUNTS[1] * others, p0, DISCOUNTS[1], self.keys[1], 8 * sweep)
             # the root's customers of this sweep are known once all buckets are through, for words that are in several
             t0 = seat(c0, STRENGTHS[0] + DISCOUNTS[0] * (at.root_tables - t0), np.full(len(t0), at.base), DISCOUNTS[0], self.keys[0], 8 * sweep + 2)
             c0 = np.add.reduceat(t1, self.begin)
             yield [c0, self.count], [t0, t1]
 
-    def predicted(self, at: Totals, c: list[np.ndarray], t: list[np.ndarray]) -> np.ndarray:
-        """The probability of each pair's word in its context. at: the totals of this state."""
+    def predicted(self, at: Totals, c: list[np.ndarray], t: list[np.ndarray], rest: tuple = (None, None)) -> np.ndarray:
+        """The probability of each pair's word in its context. at, rest: the totals of this state."""
         c0 = at.root(self, c[0])
-        return at.in_context(self.place, c[1], t[1], at.at_root(c0, np.minimum(t[0], c0))[self.of])
+        below = at.at_root(c0, np.minimum(t[0], c0))[self.of]
+        return in_restaurant(self.totals_of(at.customers, rest[0]), self.totals_of(at.tables, rest[1]), c[1], t[1], below)
+
+
+def in_restaurant(customers: np.ndarray, tables: np.ndarray, c: np.ndarray, t: np.ndarray, below: np.ndarray | float) -> np.ndarray:
+    """Probability of a dish with c customers at t tables in restaurants with so many of both. below: the parent's."""
+    d, s = DISCOUNTS[1], STRENGTHS[1]
+    return (np.maximum(c - d * t, 0) + (s + d * tables) * below) / (s + customers)
 
 
 class Totals:
@@ -390,8 +431,7 @@ class Totals:
 
     def in_context(self, place: np.ndarray, c: np.ndarray, t: np.ndarray, below: np.ndarray | float) -> np.ndarray:
         """Probability of a dish with c customers at t tables in the restaurants at these places."""
-        d, s = DISCOUNTS[1], STRENGTHS[1]
-        return (np.maximum(c - d * t, 0) + (s + d * self.tables[place]) * below) / (s + self.customers[place])
+        return in_restaurant(self.customers[place], self.tables[place], c, t, below)
 
 
 def _zip(x: np.ndarray) -> bytes:
@@ -484,11 +524,11 @@ def _gathered(key: tuple, rows: pa.Table) -> pa.Table:
     """A bucket's pairs as one row, each pair once: words, contexts and counts; and where each block's pairs are in it."""
     parts = sorted(zip(*(rows.column(x).to_pylist() for x in ("block", "a", "b", "c", "d")), strict=True), key=lambda x: x[0])
     word = np.concatenate([np.repeat(np.frombuffer(a, np.uint64), _numbers(b, "<u4")) for _, a, b, _, _ in parts])
-    context = np.concatenate([_numbers(c, "<u4") for *_, c, _ in parts])
+    context = np.concatenate([_contexts(c, len(d) // 4) for *_, c, d in parts])
     count = np.concatenate([_numbers(d, "<u4") for *_, d in parts])
-    sizes = np.array([len(p[3]) // 4 for p in parts])
+    sizes = np.array([len(p[4]) // 4 for p in parts])
     different, rank = np.unique(word, return_inverse=True)
-    order = np.argsort(rank << 32 | context, kind="stable")
+    order = np.argsort(rank << 32 | (context if context.itemsize == 4 else np.unique(context, return_inverse=True)[1]), kind="stable")
     del different, rank
     w, u = word[order], context[order]
     new = np.concatenate([[True], (w[1:] != w[:-1]) | (u[1:] != u[:-1])])
@@ -509,33 +549,76 @@ def _gathered(key: tuple, rows: pa.Table) -> pa.Table:
 _GATHERED = "bucket int, " + ", ".join(f"{c} binary" for c in "abcdefg")
 
 
-def _bucket(a: bytes, b: bytes, c: bytes, d: bytes, places: int, hot: np.ndarray) -> Bucket:
-    return Bucket(np.repeat(np.frombuffer(a, np.uint64), _numbers(b, "<u4")), _numbers(c, "<u4"), _numbers(d, "<u8").astype(np.int64), places, hot)
+def _contexts(planes: bytes, n: int) -> np.ndarray:
+    return _numbers(planes, f"<u{len(planes) // n}")
+
+
+#: What buckets know of a vocabulary: places, hot words, marks and shared.
+Known = tuple[int, np.ndarray, np.ndarray, int]
+
 
+def _bucket(batch: pa.RecordBatch, row: int, of: Known) -> tuple[Bucket, list]:
+    """A gathered row's bucket, and the totals of its contexts without a place, from the columns after the gathered ones."""
+    a, b, c, d = (batch.column(k)[row].as_py() for k in range(1, 5))
+    own = Bucket(np.repeat(np.frombuffer(a, np.uint64), _numbers(b, "<u4")), _contexts(c, len(d) // 8), _numbers(d, "<u8").astype(np.int64), *of)
+    told = (batch.column(k)[row].as_py() for k in range(8, batch.num_columns))
+    return own, [np.split(_unzip(x), 2) if x else np.zeros((2, 0), np.int64) for x in told]
 
-def _summed(batches: Iterator[pa.RecordBatch], places: int, hot: np.ndarray, known: list[Totals]) -> Iterator[pa.RecordBatch]:
-    """Gathered rows -> the sums of a task's buckets."""
-    total, some = Sums(places, len(hot)), False
+
+#: Level of rows for contexts without a place: part, bucket, hashes, and customers and tables one after the other.
+_OF_REST = 5
+
+
+def _summed(batches: Iterator[pa.RecordBatch], of: Known, known: list[Totals], parts: int) -> Iterator[pa.RecordBatch]:
+    """Gathered rows -> the sums of a task's buckets, and of each bucket those of its contexts without a place, by parts."""
+    total, some = Sums(of[0], len(of[1])), False
     for batch in batches:
         for row in range(batch.num_rows):
-            own = _bucket(*(batch.column(k)[row].as_py() for k in range(1, 5)), places, hot)
-            total.add(own, *own.states(known, len(known)))
+            own, rest = _bucket(batch, row, of)
+            c, t = own.states(known, len(known), rest)
+            total.add(own, c, t)
             some = True
+            if len(own.rest):
+                customers, tables = own.rest_sums(t)
+                part = (((own.rest_words & ~_REST) >> np.uint64(31)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+                at = np.searchsorted(part, np.arange(parts + 1))
+                bucket = batch.column(0)[row].as_py()
+                yield _total_batch([(_OF_REST, p, bucket, _zip(own.rest_words[at[p] : at[p + 1]]), _zip(np.append(customers[at[p] : at[p + 1]], tables[at[p] : at[p + 1]]))) for p in np.flatnonzero(np.diff(at)).tolist()])
     if some:
         yield _total_batch(total.rows(TaskContext.get().partitionId() % SALTS))
 
 
-def _answers(batches: Iterator[pa.RecordBatch], places: int, hot: np.ndarray, known: list[Totals]) -> Iterator[pa.RecordBatch]:
+def _rest_added(key: tuple, rows: pa.Table) -> pa.Table:
+    """Of one part the contexts' totals over all buckets, for each bucket in the order in which it sent them."""
+    words = [_unzip(x.as_py()) for x in rows.column("customers")]
+    sums = [np.split(_unzip(x.as_py()), 2) for x in rows.column("tables")]
+    different, of = np.unique(np.concatenate(words), return_inverse=True)
+    out = np.zeros((2, len(different)), np.int64)
+    for k in range(2):
+        np.add.at(out[k], of, np.concatenate([x[k] for x in sums]))
+    ends = np.cumsum([len(x) for x in words])[:-1]
+    found = [_zip(out[:, x].ravel()) for x in np.split(of, ends)]
+    return pa.table([rows.column("salt"), rows.column("part"), pa.array(found, pa.binary())], ["bucket", "part", "told"])
+
+
+def _rest_told(key: tuple, rows: pa.Table) -> pa.Table:
+    """A bucket's totals from all parts as one row."""
+    parts = sorted(zip(rows.column("part").to_pylist(), rows.column("told").to_pylist(), strict=True))
+    told = np.concatenate([_unzip(x).reshape(2, -1) for _, x in parts], 1)
+    return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([_zip(told.ravel())], pa.binary())], ["bucket", "told"])
+
+
+def _answers(batches: Iterator[pa.RecordBatch], of: Known, known: list[Totals]) -> Iterator[pa.RecordBatch]:
     """known: totals before each sweep and after the last. For each block: log10 of the averaged probability and, for the
     base score, the count of the word of each pair."""
     for batch in batches:
         for row in range(batch.num_rows):
             bucket, blocks, sizes, steps = (batch.column(k)[row].as_py() for k in (0, 5, 6, 7))
-            own = _bucket(*(batch.column(k)[row].as_py() for k in range(1, 5)), places, hot)
+            own, rest = _bucket(batch, row, of)
             mean = 0
-            for k, state in enumerate(own.chain(known, BURN_IN + SAMPLES)):
+            for k, state in enumerate(own.chain(known, BURN_IN + SAMPLES, rest)):
                 if k > BURN_IN:
-                    mean = mean + own.predicted(known[k], *state) / SAMPLES
+                    mean = mean + own.predicted(known[k], *state, *rest[k : k + 1]) / SAMPLES
             n = own.n.copy()
             n[own.is_hot] = known[0].hot[2][own.hot_at]
             found, counts = np.log10(mean).astype("<f4"), n[own.of].astype(np.uint32)
@@ -588,18 +671,24 @@ def score(docs: DataFrame, held_out: str = "held_out", id_col: str = "doc_id", t
     tokens = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     words, hot = vocabulary(counts), hot_words(counts, tokens, buckets)
     places = words.places
+    of = places, hot, words.marks, words.shared
     blocks = texts.mapInArrow(lambda b: _blocks(b, buckets, words, hot), _ROW)
     made = stored_by(blocks.withColumn("kind", F.when(F.col("bucket") < 0, "text").otherwise("pairs")), "blocks", "kind", ("text", "pairs"))
     gathered = stored(made["pairs"].groupBy("bucket").applyInArrow(_gathered, _GATHERED), "gathered")
     used_up(made["pairs"])
     known: list[Totals] = []
-    for _ in range(BURN_IN + SAMPLES + 1):
-        partial = gathered.mapInArrow(lambda b, known=tuple(known): _summed(b, places, hot, known), _TOTAL)
-        added = partial.groupBy("level", "part", "salt").applyInArrow(_added, _TOTAL).groupBy("level", "part").applyInArrow(_added, _TOTAL)
+    for sweep in range(BURN_IN + SAMPLES + 1):
+        partial = gathered.mapInArrow(lambda b, known=tuple(known): _summed(b, of, known, buckets), _TOTAL)
+        if words.shared:
+            partial = stored(partial, "sums")
+            rest = partial.filter(F.col("level") == _OF_REST).groupBy("part").applyInArrow(_rest_added, "bucket int, part int, told binary")
+            told = stored(rest.groupBy("bucket").applyInArrow(_rest_told, "bucket int, told binary"), "rest")
+            gathered = gathered.join(told.withColumnRenamed("told", f"told{sweep}"), "bucket", "left")
+        added = partial.filter(F.col("level") != _OF_REST).groupBy("level", "part", "salt").applyInArrow(_added, _TOTAL).groupBy("level", "part").applyInArrow(_added, _TOTAL)
         known.append(totals(added.collect(), places, len(hot)))
         known[-1].customers = known[0].customers  # the texts' words: the same in all sweeps, and sent to tasks once
     train_tokens, distinct = known[0].tokens, known[0].words
-    answers = gathered.mapInArrow(lambda b: _answers(b, places, hot, known), _ROW)
+    answers = gathered.mapInArrow(lambda b: _answers(b, of, known), _ROW)
     result = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return made["text"].union(answers).groupBy("block").applyInArrow(lambda rows: _scored(rows, train_tokens, distinct), result)
 

@@ -214,3 +214,17 @@ def test_scores_hold_for_any_number_of_partitions(spark, monkeypatch):
     for other in rest:
         assert [x[:5] for x in other] == [x[:5] for x in first]
         assert np.array([x[5:] for x in other]) == pytest.approx(np.array([x[5:] for x in first]), abs=1e-5)
+
+
+def test_scores_do_not_depend_on_the_number_of_places(spark, monkeypatch):
+    """Words beyond MOST_WORDS have restaurants of their own too, with the same seats."""
+    rows = [(k, " ".join([*x, f"twice{k // 2}", "the", f"once{k}"]), k % 5 == 1) for k, x in enumerate(corpus(5, 120))] + [(500, None, False), (501, "", True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held boolean")
+    got = {}
+    for most in (hpylm.MOST_WORDS, 150, 8):
+        monkeypatch.setattr(hpylm, "MOST_WORDS", most)
+        got[most] = sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in hpylm.score(docs, "held").collect())
+    first, *rest = got.values()
+    for other in rest:
+        assert [x[:4] for x in other] == [x[:4] for x in first]
+        assert np.array([x[4:] for x in other]) == pytest.approx(np.array([x[4:] for x in first]), abs=1e-5)
