@@ -114,6 +114,18 @@ def test_near_pairs_finds_all(spark):
     assert got == want and want
 
 
+def test_haversine_self_at_the_limit(spark, tmp_path):
+    """A distance that is rounded to the limit is not below it."""
+    degrees = [0.0] + [math.degrees(m / 6_371_000) for m in (39_999.98, 39_999.994, 39_999.996, 39_999.9999, 40_000.004)]
+    rows = [(1000 * k, 0, 5000 * x) for k, x in enumerate(degrees)]
+    spark.createDataFrame(rows, "s_suppkey long, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    got = sorted(map(tuple, registry.queries()["haversine_self"](spark, str(tmp_path)).collect()))
+    with duckdb.connect() as con:
+        con.execute(f"create view supplier as select * from '{tmp_path}/supplier.parquet/*.parquet'")
+        assert got == sorted(con.execute(registry.oracle_sql()["haversine_self"]).fetchall())
+    assert [r[2] for r in got if r[0] == 0] == [39_999.98, 39_999.99]
+
+
 def test_as_of_window(spark):
     day = datetime.date
     rates = spark.createDataFrame([("usd", day(2024, 1, 1), 1.0), ("usd", day(2024, 1, 5), 2.0)], "cur string, d date, rate double")
