@@ -39,10 +39,32 @@ def stab(points: DataFrame, intervals: DataFrame, keys: Sequence[str], at: str,
     cells are of, and lies in at most one cell of an interval: so each pair comes once. Points without a number, intervals
     without an end or with high < low have no pair.
     """
-    cut = intervals.withColumn("_cell", F.explode(cells(F.col(low), F.col(high))))
-    cut = cut.select(*intervals.columns, F.col("_cell.level").alias("_level"), F.col("_cell.cell").alias("_at"))
+    cut = _cut(intervals, low, high)
     # at most as many numbers as there are levels
     levels = sorted(r[0] for r in cut.select("_level").distinct().collect())
+    return _at_levels(points, at, levels).join(cut, [*keys, "_level", "_at"]).drop("_level", "_at")
+
+
+def _cut(intervals: DataFrame, low: str, high: str) -> DataFrame:
+    cut = intervals.withColumn("_cell", F.explode(cells(F.col(low), F.col(high))))
+    return cut.select(*intervals.columns, F.col("_cell.level").alias("_level"), F.col("_cell.cell").alias("_at"))
+
+
+def _at_levels(points: DataFrame, at: str, levels: Sequence[int]) -> DataFrame:
     at_level = points.filter(F.col(at).isNotNull()).withColumn("_level", F.explode(F.array(*[F.lit(k) for k in levels]).cast("array<int>")))
-    at_level = at_level.withColumn("_at", F.expr(f"shiftright(cast(`{at}` as bigint), _level)"))
-    return at_level.join(cut, [*keys, "_level", "_at"]).drop("_level", "_at")
+    return at_level.withColumn("_at", F.expr(f"shiftright(cast(`{at}` as bigint), _level)"))
+
+
+def least(points: DataFrame, intervals: DataFrame, keys: Sequence[str], at: str, low: str, high: str, order: Column) -> DataFrame:
+    """The points that an interval of their keys holds, each once (keys and at), with `least`: the least order, a column of
+    intervals, among those that hold it.
+
+    Equal intervals and those of a cell leave only their least one, so a point meets a row for each level at most, however
+    many intervals hold it.
+    """
+    once = intervals.groupBy(*keys, low, high).agg(F.min(order).alias("_least"))
+    first = _cut(once, low, high).groupBy(*keys, "_level", "_at").agg(F.min("_least").alias("_least"))
+    # at most as many numbers as there are levels
+    levels = sorted(r[0] for r in first.select("_level").distinct().collect())
+    met = _at_levels(points.select(*keys, at).distinct(), at, levels).join(first, [*keys, "_level", "_at"])
+    return met.groupBy(*keys, at).agg(F.min("_least").alias("least"))

@@ -3,6 +3,7 @@
 import datetime
 import json
 import math
+import time
 import zlib
 
 import duckdb
@@ -230,6 +231,44 @@ def test_generations(spark):
     assert got == {k: (fam, code) for k, _, _, _, fam, code in cars}
 
 
+def test_a_family_of_many_generations(spark):
+    """What is shuffled grows with rows and generations, not with their product."""
+    import random
+
+    rng = random.Random(8)
+    gens = [("m", "c", f"k{rng.randrange(40)}.{rng.randrange(3)}", y0, y0 + rng.randrange(-1, 9), k) for k, y0 in enumerate(rng.randrange(1900, 2000) for _ in range(1500))]
+    gens += [("m", "c", "alone", 1950, 1951, 9001), ("m", "e", "only", 1990, 1991, 9002), ("m", "e", "only", 1995, 1999, 9003), ("m", "c x", "b.1", None, 1980, 9004)]
+    cars = [(k, "m", rng.sample(["c", "e", "x", "alone", "z", f"k{rng.randrange(45)}"], 4), rng.choice([None, rng.randrange(1890, 2020)])) for k in range(1500)]
+    want = {}
+    for k, _, words, year in cars:
+        mine = lambda fam: [g for g in gens if g[1] == fam]
+        covers = lambda g: None not in (year, g[3]) and g[3] <= year <= g[4]  # noqa: B023, E731
+        fams = [f for f in ("c", "e", "c x") if set(f.split()) <= set(words)]
+        if not fams:
+            want[k] = None, None
+            continue
+        fam = min(fams, key=lambda f: (not any(map(covers, mine(f))), -len(f.split()), mine(f)[0][5]))
+        said = [g for g in mine(fam) if g[2].split(".")[0] in words]
+        base = min(said, key=lambda g: (-len(g[2].split(".")[0]), g[5]))[2].split(".")[0] if said else None
+        among = [g for g in said if g[2].split(".")[0] == base] if said else mine(fam)
+        codes = {g[2] for g in among}
+        known = (among[0][2] if len(among) == 1 else base) if said else (codes.pop() if len(codes) == 1 else None)
+        want[k] = fam, next((g[2] for g in among if covers(g)), known)
+    dim = spark.createDataFrame(gens, "make string, family string, code string, y0 int, y1 int, pos int").repartition(3)
+    rows = spark.createDataFrame(cars, "id int, mk string, w array<string>, yr int").repartition(3)
+    sc = spark.sparkContext._jsc.sc()
+
+    def shuffled():
+        sc.listenerBus().waitUntilEmpty()
+        time.sleep(0.5)
+        return sc.statusStore().executorSummary("driver").totalShuffleWrite()
+
+    before = shuffled()
+    got = {r.id: (r.family, r.code) for r in M.generation(rows, dim, "id", "mk", "w", "yr").collect()}
+    assert got == want
+    assert len(set(got.values())) > 60 and shuffled() - before < 2_000_000
+
+
 def test_make_and_model_of_titles(spark):
     titles = ["Audi A4 Avant", "AUDI  A4", "Land Rover Defender", "land", "", None, "Mercedes-Benz C 63 AMG", "zastava 750", "Alfa Romeo Giulia"]
     makes = spark.createDataFrame([("audi", "Audi"), ("land rover", "Land Rover"), ("land", "Land"), ("mercedes-benz", "Mercedes-Benz"), ("alfa romeo", "Alfa Romeo")], "alias string, make string")
