@@ -211,9 +211,22 @@ def auction_state(closes: Column, starts: Column, status: Column, reserve_met: C
     return {"new_status": new, "withdrawn": F.when(over, ~reserve_met)}
 
 
-def haversine_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
-    a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lng2 - lng1) / 2), 2)
-    return 2 * 6_371_000 * F.asin(F.sqrt(a))
+EARTH_M = 6_371_000
+
+
+def haversine_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column, cos1: Column | None = None, cos2: Column | None = None) -> Column:
+    """Metres between two points of degrees; cos1, cos2: the cosines of the latitudes, where they are known."""
+    square = lambda x: x * x
+    cos1, cos2 = F.cos(F.radians(lat1)) if cos1 is None else cos1, F.cos(F.radians(lat2)) if cos2 is None else cos2
+    a = square(F.sin(F.radians(lat2 - lat1) / 2)) + cos1 * cos2 * square(F.sin(F.radians(lng2 - lng1) / 2))
+    return 2 * EARTH_M * F.asin(F.sqrt(a))
+
+
+def round_half_up(x: Column, digits: int) -> Column:
+    """A number that is not negative, of so few digits: by its binary value, as engines do that know no decimals."""
+    scaled = x * 10.0**digits
+    whole = F.floor(scaled)
+    return (whole + F.when(scaled - whole >= 0.5, 1).otherwise(0)) / 10.0**digits
 
 
 def parse_date_fr(text: Column) -> Column:

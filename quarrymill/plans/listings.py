@@ -393,8 +393,7 @@ _POINTS = "select s_suppkey, s_nationkey % 3 as road, 45 + s_acctbal / 5000 as l
 @query(f"with p as ({_POINTS}) select a.s_suppkey as id_a, b.s_suppkey as id_b, round(2 * 6371000 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lng - a.lng) / 2), 2))), 2) as metres from p a join p b on a.road = b.road and a.s_suppkey < b.s_suppkey where metres < 40000")
 def haversine_self(spark, d):
     p = table(spark, d, "supplier").select("s_suppkey", (F.col("s_nationkey") % 3).alias("road"), (45 + F.col("s_acctbal") / 5000).alias("lat"), (5 + (F.col("s_suppkey") * 37 % 1000) / 400.0).alias("lng"))
-    # the rounded distance is the one that must be below
-    return M.near_pairs(p, "s_suppkey", ["road"], "lat", "lng", 40_000).withColumn("metres", F.round("metres", 2)).filter("metres < 40000")
+    return M.near_pairs(p, "s_suppkey", ["road"], "lat", "lng", 40_000, 2)
 
 
 @query("select 'status' as tag, o_orderstatus as value, count(*) as n from orders group by 2 union all select 'priority', o_orderpriority, count(*) from orders group by 2")

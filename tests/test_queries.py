@@ -115,6 +115,27 @@ def test_near_pairs_finds_all(spark):
     assert got == want and want
 
 
+@pytest.mark.parametrize(("metres", "digits"), [(1_500, None), (40_000, 2), (900_000, 1), (25_000_000, None)])
+def test_near_pairs_anywhere(spark, metres, digits, monkeypatch):
+    """All pairs at poles, across the date line, beyond 180 degrees and in full cubes, each once, made in several tasks."""
+    import random
+
+    monkeypatch.setattr(M, "CUBE_POINTS", 5, raising=False)
+    rng = random.Random(2)
+    spread = metres / 111_000
+    centres = [(90, 0), (-90, 30), (0, 180), (60, -180), (46, 7), (46, 7), (46, 367), (89.9, 100)]
+    points = [(k, k % 2, lat + rng.uniform(-spread, spread), lng + rng.choice([0, 360]) + rng.uniform(-spread, spread)) for k, (lat, lng) in enumerate(centres * 12)]
+    points += [(200, 0, 46.0, 7.0), (201, 0, 46.0, 7.0), (201, 0, 46.0, 7.0), (202, None, 46.0, 7.0), (203, 0, None, 7.0), (204, 0, float("nan"), 7.0), (None, 0, 46.0, 7.0)]
+    df = spark.createDataFrame(points, "id int, road int, lat double, lng double").coalesce(1)
+    found = M.near_pairs(df, "id", ["road"], "lat", "lng", metres, digits).withColumn("task", F.spark_partition_id()).collect()
+    a, b = df.alias("a"), df.alias("b")
+    away = N.haversine_m(F.col("a.lat"), F.col("a.lng"), F.col("b.lat"), F.col("b.lng"))
+    away = away if digits is None else F.round(away, digits)
+    want = a.join(b, (F.col("a.road") == F.col("b.road")) & (F.col("a.id") < F.col("b.id"))).filter(away < metres).select("a.id", "b.id", away).collect()
+    assert sorted((r.id_a, r.id_b, r.metres) for r in found) == sorted(map(tuple, want))
+    assert len(want) > 100 and len({r.task for r in found}) > 1
+
+
 def test_haversine_self_at_the_limit(spark, tmp_path):
     """A distance that is rounded to the limit is not below it."""
     degrees = [0.0] + [math.degrees(m / 6_371_000) for m in (39_999.98, 39_999.994, 39_999.996, 39_999.9999, 40_000.004)]
